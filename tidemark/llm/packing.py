@@ -32,10 +32,10 @@ class PackSpec:
     tokenizer: str
     end_id: int = 1
     window: int = 2048
-    document_cut: int = 6
-    sentence_cut: int = 40
+    document_cut: int = 4
+    sentence_cut: int = 16
     #: Where document and sentence ends are further apart than this, cuts inside are offered as often.
-    stride: int = 64
+    stride: int = 32
     block: int = 400_000
     text_bytes: int = 1_000_000
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .common import scratch_path
 from .mixing import mix_sizes
 from .packing import PackSpec, packed
+from .simhash import hex_fingerprint, near_duplicate_classes
 from .tokenbin import TokenFileSpec, read_token_files, write_token_files
 from .urlfilter import UrlRules, judged_urls
 
@@ -41,4 +42,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter)}
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_duplicate_classes(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup)}
