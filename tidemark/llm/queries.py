@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import scratch_path
+from .langid import held_out, language_of, train
 from .mixing import mix_sizes
 from .packing import PackSpec, packed
 from .simhash import hex_fingerprint, near_duplicate_classes
@@ -47,4 +48,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup)}
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out(docs["doc_id"])))
+    found = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), language_of(model, docs).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"), F.col("found.share").alias("share"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup, op6_language_id)}
