@@ -11,7 +11,9 @@ from .langid import held_out, language_of, train
 from .mixing import mix_sizes
 from .packing import PackSpec, packed
 from .simhash import hex_fingerprint, near_duplicate_classes
+from .spotsigs import edited_fingerprints
 from .tokenbin import TokenFileSpec, read_token_files, write_token_files
+from .tokencount import CountSpec, counted
 from .urlfilter import UrlRules, judged_urls
 
 URL_RULES = UrlRules(
@@ -55,4 +57,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"), F.col("found.share").alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup, op6_language_id)}
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, so that each call counts every distinct text."""
+    spec = CountSpec(public_tokenizers.path("piece_bpe_32k.model"))
+    return counted(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-cache"), spec)
+
+
+def op8_spot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup, op6_language_id, op7_token_counts, op8_spot_fingerprints)}
