@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid, toxicity
 from .common import scratch_path
-from .langid import held_out, language_of, train
 from .mixing import mix_sizes
 from .packing import PackSpec, packed
 from .simhash import hex_fingerprint, near_duplicate_classes
@@ -52,8 +52,8 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    model = train(docs.where(~held_out(docs["doc_id"])))
-    found = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), language_of(model, docs).alias("found"))
+    model = langid.train(docs.where(~langid.held_out(docs["doc_id"])))
+    found = docs.select("doc_id", langid.held_out(docs["doc_id"]).alias("held_out"), langid.language_of(model, docs).alias("found"))
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"), F.col("found.share").alias("share"))
 
 
@@ -67,4 +67,11 @@ def op8_spot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup, op6_language_id, op7_token_counts, op8_spot_fingerprints)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out(labels["doc_id"])))
+    scored = docs.select("doc_id", toxicity.held_out(docs["doc_id"]).alias("held_out"), toxicity.toxicity_of(model, docs).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup, op6_language_id, op7_token_counts, op8_spot_fingerprints, op9_toxicity)}
