@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import langid, quality, toxicity
 from .common import scratch_path
 from .mixing import mix_sizes
 from .packing import PackSpec, packed
@@ -74,4 +74,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup, op6_language_id, op7_token_counts, op8_spot_fingerprints, op9_toxicity)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "anomaly")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup, op6_language_id, op7_token_counts, op8_spot_fingerprints, op9_toxicity, op10_quality_rules)}
