@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .common import slices, text_bytes
-from .wordtokens import WordTokens
+from .wordtokens import word_tokens
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,7 @@ def best_cuts(places: np.ndarray, costs: np.ndarray, window: int) -> np.ndarray:
 class _Packer:
     def __init__(self, spec: PackSpec, first_sequence: int) -> None:
         self.spec, self.next = spec, first_sequence
-        self.tokens = WordTokens(spec.tokenizer, spec.end_id)
+        self.tokens = word_tokens(spec.tokenizer, spec.end_id)
         self._restart(np.zeros(0, np.uint32), [], [], [], np.zeros(0, np.int64))
 
     def _restart(self, ids: np.ndarray, docs: list, begins: list[int], totals: list[int], sentences: np.ndarray) -> None:

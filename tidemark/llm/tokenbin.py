@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import slices, text_bytes
-from .wordtokens import WordTokens
+from .wordtokens import word_tokens
 
 # Fixed values of the code: ids in a word and bits of an id, by selector.
 COUNTS = np.array([0, 1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
@@ -125,7 +125,7 @@ def write_token_files(docs: DataFrame, path: str, spec: TokenFileSpec) -> None:
     """Encodes every text and writes the file set; documents are dealt to shards by ranges of (doc_id, text hash)."""
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, shard, number, before = WordTokens(spec.tokenizer, spec.end_id), TaskContext.get().partitionId(), 0, 0
+        tokens, shard, number, before = word_tokens(spec.tokenizer, spec.end_id), TaskContext.get().partitionId(), 0, 0
         schema = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("ids_before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("block_words", pa.list_(pa.int32())), ("words", pa.binary())])
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
 

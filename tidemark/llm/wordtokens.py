@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 
@@ -36,6 +37,12 @@ def _grown(a: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=2)
+def word_tokens(path: str, end_id: int) -> WordTokens:
+    """The encoder of this Python worker, which keeps its memo from task to task."""
+    return WordTokens(path, end_id)
+
+
 class WordTokens:
     """Encodes texts with a ``tokenizers`` file whose pre-tokenizer drops white space and splits letters from the rest.
 
@@ -43,7 +50,7 @@ class WordTokens:
     anew. The ids do not depend on it: they are those of the library for the whole text.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 500_000) -> None:
+    def __init__(self, path: str, end_id: int, limit: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -61,43 +68,46 @@ class WordTokens:
         self.begin, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.closes, self.rough = np.zeros(1 << 14, bool), np.zeros(1 << 14, bool)
         self.used = 0
-        for word in (END, b".", b","):
+        self.numbers[END]
+        self._put(np.array([0]), np.array([self.end_id], np.uint32), np.array([1]))
+        for word in (b".", b","):  # 1 and 2
             self.numbers[word]
+        self._store([b".", b","])
         self.numbers.fresh.clear()
-        self._store([END, b".", b","], [np.array([self.end_id], np.uint32), self._ids("."), self._ids(",")])
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _store(self, words: list[bytes], ids: list[np.ndarray]) -> None:
-        first, lengths = len(self.numbers) - len(words), np.array([len(x) for x in ids], np.int64)
-        last = first + len(words)
-        self.pool = _grown(self.pool, self.used + int(lengths.sum()))
+    def _put(self, numbers: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Ids of the words with these numbers, in a row."""
+        self.pool = _grown(self.pool, self.used + len(ids))
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.begin[numbers] = self.used + np.cumsum(counts) - counts
+        self.count[numbers] = counts
+        self.used += len(ids)
+
+    def _store(self, words: list[bytes]) -> None:
+        """Encodes the words that were numbered last."""
+        last = len(self.numbers)
+        first = last - len(words)
         self.begin, self.count, self.closes, self.rough = (_grown(x, last) for x in (self.begin, self.count, self.closes, self.rough))
-        flat = np.concatenate(ids)
-        self.pool[self.used : self.used + len(flat)] = flat
-        self.begin[first:last] = self.used + np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        self.count[first:last] = lengths
         self.closes[first:last] = self.rough[first:last] = False
-        for i, w in enumerate(words, first):
-            if i and not w.isalpha():
-                self.closes[i] = w.rstrip(b"\"')]").endswith((b".", b"!", b"?", b"\xe3\x80\x82"))
-                self.rough[i] = not w.decode("utf-8", "replace")[-1].isalnum()
-        self.used += len(flat)
-
-    def _encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        easy = [i for i, t in enumerate(texts) if t.isalpha() and t == t.lower() and (t.isascii() or max(t) < "\u0250" and unicodedata.is_normalized("NFC", t))]
-        out: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        easy, hard = [], []
+        for i, (w, t) in enumerate(zip(words, texts, strict=True)):
+            # ASCII letters are lower case by now.
+            if w.isalpha() or t.isalpha() and max(t) < "\u0250" and t == t.lower() and unicodedata.is_normalized("NFC", t):
+                easy.append(i)
+            else:
+                hard.append(i)
+                self.closes[first + i] = w.rstrip(b"\"')]").endswith((b".", b"!", b"?", b"\xe3\x80\x82"))
+                self.rough[first + i] = not t[-1].isalnum()
         if easy:
             e = self.plain.encode([texts[i] for i in easy], is_pretokenized=True, add_special_tokens=False)
-            counts = np.bincount(np.array(e.word_ids, np.int64), minlength=len(easy))
-            for i, ids in zip(easy, np.split(np.array(e.ids, np.uint32), np.cumsum(counts)[:-1]), strict=True):
-                out[i] = ids
-        hard = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(hard, self.tokenizer.encode_batch([texts[i] for i in hard], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, np.uint32)
-        return out
+            self._put(first + np.array(easy), np.array(e.ids, np.uint32), np.bincount(np.array(e.word_ids, np.int64), minlength=len(easy)))
+        if hard:
+            many = [e.ids for e in self.tokenizer.encode_batch_fast([texts[i] for i in hard], add_special_tokens=False)]
+            self._put(first + np.array(hard), np.array([x for ids in many for x in ids], np.uint32), np.array([len(ids) for ids in many], np.int64))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row with the end id after each; ids per text; positions after which a sentence ends.
@@ -119,7 +129,7 @@ class WordTokens:
         numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         if self.numbers.fresh:
             fresh, self.numbers.fresh = self.numbers.fresh, []
-            self._store(fresh, self._encode_words(fresh))
+            self._store(fresh)
         stop = np.array(stops, np.int64)
         mark = (numbers[1:] == 1) | (numbers[1:] == 2)
         odd = np.flatnonzero(mark & self.rough[numbers[:-1]])
