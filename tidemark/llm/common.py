@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _own_folder: list[str] = []
+_shipped: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -48,6 +50,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession) -> None:
+    """Sends this package's modules to the executors, once per application, for clusters where it isn't installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    if package.parent.is_dir():  # else the package is itself read from an archive that Spark was given
+        folder = tempfile.mkdtemp(prefix="tidemark-")  # on the driver, which serves it to executors until it ends
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}-modules", "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)
+
+
 def id_text_crc(column: Column) -> Column:
     """crc32 of an id's decimal text; a null id counts as the empty text (crc 0)."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))

@@ -279,5 +279,11 @@ def spans_of(model: LangModel, docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, spans array<struct<lang:string,words:bigint,letters:bigint>>")
 
 
+def with_known_language(model: LangModel, docs: DataFrame, min_share: float, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose text has a language that holds at least ``min_share`` of the letters."""
+    found = docs.withColumn("_language", language_of(model, docs, text))
+    return found.where((F.col("_language.lang") != "und") & (F.col("_language.share") >= min_share)).select([docs[c] for c in docs.columns])
+
+
 def held_out(doc_id: Column) -> Column:
     return F.pmod(id_text_crc(doc_id), F.lit(3)) == 1

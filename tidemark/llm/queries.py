@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, quality, toxicity
-from .common import scratch_path
+from .common import scratch_path, shipped
 from .mixing import mix_sizes
 from .packing import PackSpec, packed
 from .simhash import hex_fingerprint, near_duplicate_classes
@@ -23,6 +23,7 @@ URL_RULES = UrlRules(
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

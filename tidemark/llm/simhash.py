@@ -197,12 +197,17 @@ def near_duplicate_classes(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -
 
 
 def without_near_duplicates(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame:
-    """``docs`` with one row of each group: the one with the smallest doc_id (null last), then the smallest text hash."""
+    """``docs`` with one row of each group: the one with the smallest doc_id (null last), then the smallest text hash.
+
+    Of rows that agree in both, any one stays.
+    """
     classes = near_duplicate_classes(docs, spec)
     # Groups whose ids are all null have no component_id; rows of one fingerprint then form a group.
-    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp"))
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
-    keep = stored(classes.groupBy(group.alias("g")).agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")), "simhash-kept")
-    key = F.xxhash64(docs["text"])
-    kept = docs.withColumn("_text_key", key).join(keep, F.col("_text_key").eqNullSafe(keep["_key"]) & docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text_key"]).select([docs[c] for c in docs.columns])
+    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).alias("g")
+    equal = classes.groupBy(group, "doc_id", "text_key").agg(F.count("*").alias("m"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key", "m")).alias("first")
+    keep = stored(equal.groupBy("g").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"), F.col("first.m").alias("_m")), "simhash-kept")
+    kept = docs.withColumn("_text_key", F.xxhash64(docs["text"])).join(keep, F.col("_text_key").eqNullSafe(keep["_key"]) & docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
+    if not keep.where("_m > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "_text_key"])
+    return kept.select([docs[c] for c in docs.columns])

@@ -12,7 +12,8 @@ ones by a hash. Sentences of toxic rows hold the insults among many harmless wor
 stand out are found first: words, and beginnings of words, that are more frequent in toxic texts than chance allows
 (a likelihood ratio, corrected for the number of tries). Landmarks and examples are drawn from these and from words of
 harmless texts; three further rounds add the harmless words that score highest. The document's score comes from its
-highest-scoring unit by a logistic curve fitted on the sampled texts.
+evidence, the values of its three highest-scoring units (repeats count), how many units score above 0 and how many
+there are, by a logistic curve fitted on the sampled texts: one doubtful word in a long text is no insult.
 
 A unit is a word, lower-cased; runs of three or more single letters ("i d i o t") form one more unit. Words longer
 than ``span`` characters are scored in overlapping windows. Whole texts are scored. Null and empty texts get the score
@@ -102,7 +103,8 @@ def _norms(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
 class ToxicModel:
     weights: np.ndarray | None
     bias: float
-    slope: float
+    #: Of the logistic curve: a weight for each column of the evidence, and what is added.
+    curve: tuple[float, ...]
     shift: float
     base_rate: float
     spec: ToxicSpec
@@ -129,8 +131,8 @@ class ToxicModel:
                 np.maximum.at(out, np.array(owner[b : b + 8192]), value)
         return out
 
-    def probability(self, values: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * values + self.shift, -40, 40)))
+    def probability(self, evidence: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(evidence @ np.array(self.curve) + self.shift, -40, 40)))
 
 
 def units_of(text: str) -> list[str]:
@@ -149,8 +151,12 @@ def units_of(text: str) -> list[str]:
     return words
 
 
+#: Highest, second and third highest value, logarithms of units above 0 and of all units.
+EVIDENCE = 5
+
+
 class _Scorer:
-    """Highest unit value of each text, with a bounded memo of words."""
+    """The evidence of each text, with a bounded memo of words."""
 
     def __init__(self, model: ToxicModel) -> None:
         self.model = model
@@ -160,7 +166,8 @@ class _Scorer:
         self.numbers: dict[str, int] = {}
         self.values = np.zeros(0)
 
-    def highest(self, texts: list[str]) -> np.ndarray:
+    def evidence(self, texts: list[str]) -> np.ndarray:
+        """One row of EVIDENCE numbers for each text; values are held between -1 and 3, and missing units have -1."""
         if len(self.numbers) > self.model.spec.memo:
             self.clear()
         units, stops = [], []
@@ -172,12 +179,19 @@ class _Scorer:
         numbers = np.fromiter((place(u, len(self.numbers)) for u in units), np.int64, len(units))
         if len(self.numbers) > known:
             fresh = list(self.numbers)[known:]
-            self.values = np.concatenate((self.values, self.model.score_words(fresh)))
-        out = np.full(len(texts), self.model.bias)
-        begins = np.concatenate(([0], stops[:-1])).astype(np.int64)
-        some = np.flatnonzero(np.array(stops) > begins)
-        if len(some):
-            out[some] = np.maximum.reduceat(self.values[numbers], begins[some])
+            self.values = np.concatenate((self.values, np.clip(self.model.score_words(fresh), -1, 3)))
+        out = np.full((len(texts), EVIDENCE), -1.0)
+        values = self.values[numbers]
+        warm = np.flatnonzero(values > -1)
+        owners = np.searchsorted(np.array(stops), warm, "right")
+        order = np.lexsort((-values[warm], owners))
+        owners, values = owners[order], values[warm][order]
+        first = np.searchsorted(owners, np.arange(len(texts)))
+        rank = np.arange(len(owners)) - first[owners]
+        for k in range(3):
+            out[owners[rank == k], k] = values[rank == k]
+        out[:, 3] = np.log1p(np.bincount(owners[values > 0], minlength=len(texts)))
+        out[:, 4] = np.log1p(np.diff(stops, prepend=0))
         return out
 
 
@@ -219,20 +233,25 @@ def _machine(features: np.ndarray, signs: np.ndarray, cost: np.ndarray) -> tuple
     return w[:-1], float(w[-1])
 
 
+def _constant(base: float, spec: ToxicSpec) -> ToxicModel:
+    """A model that gives every text the share of toxic rows."""
+    return ToxicModel(None, -1.0, (0.0,) * EVIDENCE, math.log((base + 1e-3) / (1 - base + 1e-3)), base, spec)
+
+
 def train(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) -> ToxicModel:
     """Learns from rows of ``labels`` (doc_id, toxic) that belong to ``docs``; the caller leaves out what is held out."""
     clean = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in clean.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
     base = sizes.get(1, 0) / max(1, sum(sizes.values()))
     if len(sizes) < 2:
-        return ToxicModel(None, 0.0, 0.0, math.log((base + 1e-3) / (1 - base + 1e-3)), base, spec)
+        return _constant(base, spec)
     first = lambda t: clean.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(spec.max_docs_per_class)
     sample = F.broadcast(first(1).unionByName(first(0)))  # two times max_docs_per_class rows at most
     rows = docs.select(docs["doc_id"], docs["text"]).join(sample, "doc_id").where("text is not null")
     counts = _unit_counts(rows).cache()
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
-        return ToxicModel(None, 0.0, 0.0, math.log((base + 1e-3) / (1 - base + 1e-3)), base, spec)
+        return _constant(base, spec)
     tries = counts.count()
     share = n[1] / (n[0] + n[1])
     t, c = F.col("toxic_docs").cast("double"), F.col("clean_docs").cast("double")
@@ -243,7 +262,7 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) ->
     stems = {r["unit"][:-1]: r["ratio"] for r in strong if r["unit"].endswith("*")}
     whole = {r["unit"]: r["ratio"] for r in strong if not r["unit"].endswith("*")}
     if not strong:
-        return ToxicModel(None, 0.0, 0.0, math.log(base / (1 - base)), base, spec)
+        return _constant(base, spec)
     # Words of toxic texts that begin like a sign, and the signs themselves.
     by_stem = F.col("unit").isin(list(whole)) | F.substring("unit", 1, 5).isin(list(stems)) | F.substring("unit", 1, 6).isin(list(stems)) | F.substring("unit", 1, 7).isin(list(stems))
     marked = [r["unit"] for r in counts.where((t > 0) & (c == 0) & ~F.col("unit").endswith("*") & by_stem).orderBy(F.desc("toxic_docs"), "unit").limit(spec.examples).collect()]
@@ -286,32 +305,32 @@ def _fit(positive: list[str], negative: list[str], spec: ToxicSpec) -> ToxicMode
     signs = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     balance = np.where(signs > 0, len(words) / 2 / max(1, len(positive)), len(words) / 2 / max(1, len(negative)))
     w, bias = _machine(features, signs, spec.cost * balance)
-    return ToxicModel((inverse @ w) @ dense, bias, 1.0, 0.0, 0.0, spec)
+    return ToxicModel((inverse @ w) @ dense, bias, (1.0, 0.0, 0.0, 0.0, 0.0), 0.0, 0.0, spec)
 
 
 def _calibrated(model: ToxicModel, rows: DataFrame, base: float) -> ToxicModel:
-    """A logistic curve from the highest values of the sampled texts, with the classes' shares among all labels."""
+    """A logistic curve from the evidence of the sampled texts, with the classes' shares among all labels."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def highest(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("array<double>")
+    def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = _Scorer(shared.value)
         for series in texts:
-            yield pd.Series(scorer.highest([t or "" for t in series]))
+            yield pd.Series(list(scorer.evidence([t or "" for t in series])))
 
-    got = rows.select("toxic", highest("text").alias("v")).toPandas()  # two numbers for each sampled text
-    y, v = got["toxic"].to_numpy(float), np.clip(got["v"].to_numpy(), -3, 3)
+    got = rows.select("toxic", evidence("text").alias("v")).toPandas()  # a few numbers for each sampled text
+    y, v = got["toxic"].to_numpy(float), np.array(got["v"].tolist(), float).reshape(-1, EVIDENCE)
     weight = np.where(y > 0, base / max(1, y.sum()), (1 - base) / max(1, (1 - y).sum()))
-    theta = np.array([1.0, 0.0])
-    x = np.stack([v, np.ones(len(v))], axis=1)
+    x = np.concatenate((v, np.ones((len(v), 1))), axis=1)
+    theta = np.zeros(EVIDENCE + 1)
+    ridge = 1e-3 * np.diag([1.0] * EVIDENCE + [1e-3])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -40, 40)))
-        grad = x.T @ (weight * (p - y)) + 1e-4 * np.array([theta[0], 0])
-        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2), grad)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (p - y)) + ridge @ theta)
         theta -= step
         if np.abs(step).max() < 1e-8:
             break
-    model.slope, model.shift, model.base_rate = float(max(theta[0], 1e-6)), float(theta[1]), base
+    model.curve, model.shift, model.base_rate = tuple(map(float, theta[:-1])), float(theta[-1]), base
     return model
 
 
@@ -324,7 +343,12 @@ def toxicity_of(model: ToxicModel, docs: DataFrame, text: str = "text") -> Colum
         scorer = _Scorer(shared.value)
         for series in texts:
             rows = [t if isinstance(t, str) else "" for t in series]
-            parts = [scorer.highest(rows[a:b]) for a, b in slices([len(t) for t in rows], shared.value.spec.batch_chars)]
+            parts = [scorer.evidence(rows[a:b]) for a, b in slices([len(t) for t in rows], shared.value.spec.batch_chars)]
             yield pd.Series(shared.value.probability(np.concatenate(parts)) if parts else np.zeros(0))
 
     return score(docs[text])
+
+
+def without_toxic(model: ToxicModel, docs: DataFrame, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose text scores below the threshold."""
+    return docs.where(toxicity_of(model, docs, text) < threshold)
