@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text_crc, slices
+from .common import id_text_crc, slices, stored
 
 CLASSES = 64
 
@@ -47,8 +47,6 @@ class ToxicSpec:
     span: int = 24
     landmarks: int = 192
     examples: int = 6000
-    #: Harmless words that the further rounds search for high scores.
-    pool: int = 200_000
     cost: float = 10.0
     memo: int = 400_000
     batch_chars: int = 1_000_000
@@ -124,11 +122,11 @@ class ToxicModel:
                 starts = range(0, max(1, len(w) - spec.span // 2), spec.span // 2) if len(w) > spec.span else (0,)
                 pieces += [w[s : s + spec.span] for s in starts]
                 owner += [i] * len(starts)
-            for b in range(0, len(pieces), 8192):
-                codes, weights = _triples(pieces[b : b + 8192], spec)
+            for b in range(0, len(pieces), 2048):
+                codes, weights = _triples(pieces[b : b + 2048], spec)
                 norm = _norms(codes, weights)
                 value = (self.weights[codes] * weights).sum(axis=1) / np.where(norm > 0, norm, 1.0) + self.bias
-                np.maximum.at(out, np.array(owner[b : b + 8192]), value)
+                np.maximum.at(out, np.array(owner[b : b + 2048]), value)
         return out
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
@@ -248,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) ->
     first = lambda t: clean.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(spec.max_docs_per_class)
     sample = F.broadcast(first(1).unionByName(first(0)))  # two times max_docs_per_class rows at most
     rows = docs.select(docs["doc_id"], docs["text"]).join(sample, "doc_id").where("text is not null")
-    counts = _unit_counts(rows).cache()
+    counts = stored(_unit_counts(rows), "toxicity-units")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return _constant(base, spec)
@@ -271,17 +269,26 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) ->
     chance = [r["unit"] for r in harmless.orderBy(F.xxhash64("unit"), "unit").limit(spec.examples).collect()]
     positive = sorted({w[: spec.span] for w in {*marked, *whole}})
     negative = sorted({w[: spec.span] for w in {*usual, *chance}} - set(positive))
-    pool = [r["unit"] for r in harmless.orderBy(F.xxhash64("unit", F.lit(1)), "unit").limit(spec.pool).collect()]
-    counts.unpersist()
     model = _fit(positive, negative, spec)
     for _ in range(3):
-        values = model.score_words(pool)
-        worst = np.argsort(-values)[: spec.examples // 3]
-        negative = sorted({*negative, *(pool[i][: spec.span] for i in worst if values[i] > -1)} - set(positive))
+        scored = harmless.select("unit", _word_score(model, harmless)(harmless["unit"]).alias("value")).where("value > -1")
+        worst = [r["unit"] for r in scored.orderBy(F.desc("value"), "unit").limit(spec.examples // 3).collect()]
+        negative = sorted({*negative, *(w[: spec.span] for w in worst)} - set(positive))
         model = _fit(positive, negative, spec)
     return _calibrated(model, rows, base)
 
 
+def _word_score(model: ToxicModel, frame: DataFrame):
+    """A function of a column of words: the machine's values."""
+    shared = frame.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(words: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.score_words(list(words)))
+
+    return score
+
+
 def _fit(positive: list[str], negative: list[str], spec: ToxicSpec) -> ToxicModel:
     spread = lambda words, k: [words[i] for i in np.linspace(0, len(words) - 1, min(k, len(words))).astype(int)] if words else []
     marks = [*spread(positive, spec.landmarks // 2), *spread(negative, spec.landmarks // 2)]
@@ -292,20 +299,27 @@ def _fit(positive: list[str], negative: list[str], spec: ToxicSpec) -> ToxicMode
         return codes, weights / np.where(norm > 0, norm, 1.0)[:, None]
 
     codes, weights = vectors(marks)
-    dense = np.zeros((len(marks), CLASSES**3), np.float32)
-    np.add.at(dense, (np.arange(len(marks))[:, None], codes), weights)
-    root = np.linalg.eigh((dense @ dense.T).astype(np.float64))
+    # Only triples of landmarks count; all others share the last column, which is 0.
+    triples, columns = np.unique(codes, return_inverse=True)
+    place = np.full(CLASSES**3, len(triples))
+    place[triples] = np.arange(len(triples))
+    dense = np.zeros((len(marks), len(triples) + 1))
+    np.add.at(dense, (np.arange(len(marks))[:, None], columns.reshape(codes.shape)), weights)
+    root = np.linalg.eigh(dense @ dense.T)
     inverse = root[1] @ np.diag(1 / np.sqrt(np.maximum(root[0], 1e-6))) @ root[1].T
     words = [*positive, *negative]
     similar = []
-    for a in range(0, len(words), 1024):
-        c, w = vectors(words[a : a + 1024])
+    for a in range(0, len(words), 512):
+        c, w = vectors(words[a : a + 512])
+        c = place[c]
         similar.append(np.stack([(dense[j][c] * w).sum(axis=1) for j in range(len(marks))], axis=1))
     features = np.concatenate(similar) @ inverse
     signs = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     balance = np.where(signs > 0, len(words) / 2 / max(1, len(positive)), len(words) / 2 / max(1, len(negative)))
     w, bias = _machine(features, signs, spec.cost * balance)
-    return ToxicModel((inverse @ w) @ dense, bias, (1.0, 0.0, 0.0, 0.0, 0.0), 0.0, 0.0, spec)
+    per_triple = np.zeros(CLASSES**3)
+    per_triple[triples] = ((inverse @ w) @ dense)[:-1]
+    return ToxicModel(per_triple, bias, (1.0, 0.0, 0.0, 0.0, 0.0), 0.0, 0.0, spec)
 
 
 def _calibrated(model: ToxicModel, rows: DataFrame, base: float) -> ToxicModel:
