@@ -44,7 +44,7 @@ class ChangeTable:
     def _read(self, spark: SparkSession, part: str) -> DataFrame:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
         there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-        return spark.read.schema(self._stored()).parquet(f"{self.path}/{part}") if there else spark.createDataFrame([], self._stored())
+        return spark.read.schema(self._stored()).parquet(f"{self.path}/{part}").select(self._stored().names) if there else spark.createDataFrame([], self._stored())
 
     def _merged(self, spark: SparkSession) -> DataFrame:
         order = [n for n, _ in self.order]
