@@ -63,6 +63,14 @@ def shipped(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_text_crc(column: Column) -> Column:
     """crc32 of an id's decimal text; a null id counts as the empty text (crc 0)."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))

@@ -59,7 +59,7 @@ class LangIdSpec:
     switch_penalty: float = 12.0
     #: A script is a language's own if at least this share of its training letters is in it.
     script_share: float = 0.02
-    batch_chars: int = 1_000_000
+    batch_chars: int = 200_000
 
 
 class Letters:
@@ -281,8 +281,8 @@ def spans_of(model: LangModel, docs: DataFrame) -> DataFrame:
 
 def with_known_language(model: LangModel, docs: DataFrame, min_share: float, text: str = "text") -> DataFrame:
     """Rows of ``docs`` whose text has a language that holds at least ``min_share`` of the letters."""
-    found = docs.withColumn("_language", language_of(model, docs, text))
-    return found.where((F.col("_language.lang") != "und") & (F.col("_language.share") >= min_share)).select([docs[c] for c in docs.columns])
+    found = language_of(model, docs, text)
+    return docs.where((found["lang"] != "und") & (found["share"] >= min_share))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, stored
+from .common import WORD, free_name, stored
 
 
 @dataclass(frozen=True)
@@ -92,7 +92,8 @@ def _solve(spark: SparkSession, histogram: DataFrame, stats: list, targets: list
                 duals[i] = step
                 still.append(i)
         active = still
-    return duals
+    # Sums of doubles depend on their order in the last digits; without these, reruns agree.
+    return [d if d is None else float(f"{d:.10g}") for d in duals]
 
 
 def _round_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,12 +122,12 @@ def mix_sizes(docs: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
         docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")),
         "mix-sizes",
     )
-    stats = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words"), F.sum(F.col("size").cast("double") ** 2).alias("squares")).limit(recipe.max_sources + 1).collect()
+    stats = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words"), F.sum(F.col("size").cast("decimal(19,0)") * F.col("size").cast("decimal(19,0)")).alias("squares")).limit(recipe.max_sources + 1).collect()
     if len(stats) > recipe.max_sources:
         raise ValueError(f"more than {recipe.max_sources} sources; raise max_sources or coarsen the source column")
     stats.sort(key=lambda s: (s["source"] is None, s["source"] or ""))
     targets = source_targets([s["words"] for s in stats], recipe)
-    scales = [s["squares"] / s["words"] if s["words"] else 1.0 for s in stats]
+    scales = [int(s["squares"]) / int(s["words"]) if s["words"] else 1.0 for s in stats]
     plan_schema = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("_source", T.StringType())] + [T.StructField(n, T.DoubleType()) for n in ("scale", "target")] + [T.StructField(n, T.LongType()) for n in ("source_size", "salts")])
     plan = F.broadcast(spark.createDataFrame([(i, s["source"], scales[i], targets[i], int(s["words"]), max(1, math.ceil(s["n"] / recipe.group_rows))) for i, s in enumerate(stats)], plan_schema))
     placed = rows.join(plan, rows["source"].eqNullSafe(plan["_source"])).drop("_source")
@@ -151,6 +152,8 @@ def mix_sizes(docs: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
 
 def mixed(docs: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
     """The mix itself: each row of ``docs``, with all its columns, as often as it has copies."""
-    sizes = stored(mix_sizes(docs, recipe).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), F.col("copies").alias("_copies")).distinct(), "mix-copies")
+    n = free_name(docs, "_copies")
+    chosen = mix_sizes(docs, recipe).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), F.col("copies").cast("int").alias(n)).distinct()
+    sizes = stored(chosen, "mix-copies")
     kept = docs.join(sizes, F.xxhash64(docs["text"]).eqNullSafe(sizes["_key"]) & docs["doc_id"].eqNullSafe(sizes["_id"]) & docs["source"].eqNullSafe(sizes["_source"]))
-    return kept.withColumn("_copy", F.explode(F.expr("sequence(1, cast(_copies as int))"))).select([docs[c] for c in docs.columns])
+    return kept.withColumn(n, F.explode(F.sequence(F.lit(1), sizes[n]))).select([docs[c] for c in docs.columns])

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, text_bytes
+from .common import free_name, slices, stored, text_bytes
 
 
 @dataclass(frozen=True)
@@ -207,7 +207,9 @@ def without_near_duplicates(docs: DataFrame, spec: SimHashSpec = SimHashSpec())
     equal = classes.groupBy(group, "doc_id", "text_key").agg(F.count("*").alias("m"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key", "m")).alias("first")
     keep = stored(equal.groupBy("g").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"), F.col("first.m").alias("_m")), "simhash-kept")
-    kept = docs.withColumn("_text_key", F.xxhash64(docs["text"])).join(keep, F.col("_text_key").eqNullSafe(keep["_key"]) & docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
-    if not keep.where("_m > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_text_key"])
-    return kept.select([docs[c] for c in docs.columns])
+    met = F.xxhash64(docs["text"]).eqNullSafe(keep["_key"]) & docs["doc_id"].eqNullSafe(keep["_id"])
+    kept = docs.join(keep, met, "left_semi")
+    if keep.where("_m > 1").isEmpty():
+        return kept
+    key = free_name(docs, "_text_key")
+    return kept.withColumn(key, F.xxhash64(docs["text"])).dropDuplicates(["doc_id", key]).drop(key)

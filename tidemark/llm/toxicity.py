@@ -48,8 +48,8 @@ class ToxicSpec:
     landmarks: int = 192
     examples: int = 6000
     cost: float = 10.0
-    memo: int = 400_000
-    batch_chars: int = 1_000_000
+    memo: int = 150_000
+    batch_chars: int = 250_000
 
 
 def _letter_class(c: str) -> int:
@@ -197,19 +197,25 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(id_text_crc(doc_id), F.lit(5)) == 0
 
 
-def _unit_counts(rows: DataFrame) -> DataFrame:
+def _unit_counts(rows: DataFrame, spec: ToxicSpec) -> DataFrame:
     """unit, toxic_docs, clean_docs: in how many of the texts each unit and each beginning of a unit ("abcde*") is."""
 
+    def merged(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
+        for toxic, found in ((1, counts[0]), (0, counts[1])):
+            n = pa.array(list(found.values()), pa.int64())
+            zero = pa.array(np.zeros(len(found), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), n if toxic else zero, zero if toxic else n], names=["unit", "toxic_docs", "clean_docs"])
+            found.clear()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
-            counts: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 own = {u[:64] for u in units_of(text or "") if len(u) > 2}
                 counts[1 - toxic].update(own | {u[:n] + "*" for u in own for n in (5, 6, 7) if len(u) > n})
-            for toxic, found in ((1, counts[0]), (0, counts[1])):
-                n = pa.array(list(found.values()), pa.int64())
-                zero = pa.array(np.zeros(len(found), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), n if toxic else zero, zero if toxic else n], names=["unit", "toxic_docs", "clean_docs"])
+                if len(counts[0]) + len(counts[1]) > spec.memo:
+                    yield from merged(counts)
+        yield from merged(counts)
 
     return rows.select("text", "toxic").mapInArrow(run, "unit string, toxic_docs long, clean_docs long").groupBy("unit").agg(F.sum("toxic_docs").alias("toxic_docs"), F.sum("clean_docs").alias("clean_docs"))
 
@@ -246,7 +252,7 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) ->
     first = lambda t: clean.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(spec.max_docs_per_class)
     sample = F.broadcast(first(1).unionByName(first(0)))  # two times max_docs_per_class rows at most
     rows = docs.select(docs["doc_id"], docs["text"]).join(sample, "doc_id").where("text is not null")
-    counts = stored(_unit_counts(rows), "toxicity-units")
+    counts = stored(_unit_counts(rows, spec), "toxicity-units")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return _constant(base, spec)
