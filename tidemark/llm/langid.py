@@ -59,7 +59,7 @@ class LangIdSpec:
     switch_penalty: float = 12.0
     #: A script is a language's own if at least this share of its training letters is in it.
     script_share: float = 0.02
-    batch_chars: int = 200_000
+    batch_chars: int = 500_000
 
 
 class Letters:
