@@ -201,7 +201,7 @@ def label_words(model: LangModel, texts: list[str]) -> Spans:
     labels = single[letters.owners]
     # The largest gain of any run of words in another language, by text.
     gain = np.zeros(n)
-    if len(labels):
+    if len(labels) and count:
         own = scores[np.arange(len(labels)), labels]
         first = np.zeros(len(labels), bool)
         first[begins[words > 0]] = True

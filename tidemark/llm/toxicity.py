@@ -106,6 +106,7 @@ class ToxicModel:
     shift: float
     base_rate: float
     spec: ToxicSpec
+    most: np.ndarray | None = None
 
     def score_words(self, words: list[str]) -> np.ndarray:
         """The machine's value for each word; long words by their highest window."""
@@ -130,7 +131,9 @@ class ToxicModel:
         return out
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(evidence @ np.array(self.curve) + self.shift, -40, 40)))
+        """The curve's value; beyond the largest evidence it was fitted on it stays level."""
+        held = evidence if self.most is None else np.minimum(evidence, self.most)
+        return 1 / (1 + np.exp(-np.clip(held @ np.array(self.curve) + self.shift, -40, 40)))
 
 
 def units_of(text: str) -> list[str]:
@@ -350,6 +353,7 @@ def _calibrated(model: ToxicModel, rows: DataFrame, base: float) -> ToxicModel:
         theta -= step
         if np.abs(step).max() < 1e-8:
             break
+    model.most = v.max(axis=0)
     model.curve, model.shift, model.base_rate = tuple(map(float, theta[:-1])), float(theta[-1]), base
     return model
 
