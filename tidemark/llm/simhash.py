@@ -204,7 +204,12 @@ def without_near_duplicates(docs: DataFrame, spec: SimHashSpec = SimHashSpec())
     classes = near_duplicate_classes(docs, spec)
     # Groups whose ids are all null have no component_id; rows of one fingerprint then form a group.
     group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).alias("g")
-    equal = classes.groupBy(group, "doc_id", "text_key").agg(F.count("*").alias("m"))
+    return one_of_each(docs, classes.select(group, "doc_id", "text_key"))
+
+
+def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The first row of each group g; ``classes`` has g, doc_id and text_key of every row of ``docs``."""
+    equal = classes.groupBy("g", "doc_id", "text_key").agg(F.count("*").alias("m"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key", "m")).alias("first")
     keep = stored(equal.groupBy("g").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"), F.col("first.m").alias("_m")), "simhash-kept")
     met = F.xxhash64(docs["text"]).eqNullSafe(keep["_key"]) & docs["doc_id"].eqNullSafe(keep["_id"])
