@@ -1,8 +1,9 @@
 """Document fingerprints by SpotSigs, in DataFrame functions alone.
 
 A spot signature is a common word (the anchor) with the chain of the next ``chain`` content words after it, other
-common words skipped, looked for within ``reach`` words. A text's fingerprint is the sorted set of its signatures'
-32-bit hashes; texts without any anchor take every word as one. Sets are partitioned by their length, in classes whose
+common words skipped, looked for within ``reach`` words. A word that no common word precedes within ``reach`` words is
+an anchor too, so that tables, lists and other languages give signatures throughout, and an edit changes only those
+near it. A text's fingerprint is the sorted set of its signatures' 32-bit hashes. Sets are partitioned by their length, in classes whose
 bounds differ by the factor ``1 / similarity``: sets that are at least ``similarity`` alike lie in the same class or in
 neighbouring ones. The Jaccard likeness of two sets cannot exceed the quotient of their lengths, so pairs below
 ``floor`` by that bound get 0 without an intersection.
@@ -47,8 +48,13 @@ def signature_set(text: Column, spec: SpotSpec = SpotSpec()) -> Column:
     anchor = lambda w: w.isin(ANCHORS)
 
     def signatures(words: Column) -> Column:
-        places = F.filter(F.transform(words, lambda w, i: F.when(anchor(w), i + 1)), lambda i: i.isNotNull())
-        places = F.when(F.size(places) > 0, places).when(F.size(words) > 0, F.sequence(F.lit(1), F.size(words))).otherwise(F.array().cast("array<int>"))
+        listed = F.filter(F.transform(words, lambda w, i: F.when(anchor(w), i + 1)), lambda i: i.isNotNull())
+        # From each listed anchor to the next: it, and the words more than ``reach`` after it. The first stretch has none.
+        begins, ends = F.concat(F.array(F.lit(-spec.reach)), listed), F.concat(listed, F.array(F.size(words) + 1))
+        none = F.array().cast("array<int>")
+        own = lambda a: F.when(a > 0, F.array(a)).otherwise(none)
+        far = lambda a, b: F.when(b > a + spec.reach + 1, F.sequence(a + spec.reach + 1, b - 1)).otherwise(none)
+        places = F.flatten(F.zip_with(begins, ends, lambda a, b: F.concat(own(a), far(a, b))))
         chain = lambda i: F.slice(F.filter(F.slice(words, i + 1, spec.reach), lambda w: ~anchor(w)), 1, spec.chain)
         return F.transform(places, lambda i: F.xxhash64(F.element_at(words, i), chain(i)).bitwiseAND(F.lit(0xFFFFFFFF)))
 
