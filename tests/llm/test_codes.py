@@ -10,7 +10,6 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidemark.llm import langid, packing, quality, simhash, tokenbin, urlfilter
-from tidemark.llm.mixing import MixRecipe, source_targets
 
 
 @given(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 3) | st.integers(0, 50_000), max_size=300), st.integers(1, 90))
@@ -73,11 +72,3 @@ def test_text_statistics(text):
     repeated = sum(bool(line.strip(" \t\x0b\x0c\r")) and line in lines[:i] for i, line in enumerate(lines))
     symbols = sum(c in "#*$%&|<>" for c in text)
     assert quality.text_statistics(text.encode("utf-8", "surrogatepass")) == (len(words), sum(map(len, words)), symbols, repeated, len(covered))
-
-
-@given(st.lists(st.integers(0, 1000), max_size=8))
-@settings(max_examples=200, deadline=None)
-def test_targets(sizes):
-    targets = source_targets(sizes, MixRecipe())
-    assert all(t <= 2 * s + 1e-6 for t, s in zip(targets, sizes, strict=True))
-    assert abs(sum(targets) - 1.5 * sum(sizes)) < 1e-6 * max(1, sum(sizes))

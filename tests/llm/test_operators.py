@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, packing, quality, simhash, spotsigs, tokenbin, tokencount, toxicity, urlfilter
+from tidemark.llm import langid, packing, quality, simhash, spotsigs, tokenbin, tokencount, toxicity, urlfilter
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, copies int, _text_key string, _copies int"
@@ -40,22 +40,6 @@ def crc(ids):
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
 
 
-def test_mixing(spark, docs, empty):
-    # Without the long text, which alone has most words of its source.
-    many = docs.where("doc_id <> 6 or doc_id is null").unionByName(spark.range(100, 700).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', cast(1 + id * 7919 % 90 as int))").alias("text"), F.expr("'s' || id % 3").alias("source")), allowMissingColumns=True)
-    rows = mixing.mix_sizes(many).collect()
-    assert len(rows) == many.count()
-    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, mixing.mix_sizes(many.repartition(7)).collect()), key=str)
-    for source in {r.source for r in rows}:
-        own = [r for r in rows if r.source == source]
-        assert sum(r["size"] for r in own) == own[0].source_size
-        assert abs(sum(r["size"] * r.copies for r in own) - own[0].target) <= max(0.03 * own[0].target, 14)
-    assert all(0 <= r.copies <= 2 for r in rows)
-    mix = mixing.mixed(many)
-    assert mix.columns == many.columns and mix.count() == sum(r.copies for r in rows)
-    assert mixing.mixed(empty).count() == 0
-
-
 def test_packing(docs, empty):
     pieces = packing.packed(docs, packing.PackSpec(WORDS, window=64)).collect()
     by_doc, by_sequence = {}, {}
@@ -123,11 +107,29 @@ def test_simhash_fingerprints(docs, empty):
     assert simhash.without_near_duplicates(empty).count() == 0
 
 
-@pytest.mark.parametrize("dense", [512])
-def test_simhash_components(spark, dense):
+def plain_roots(fps):
+    """Of each fingerprint the least one that it reaches by steps of up to three bits."""
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    unsigned = [f % (1 << 64) for f in fps]
+    for i, a in enumerate(fps):
+        for j in range(i):
+            if (unsigned[i] ^ unsigned[j]).bit_count() <= 3:
+                x, y = find(a), find(fps[j])
+                root[max(x, y)] = min(x, y)
+    return {f: find(f) for f in fps}
+
+
+def clustered_fingerprints(seed, packed):
+    """Chains, a star, and ``packed`` fingerprints that differ in few places only, so that they share crowded buckets."""
     import random
 
-    r = random.Random(5)
+    r = random.Random(seed)
     fps = [r.getrandbits(64) for _ in range(60)]
     for base in fps[:12]:
         at = base
@@ -135,21 +137,18 @@ def test_simhash_components(spark, dense):
             at ^= sum(1 << b for b in r.sample(range(64), r.randrange(1, 5)))
             fps.append(at)
     fps += [fps[0] ^ (1 << b) for b in range(40)]
-    fps = sorted({f - (1 << 64) if f >> 63 else f for f in fps})
-    root = {f: f for f in fps}
+    base, places = r.getrandbits(64), r.sample(range(64), 24)
+    for _ in range(packed):
+        fps.append(base ^ sum(1 << b for b in r.sample(places, r.randrange(0, 13))))
+    return sorted({f - (1 << 64) if f >> 63 else f for f in fps})
 
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
 
-    for i, a in enumerate(fps):
-        for b in fps[:i]:
-            if ((a ^ b) % (1 << 64)).bit_count() <= 3:
-                root[max(find(a), find(b))] = min(find(a), find(b))
-    links = simhash.links_within(spark.createDataFrame([(f,) for f in fps], "fp long"), simhash.SimHashSpec(dense=dense))
+@pytest.mark.parametrize(("dense", "direct_bits", "packed"), [(3, 3, 150), (8, 9, 900), (64, 9, 900), (200, 5, 900), (512, 9, 900)])
+def test_simhash_components(spark, dense, direct_bits, packed):
+    fps = clustered_fingerprints(5, packed)
+    links = simhash.links_within(spark.createDataFrame([(f,) for f in fps], "fp long"), simhash.SimHashSpec(dense=dense, direct_bits=direct_bits))
     got = {row.node: row.root for row in simhash.components(links).collect()}
-    assert {f: got.get(f, f) for f in fps} == {f: find(f) for f in fps}
+    assert {f: got.get(f, f) for f in fps} == plain_roots(fps)
 
 
 def test_language_id(spark, docs, empty):

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import pyarrow as pa
@@ -23,11 +26,14 @@ _shipped: set[str] = set()
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir`` where it is set.
 
-    Only where it is unset (tests, a laptop) a temporary folder of this process takes its place.
+    Where it is unset, a temporary folder of this process takes its place if driver and executors are one process
+    (tests, a laptop); on a cluster that is an error, as other machines would not see the folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="tidemark-"))
         atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)
@@ -39,6 +45,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def cleared(spark: SparkSession) -> None:
+    """Deletes this application's intermediate tables; results that are still lazily read from them are lost."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
@@ -50,8 +62,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes of a batch of texts on its way to Python; both sides hold a few batches for each task.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
+
+
 def shipped(spark: SparkSession) -> None:
-    """Sends this package's modules to the executors, once per application, for clusters where it isn't installed."""
+    """Prepares a session for the operators; each calls it first.
+
+    It sends this package's modules to the executors, once per application, for clusters where it isn't installed, and
+    bounds the batches that Python gets, unless the session has bounds of its own.
+    """
+    for name, (default, own) in BATCH.items():
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, own)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -63,6 +86,28 @@ def shipped(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def released() -> None:
+    """Gives memory that this Python worker no longer uses back to the machine; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches, with its memory given back at the end."""
+
+    @wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            released()
+
+    return task
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
@@ -71,11 +116,24 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def word_count(text: Column) -> Column:
+    """Words (see WORD) of a text, 0 for null, without an array of them: each becomes one letter, and letters are counted."""
+    letters = F.translate(F.regexp_replace(text, WORD, "w"), " \t\n\x0b\x0c\r", "")
+    return F.coalesce(F.char_length(letters), F.lit(0)).cast("long")
+
+
 def id_text_crc(column: Column) -> Column:
     """crc32 of an id's decimal text; a null id counts as the empty text (crc 0)."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A hash of all columns of a row; equal for equal rows. Maps, which have no hash, count by their JSON."""
+    parts = [F.to_json(F.struct(docs[f.name])) if "map<" in f.dataType.simpleString() else docs[f.name] for f in docs.schema]
+    nulls = F.concat(F.lit(""), *(docs[c].isNull().cast("string") for c in docs.columns))  # a hash passes over nulls
+    return F.xxhash64(*parts, nulls)
+
+
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The column's texts as UTF-8 bytes; null becomes empty."""
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]

@@ -4,9 +4,13 @@ Rates ``w`` over documents minimise the relative entropy to one copy each, subje
 its target and ``0 <= w <= cap``. The solution tilts exponentially in a document's size,
 ``w = min(cap, exp(dual[source] * size / scale[source]))``, and the convex dual is solved by safeguarded Newton steps.
 Spark evaluates each step's gradient and curvature over a (source, size) histogram, so that a hot source costs no more
-than its distinct sizes; the driver holds one dual per source. Rates become whole copies by carrying the rounding
-error, in words, from document to document inside salted groups of about ``group_rows`` documents, so that a source's
-total misses its target by less than a small document per group and no group is large.
+than its distinct sizes; duals, brackets and targets are a table with a row per source, of any number.
+
+Rates become whole copies by thresholds: a document's place is a hash of its id and text less its rate's fraction, cut
+into ``bins``, and it gets its extra copy if its bin is below the threshold of its source and size class. Thresholds
+are set from the largest class to the smallest, each making up for what the classes above it missed. So copies depend
+on a document and a row of its source alone: ``mixed`` moves no texts, and a source's total misses its target by a
+small document or about a ``bins``-th part of its smallest classes. Sums are exact decimals, so that reruns agree.
 
 Nulls: a null text has size 0; a null source is a source of its own and comes last; a null doc_id is allowed.
 Equal rows get the same number of copies. Empty tables give empty results. Other columns pass through ``mixed``; input
@@ -16,16 +20,14 @@ columns named like an output are replaced.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import WORD, free_name, stored
+from .common import free_name, shipped, stored, word_count
 
 
 @dataclass(frozen=True)
@@ -35,125 +37,164 @@ class MixRecipe:
     weights: Sequence[float] = (3.0, 1.0, 2.0)
     share: float = 1.5
     cap: float = 2.0
-    group_rows: int = 256
+    bins: int = 1024
     tolerance: float = 1e-7
     max_steps: int = 60
-    #: Duals, targets and salts are held per source on the driver and broadcast: more sources than this is an error.
-    max_sources: int = 20_000
-
-
-def source_targets(sizes: Sequence[float], recipe: MixRecipe) -> list[float]:
-    """Target words of each source, given in order; what a cap cuts off is shared again by weight."""
-    weights = [recipe.weights[i % len(recipe.weights)] for i in range(len(sizes))]
-    rest, free, out = recipe.share * sum(sizes), set(range(len(sizes))), [0.0] * len(sizes)
-    while free:
-        unit = rest / sum(weights[i] for i in free)
-        above = [i for i in free if weights[i] * unit > recipe.cap * sizes[i]]
-        if not above:
-            for i in free:
-                out[i] = weights[i] * unit
+    #: Tables of up to so many sources (some hundred bytes each) are sent to every executor, larger ones joined.
+    broadcast_sources: int = 20_000
+
+
+def _exact(value: Column) -> Column:
+    """For sums that don't depend on the order of their terms."""
+    return value.cast("decimal(38,9)")
+
+
+def _ranked(sources: DataFrame) -> DataFrame:
+    """With ``at``: the place of each row by source, null last. Ranges are numbered apart and then put behind each other."""
+    dealt = stored(sources.repartitionByRange(F.asc_nulls_last("source")).sortWithinPartitions(F.asc_nulls_last("source")).withColumn("_id", F.monotonically_increasing_id()), "mix-order")
+    part = F.shiftright("_id", 33)
+    counts = sorted((r["p"], r["n"]) for r in dealt.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())  # a row per partition
+    offsets, before = [], 0
+    for p, n in counts:
+        offsets += [F.lit(p), F.lit(before)]
+        before += n
+    offset = F.element_at(F.create_map(*offsets), part) if offsets else F.lit(0)
+    return dealt.withColumn("at", offset + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id")
+
+
+def source_targets(histogram: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
+    """source, at (its place), words, scale, target for each source of a histogram (source, size, n).
+
+    Sources share ``share`` of all words by weight; what a cap cuts off is shared again by weight.
+    """
+    n, size = F.col("n"), F.col("size")
+    sums = histogram.groupBy("source").agg(F.sum(n * size).alias("words"), F.sum(n.cast("decimal(19,0)") * size.cast("decimal(12,0)") * size.cast("decimal(12,0)")).cast("double").alias("squares"))
+    weights = F.array(*(F.lit(float(w)) for w in recipe.weights))
+    table = stored(_ranked(sums).withColumn("weight", F.element_at(weights, (F.col("at") % len(recipe.weights) + 1).cast("int"))), "mix-sources")
+    most = recipe.cap * F.col("words")
+    total = int(table.agg(F.sum("words")).first()[0] or 0)
+    unit, free = 0.0, None
+    while True:
+        # Each step caps at least one more source, as the unit rises.
+        above = F.col("weight") * unit > most
+        now = table.agg(F.sum(F.when(above, most)).alias("capped"), F.sum(F.when(~above, F.col("weight"))).alias("weight"), F.count_if(~above).alias("free")).first()
+        if not now["weight"] or now["free"] == free:
             break
-        for i in above:
-            out[i] = recipe.cap * float(sizes[i])
-            rest -= out[i]
-            free.discard(i)
-        rest = max(rest, 0.0)
-    return out
+        free, unit = now["free"], max(0.0, recipe.share * total - (now["capped"] or 0.0)) / now["weight"]
+    target = F.when(F.col("weight") * unit > most, most).otherwise(F.col("weight") * unit) if now["weight"] else most
+    scale = F.when(F.col("words") > 0, F.col("squares") / F.col("words")).otherwise(1.0)
+    return table.select("source", "at", "words", scale.alias("scale"), target.alias("target"))
+
 
+def _met(a: DataFrame, b: DataFrame, recipe: MixRecipe, few: bool) -> DataFrame:
+    """Rows of ``a`` with those of the table ``b`` of sources, null equal to null."""
+    named = b.withColumnRenamed("source", "_source")
+    return a.join(F.broadcast(named) if few else named, a["source"].eqNullSafe(named["_source"])).drop("_source")
 
-def _solve(spark: SparkSession, histogram: DataFrame, stats: list, targets: list[float], recipe: MixRecipe) -> list[float | None]:
-    """The dual of each source; None where the rate is the cap (or the source has no words)."""
+
+def solved(histogram: DataFrame, sources: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
+    """``sources`` with the dual of each; null where the rate is the cap (or the source has no words)."""
+    few = sources.count() <= recipe.broadcast_sources
     log_cap = math.log(recipe.cap)
-    duals: list[float | None] = [None] * len(stats)
-    low, high, active = {}, {}, []
-    for i, s in enumerate(stats):
-        if s["words"] and targets[i] < recipe.cap * s["words"] * (1 - 1e-12):
-            duals[i] = math.log(max(targets[i], 1e-9 * s["words"]) / s["words"])
-            low[i], high[i] = -math.inf, math.inf
-            active.append(i)
-    schema = "at int, dual double"
+    words, target, dual = F.col("words"), F.col("target"), F.col("dual")
+    inside = (words > 0) & (target < recipe.cap * words * (1 - 1e-12))
+    state = sources.withColumn("dual", F.when(inside, F.log(F.greatest(target, 1e-9 * words) / words)))
+    state = stored(state.select("*", F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), inside.alias("active")), "mix-duals")
     for _ in range(recipe.max_steps):
-        if not active:
+        now = state.where("active")
+        if now.isEmpty():
             break
-        now = F.broadcast(spark.createDataFrame([(i, duals[i]) for i in active], schema))
-        tilt = F.col("dual") * F.col("scaled")
-        words = F.col("n") * F.col("size") * F.exp(F.least(tilt, F.lit(log_cap)))
-        sums = histogram.join(now, "at").groupBy("at").agg(F.sum(words).alias("words"), F.sum(F.when(tilt < log_cap, words * F.col("scaled")).otherwise(0.0)).alias("slope"))
-        still = []
-        for row in sums.collect():  # one row for each source
-            i, miss = row["at"], row["words"] - targets[row["at"]]
-            if abs(miss) <= recipe.tolerance * targets[i]:
-                continue
-            low[i], high[i] = (low[i], duals[i]) if miss > 0 else (duals[i], high[i])
-            step = duals[i] - miss / row["slope"] if row["slope"] > 0 else math.nan
-            if not low[i] < step < high[i]:
-                step = (low[i] + high[i]) / 2 if math.isfinite(low[i] + high[i]) else duals[i] + math.copysign(max(1.0, abs(duals[i])), -miss)
-            if step != duals[i]:
-                duals[i] = step
-                still.append(i)
-        active = still
-    # Sums of doubles depend on their order in the last digits; without these, reruns agree.
-    return [d if d is None else float(f"{d:.10g}") for d in duals]
-
-
-def _round_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Copies from rates: rows come by group, large documents first, and hand the error in words to the next row."""
-    group, carry = None, 0.0
-    for batch in batches:
-        copies = np.zeros(len(batch), np.int64)
-        rows = zip(batch["at"], batch["salt"], batch["rate"], batch["size"] * batch["m"], strict=True)
-        for k, (at, salt, rate, words) in enumerate(rows):
-            if (at, salt) != group:
-                group, carry = (at, salt), 0.0
-            least = math.floor(rate)
-            extra = rate > least and carry + (least + 0.5 - rate) * words <= 0
-            copies[k] = least + extra
-            carry += (copies[k] - rate) * words
-        yield batch.assign(copies=copies)
+        scaled = F.col("size") / F.col("scale")
+        taken = F.col("n") * F.col("size") * F.exp(F.least(dual * scaled, F.lit(log_cap)))
+        slope = F.when(dual * scaled < log_cap, taken * scaled).otherwise(0.0)
+        placed = _met(histogram, now.select("source", "at", "scale", "dual"), recipe, few)
+        sums = placed.groupBy("at").agg(F.sum(_exact(taken)).cast("double").alias("taken"), F.sum(_exact(slope)).cast("double").alias("slope"))
+        joined = state.join(F.broadcast(sums) if few else sums, "at", "left")
+        miss = F.col("taken") - target
+        done = ~F.col("active") | (F.abs(miss) <= recipe.tolerance * target)
+        low, high = F.when(miss > 0, F.col("low")).otherwise(dual), F.when(miss > 0, dual).otherwise(F.col("high"))
+        step = F.when(F.col("slope") > 0, dual - miss / F.col("slope"))
+        good = step.isNotNull() & (low.isNull() | (step > low)) & (high.isNull() | (step < high))
+        halved = F.coalesce((low + high) / 2, dual - F.signum(miss) * F.greatest(F.lit(1.0), F.abs(dual)))
+        following = F.when(done, dual).when(good, step).otherwise(halved)
+        state = stored(joined.select(*sources.columns, following.alias("dual"), F.when(done, F.col("low")).otherwise(low).alias("low"), F.when(done, F.col("high")).otherwise(high).alias("high"), (~done & (following != dual)).alias("active")), "mix-duals")
+    return state.select(*sources.columns, "dual")
 
 
-def mix_sizes(docs: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, text_key, size, source_size, target, rate, copies.
+def _rate(recipe: MixRecipe) -> Column:
+    tilt = F.least(F.col("dual") * F.col("size") / F.col("scale"), F.lit(math.log(recipe.cap)))
+    return F.when(F.col("size") == 0, 1.0).when(F.col("dual").isNull(), F.lit(float(recipe.cap))).otherwise(F.exp(tilt))
+
+
+def _sized(docs: DataFrame) -> list[Column]:
+    """Size, and a hash of id and text in [0, 1), of each row."""
+    return [word_count(docs["text"]).alias("size"), (F.pmod(F.xxhash64(docs["doc_id"], docs["text"]), F.lit(1 << 30)) / float(1 << 30)).alias("u")]
+
+
+def _fraction() -> Column:
+    return F.col("rate") - F.floor("rate")
 
-    ``text_key`` is xxhash64 of the text; with doc_id and source it identifies a row up to equal rows.
+
+def _size_class() -> Column:
+    return F.floor(F.log2(F.greatest("size", F.lit(1)))).cast("int")
+
+
+def _bin(recipe: MixRecipe) -> Column:
+    return F.floor((F.col("u") - _fraction() + 1) * (recipe.bins / 2)).cast("int")
+
+
+def _thresholds(bins: int):
+    """For one source: (size_class, bin, words, wanted) to the first bin of each class that gets no extra copy."""
+
+    def run(table: pd.DataFrame) -> pd.DataFrame:
+        carry, out = 0.0, []
+        for size_class in sorted(table["size_class"].unique(), reverse=True):
+            own = table[table["size_class"] == size_class].sort_values("bin")
+            need = carry + float(own["wanted"].astype(float).sum())
+            reached = [0.0, *own["words"].astype(float).cumsum()]
+            best = min(range(len(reached)), key=lambda k: (abs(need - reached[k]), k))
+            out.append((table["at"].iloc[0], size_class, own["bin"].iloc[best] if best < len(own) else bins))
+            carry = need - reached[best]
+        return pd.DataFrame(out, columns=["at", "size_class", "threshold"])
+
+    return run
+
+
+def mix_plan(rows: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
+    """A row per source with what the copies of its documents follow from; ``rows`` has source, size and u.
+
+    source, source_size, scale, target, dual, thresholds (a map from size classes).
     """
-    spark = docs.sparkSession
-    rows = stored(
-        docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")),
-        "mix-sizes",
-    )
-    stats = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words"), F.sum(F.col("size").cast("decimal(19,0)") * F.col("size").cast("decimal(19,0)")).alias("squares")).limit(recipe.max_sources + 1).collect()
-    if len(stats) > recipe.max_sources:
-        raise ValueError(f"more than {recipe.max_sources} sources; raise max_sources or coarsen the source column")
-    stats.sort(key=lambda s: (s["source"] is None, s["source"] or ""))
-    targets = source_targets([s["words"] for s in stats], recipe)
-    scales = [int(s["squares"]) / int(s["words"]) if s["words"] else 1.0 for s in stats]
-    plan_schema = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("_source", T.StringType())] + [T.StructField(n, T.DoubleType()) for n in ("scale", "target")] + [T.StructField(n, T.LongType()) for n in ("source_size", "salts")])
-    plan = F.broadcast(spark.createDataFrame([(i, s["source"], scales[i], targets[i], int(s["words"]), max(1, math.ceil(s["n"] / recipe.group_rows))) for i, s in enumerate(stats)], plan_schema))
-    placed = rows.join(plan, rows["source"].eqNullSafe(plan["_source"])).drop("_source")
-    histogram = stored(placed.where("size > 0").groupBy("at", "size", "scale").agg(F.count("*").alias("n")).select("at", "size", "n", (F.col("size") / F.col("scale")).alias("scaled")), "mix-histogram")
-    duals = _solve(spark, histogram, stats, targets, recipe)
-    tilts = F.broadcast(spark.createDataFrame(list(enumerate(duals)), "at int, dual double"))
-    rate = F.when(F.col("size") == 0, 1.0).when(F.col("dual").isNull(), F.lit(float(recipe.cap))).otherwise(F.exp(F.least(F.col("dual") * F.col("size") / F.col("scale"), F.lit(math.log(recipe.cap)))))
-    units = (
-        placed.groupBy("doc_id", "source", "text_key", "size", "at", "scale", "target", "source_size", "salts").agg(F.count("*").alias("m"))
-        .join(tilts, "at").withColumn("rate", rate)
-        .withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.col("salts")))
-        .select("doc_id", "source", "text_key", "size", "source_size", "target", "rate", "at", "salt", "m")
-    )
-    dealt = units.repartition("at", "salt").sortWithinPartitions("at", "salt", F.desc(F.col("size") * F.col("m")), "doc_id", "text_key")
-    schema = T.StructType([*units.schema.fields, T.StructField("copies", T.LongType())])
-    return (
-        dealt.mapInPandas(_round_groups, schema)
-        .withColumn("_row", F.explode(F.expr("sequence(1, cast(m as int))")))
-        .select("doc_id", "source", "text_key", "size", "source_size", "target", "rate", "copies")
-    )
+    histogram = stored(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-histogram")
+    sources = solved(histogram, source_targets(histogram, recipe), recipe)
+    few = sources.count() <= recipe.broadcast_sources
+    open_rows = _met(rows.where("size > 0"), sources, recipe, few).withColumn("rate", _rate(recipe)).where(_fraction() > 0)
+    binned = open_rows.groupBy("at", _size_class().alias("size_class"), _bin(recipe).alias("bin")).agg(F.sum("size").alias("words"), F.sum(_exact(F.col("size") * _fraction())).alias("wanted"))
+    # Size classes times bins rows of a source at most.
+    cut = binned.groupBy("at").applyInPandas(_thresholds(recipe.bins), "at long, size_class int, threshold int")
+    by_source = cut.groupBy("at").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("size_class", "threshold")))).alias("thresholds"))
+    plan = sources.join(F.broadcast(by_source) if few else by_source, "at", "left").select("source", F.col("words").alias("source_size"), "scale", "target", "dual", "thresholds")
+    return stored(plan, "mix-plan")
+
+
+def _with_copies(rows: DataFrame, plan: DataFrame, recipe: MixRecipe) -> DataFrame:
+    few = plan.count() <= recipe.broadcast_sources
+    extra = (_fraction() > 0) & (_bin(recipe) < F.coalesce(F.try_element_at("thresholds", _size_class()), F.lit(0)))
+    return _met(rows, plan, recipe, few).withColumn("rate", _rate(recipe)).withColumn("copies", F.floor("rate") + extra.cast("long"))
+
+
+def mix_sizes(docs: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, rate, copies."""
+    shipped(docs.sparkSession)
+    rows = stored(docs.select("doc_id", docs["source"].cast("string").alias("source"), *_sized(docs)), "mix-sizes")
+    return _with_copies(rows, mix_plan(rows, recipe), recipe).select("doc_id", "source", "size", "source_size", "target", "rate", "copies")
 
 
 def mixed(docs: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
     """The mix itself: each row of ``docs``, with all its columns, as often as it has copies."""
-    n = free_name(docs, "_copies")
-    chosen = mix_sizes(docs, recipe).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), F.col("copies").cast("int").alias(n)).distinct()
-    sizes = stored(chosen, "mix-copies")
-    kept = docs.join(sizes, F.xxhash64(docs["text"]).eqNullSafe(sizes["_key"]) & docs["doc_id"].eqNullSafe(sizes["_id"]) & docs["source"].eqNullSafe(sizes["_source"]))
-    return kept.withColumn(n, F.explode(F.sequence(F.lit(1), sizes[n]))).select([docs[c] for c in docs.columns])
+    shipped(docs.sparkSession)
+    rows = stored(docs.select(docs["source"].cast("string").alias("source"), *_sized(docs)), "mix-sizes")
+    row = free_name(docs, "_row")
+    chosen = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias(row), docs["source"].cast("string").alias("source"), *_sized(docs))
+    copied = _with_copies(chosen, mix_plan(rows, recipe), recipe)
+    return copied.select(row, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(f"{row}.*")

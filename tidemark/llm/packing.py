@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import slices, text_bytes
+from .common import shipped, slices, text_bytes, trimmed
 from .wordtokens import word_tokens
 
 
@@ -137,6 +137,7 @@ PIECE_SCHEMA = ", ".join(f"{c} long" for c in PIECES)
 
 def packed(docs: DataFrame, spec: PackSpec) -> DataFrame:
     """One row per piece of a document in a sequence: see PIECES. sequence_id is the partition, shifted, plus a count."""
+    shipped(docs.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(spec, TaskContext.get().partitionId() << 40)
@@ -148,4 +149,4 @@ def packed(docs: DataFrame, spec: PackSpec) -> DataFrame:
                     yield from packer.take(False)
         yield from packer.take(True)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(pack, PIECE_SCHEMA)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(trimmed(pack), PIECE_SCHEMA)

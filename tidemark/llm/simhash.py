@@ -8,8 +8,9 @@ at least one table, with no false negatives.
 
 Equal fingerprints are merged before anything else. Tables are joined only on buckets of two or more fingerprints.
 A bucket of more than ``dense`` fingerprints is not compared as it is: its members go through a covering family of the
-bits that its mask hides, and so on until buckets are small or so few bits are left that all members link anyway;
-distinct fingerprints that agree outside b bits number 2 ** b at most, so this ends. Nothing is capped.
+bits that its mask hides, until buckets are small or at most ``direct_bits`` bits are hidden; distinct fingerprints that
+agree outside b bits number 2 ** b at most. Each level hides at most 7 of 15 bits, so there are four levels (64, 30,
+14, 7 bits) and at most 15 masks for each mask of the level above. Nothing is capped.
 Within a bucket only a spanning forest of the links is emitted. Components are found by alternating
 large-star and small-star steps over tables in the shared folder.
 
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, slices, stored, text_bytes
+from .common import free_name, row_key, shipped, slices, stored, text_bytes, trimmed
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,8 @@ class SimHashSpec:
     seed: int = 42
     radius: int = 3
     dense: int = 512
+    #: Buckets that hide no more bits are compared directly: they hold 2 ** direct_bits fingerprints at most.
+    direct_bits: int = 9
     max_rounds: int = 60
 
 
@@ -60,7 +63,8 @@ def fingerprint(text: bytes, spec: SimHashSpec) -> int:
 
 
 def fingerprints(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame:
-    """doc_id, text_key (xxhash64 of the text), fp (the fingerprint's bits as a signed long)."""
+    """doc_id, row_key, fp (the fingerprint's bits as a signed long)."""
+    shipped(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,10 +72,10 @@ def fingerprints(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFram
             for a, b in slices([len(t) for t in texts], 4_000_000):
                 part = batch.slice(a, b - a)
                 fps = np.array([fingerprint(t, spec) for t in texts[a:b]], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(fps)], names=["doc_id", "text_key", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row_key"), pa.array(fps)], names=["doc_id", "row_key", "fp"])
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_key"), docs["text"])
-    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs).alias("row_key"), docs["text"])
+    return rows.mapInArrow(trimmed(run), "doc_id long, row_key long, fp long")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -79,8 +83,13 @@ def hex_fingerprint(fp: Column) -> Column:
 
 
 def covering_masks(bits: list[int], radius: int) -> list[int]:
-    """Masks over the given bits: differences in ``radius`` of them are hidden by at least one."""
-    vectors = {bit: 1 + i % ((1 << radius + 1) - 1) for i, bit in enumerate(bits)}
+    """Masks over the given bits: differences in ``radius`` of them are hidden by at least one.
+
+    Unit vectors are given out first, so that from ``radius + 1`` bits on no mask is empty.
+    """
+    units = [1 << k for k in range(radius + 1)]
+    order = units + [v for v in range(1, 1 << radius + 1) if v not in units]
+    vectors = {bit: order[i % len(order)] for i, bit in enumerate(bits)}
     return [sum(1 << bit for bit, x in vectors.items() if (x & v).bit_count() % 2) for v in range(1, 1 << radius + 1)]
 
 
@@ -133,9 +142,10 @@ def _spanning_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[
 def links_within(fps: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame:
     """Links (a, b) between distinct fingerprints, enough to join all that are within the radius of each other."""
     spark = fps.sparkSession
+    shipped(spark)
     found: DataFrame | None = None
     members = fps.select(F.lit(0).cast("long").alias("path"), F.lit(0).cast("long").alias("kept"), "fp")
-    level = {0: list(range(64))}  # path -> bits that are still hidden
+    level = {0: list(range(64))}  # path -> bits that are still hidden; 15 ** 3 paths at most, see above
     while level:
         following: dict[int, list[int]] = {}
         choices = []
@@ -144,20 +154,16 @@ def links_within(fps: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame
                 to = path * (1 << spec.radius + 1) + k + 1
                 following[to] = [b for b in bits if not mask >> b & 1]
                 visible = ((1 << 64) - 1) ^ sum(1 << b for b in following[to])
-                choices.append((path, to, _signed(visible)))
-        masks = F.broadcast(spark.createDataFrame(choices, "path long, to long, mask long"))  # 15 per path
-        keyed = members.select("path", "fp").join(masks, "path").select(F.col("to").alias("path"), F.col("fp").bitwiseAND(F.col("mask")).alias("kept"), "fp")
-        sizes = keyed.groupBy("path", "kept").agg(F.count("*").alias("n"), F.min("fp").alias("least")).where("n > 1")
-        crowded = stored(keyed.join(sizes, ["path", "kept"]), "simhash-buckets")
-        star = [p for p, bits in following.items() if len(bits) <= spec.radius]
-        small = crowded.where((F.col("n") <= spec.dense) & ~F.col("path").isin(star))
-        links = small.repartition("path", "kept").sortWithinPartitions("path", "kept", "fp").select("path", "kept", "fp").mapInArrow(lambda it: _spanning_links(it, spec.radius), "a long, b long")
-        if star:
-            links = links.unionByName(crowded.where(F.col("path").isin(star) & (F.col("fp") > F.col("least"))).select(F.col("least").alias("a"), F.col("fp").alias("b")))
+                choices.append((path, to, _signed(visible), len(following[to]) <= max(spec.direct_bits, spec.radius)))
+        masks = F.broadcast(spark.createDataFrame(choices, "path long, to long, mask long, direct boolean"))  # 15 per path
+        keyed = members.select("path", "fp").join(masks, "path").select(F.col("to").alias("path"), F.col("fp").bitwiseAND(F.col("mask")).alias("kept"), "fp", "direct")
+        sizes = keyed.groupBy("path", "kept").agg(F.count("*").alias("n")).where("n > 1")
+        crowded = stored(keyed.join(sizes, ["path", "kept"]).withColumn("direct", F.col("direct") | (F.col("n") <= spec.dense)), "simhash-buckets")
+        near = crowded.where("direct").repartition("path", "kept").sortWithinPartitions("path", "kept", "fp").select("path", "kept", "fp")
+        links = near.mapInArrow(trimmed(lambda it: _spanning_links(it, spec.radius)), "a long, b long")
         found = links if found is None else found.unionByName(links)
-        dense = crowded.where((F.col("n") > spec.dense) & ~F.col("path").isin(star))
-        paths = [r["path"] for r in dense.select("path").distinct().collect()]  # at most the paths of this level
-        level = {p: following[p] for p in paths}
+        dense = crowded.where("not direct")
+        level = {r["path"]: following[r["path"]] for r in dense.select("path").distinct().collect()}  # at most the paths of this level
         members = dense.select("path", "kept", "fp")
     assert found is not None
     return stored(found.distinct(), "simhash-links")
@@ -185,7 +191,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicate_classes(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame:
-    """doc_id, text_key, fp, component_id (smallest doc_id reachable) for every row."""
+    """doc_id, row_key, fp, component_id (smallest doc_id reachable) for every row."""
     rows = stored(fingerprints(docs, spec), "simhash-rows")
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-fingerprints")
     roots = components(links_within(distinct.select("fp"), spec), spec.max_rounds)
@@ -193,28 +199,34 @@ def near_duplicate_classes(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -
     best = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     moved = linked.join(best, "root").select("fp", "component_id")
     label = distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
-    return rows.join(label, "fp").select("doc_id", "text_key", "fp", "component_id")
+    return rows.join(label, "fp").select("doc_id", "row_key", "fp", "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame:
-    """``docs`` with one row of each group: the one with the smallest doc_id (null last), then the smallest text hash.
-
-    Of rows that agree in both, any one stays.
-    """
+    """``docs`` with one row of each group: the one with the smallest doc_id (null last), then the smallest hash of the row."""
     classes = near_duplicate_classes(docs, spec)
     # Groups whose ids are all null have no component_id; rows of one fingerprint then form a group.
     group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).alias("g")
-    return one_of_each(docs, classes.select(group, "doc_id", "text_key"))
-
-
-def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The first row of each group g; ``classes`` has g, doc_id and text_key of every row of ``docs``."""
-    equal = classes.groupBy("g", "doc_id", "text_key").agg(F.count("*").alias("m"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key", "m")).alias("first")
-    keep = stored(equal.groupBy("g").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"), F.col("first.m").alias("_m")), "simhash-kept")
-    met = F.xxhash64(docs["text"]).eqNullSafe(keep["_key"]) & docs["doc_id"].eqNullSafe(keep["_id"])
-    kept = docs.join(keep, met, "left_semi")
-    if keep.where("_m > 1").isEmpty():
-        return kept
-    key = free_name(docs, "_text_key")
-    return kept.withColumn(key, F.xxhash64(docs["text"])).dropDuplicates(["doc_id", key]).drop(key)
+    return one_of_each(docs, classes.select(group, "doc_id", "row_key"))
+
+
+def one_of_each(docs: DataFrame, classes: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """The first row of each group g; ``classes`` has g, doc_id and row_key (see ``row_key``) of every row of ``docs``.
+
+    Rows that go, or that occur several times, are sent to all others where there are no more than ``broadcast_rows``;
+    beyond that both sides are shuffled.
+    """
+    row = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row_key")
+    counted = stored(classes.groupBy("g", row.alias("row")).agg(F.count("*").alias("m")), "row-groups")
+    first = counted.groupBy("g").agg(F.min("row").alias("first"))
+    ranked = counted.join(first, "g").withColumn("once", F.col("row") == F.col("first"))
+    marked = stored(ranked.where("not once or m > 1").select(F.col("row.doc_id").alias("_id"), F.col("row.row_key").alias("_key"), "once"), "row-marks")
+    few = marked.count() <= broadcast_rows
+    key = free_name(docs, "_row_key")
+    rows = docs.withColumn(key, row_key(docs))
+
+    def met(marks: DataFrame, how: str) -> DataFrame:
+        return rows.join(F.broadcast(marks) if few else marks, (rows[key] == marks["_key"]) & rows["doc_id"].eqNullSafe(marks["_id"]), how)
+
+    # Equal rows can't be told apart: one of them stays.
+    return met(marked, "left_anti").unionByName(met(marked.where("once"), "left_semi").dropDuplicates(["doc_id", key])).drop(key)

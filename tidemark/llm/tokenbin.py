@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import shipped, slices, text_bytes, trimmed
 from .wordtokens import word_tokens
 
 # Fixed values of the code: ids in a word and bits of an id, by selector.
@@ -123,6 +123,7 @@ CHUNKS = "shard int, chunk int, ids_before long, n_ids long, doc_ids array<long>
 
 def write_token_files(docs: DataFrame, path: str, spec: TokenFileSpec) -> None:
     """Encodes every text and writes the file set; documents are dealt to shards by ranges of (doc_id, text hash)."""
+    shipped(docs.sparkSession)
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, shard, number, before = word_tokens(spec.tokenizer, spec.end_id), TaskContext.get().partitionId(), 0, 0
@@ -151,11 +152,12 @@ def write_token_files(docs: DataFrame, path: str, spec: TokenFileSpec) -> None:
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(chunks, CHUNKS).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(trimmed(chunks), CHUNKS).write.option("compression", "none").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of every document, decoded from the files."""
+    shipped(spark)
     files = spark.read.schema(CHUNKS).parquet(path)
     # One row per shard, as many as the writer had partitions.
     totals = files.groupBy("shard").agg(F.sum("n_ids").alias("n"))
@@ -180,12 +182,13 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     names=["shard", "doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    decoded = files.select("shard", "ids_before", "doc_ids", "lengths", "words").mapInArrow(documents, "shard int, doc_id long, start long, n_tokens long, ids_crc32 long")
+    decoded = files.select("shard", "ids_before", "doc_ids", "lengths", "words").mapInArrow(trimmed(documents), "shard int, doc_id long, start long, n_tokens long, ids_crc32 long")
     return decoded.join(F.broadcast(base), "shard").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
     """doc_id and its ids as an array, for consumers that want the tokens themselves."""
+    shipped(spark)
     files = spark.read.schema(CHUNKS).parquet(path)
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,4 +200,4 @@ def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
                 offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([chunk.column("doc_ids")[0].values, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=["doc_id", "ids"])
 
-    return files.select("doc_ids", "lengths", "words").mapInArrow(documents, "doc_id long, ids array<long>")
+    return files.select("doc_ids", "lengths", "words").mapInArrow(trimmed(documents), "doc_id long, ids array<long>")

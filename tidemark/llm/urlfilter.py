@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shipped
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -118,6 +120,7 @@ def _glob_pattern(glob: str) -> list[tuple[str, str]]:
 
 def judged_urls(pages: DataFrame, rules: UrlRules, key: str = "page_id", url: str = "url") -> DataFrame:
     """key, host, path, rule (text, or null), verdict (``allow`` or ``block``) of every row."""
+    shipped(pages.sparkSession)
     automaton = GlobAutomaton([*map(_rule_pattern, (r for _, r in rules.rules)), *map(_glob_pattern, rules.block_globs)])
     texts = [r for _, r in rules.rules]
     rank = sorted(range(len(texts)), key=lambda i: (-len(texts[i]), i))

@@ -50,7 +50,7 @@ class WordTokens:
     anew. The ids do not depend on it: they are those of the library for the whole text.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 600_000) -> None:
+    def __init__(self, path: str, end_id: int, limit: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -75,6 +75,13 @@ class WordTokens:
         self._store([b".", b","])
         self.numbers.fresh.clear()
 
+    def _ends_plain(self, word: str) -> bool:
+        """Does the word end in a letter or digit once it is normalised? Some letters then end in a combining mark."""
+        if word[-1].isascii():
+            return word[-1].isalnum()
+        word = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
+        return bool(word) and unicodedata.category(word[-1])[0] in "LN"
+
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -101,7 +108,7 @@ class WordTokens:
             else:
                 hard.append(i)
                 self.closes[first + i] = w.rstrip(b"\"')]").endswith((b".", b"!", b"?", b"\xe3\x80\x82"))
-                self.rough[first + i] = not t[-1].isalnum()
+                self.rough[first + i] = not self._ends_plain(t)
         if easy:
             e = self.plain.encode([texts[i] for i in easy], is_pretokenized=True, add_special_tokens=False)
             self._put(first + np.array(easy), np.array(e.ids, np.uint32), np.bincount(np.array(e.word_ids, np.int64), minlength=len(easy)))
