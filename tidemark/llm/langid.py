@@ -1,9 +1,10 @@
 """Language identification with span labels for mixed text.
 
-A word is a run of letters. Its script (by code point ranges) narrows the languages to those whose training text uses
-that script; its score in each is the sum of the log-probabilities of its letter trigrams, word edges included, hashed
-into ``2 ** bits`` features. Viterbi over the words of a text, with a penalty for every change of language, labels
-spans. The document's language is the one with most letters; its score is that share times the language's posterior.
+A word is a run of letters. Its script (by code point ranges) narrows the candidates to the languages whose training
+text uses that script; only those are scored, by the sum of the log-probabilities of the word's letter trigrams, word
+edges included, hashed into ``2 ** bits`` features. Viterbi over the words of a text, with a penalty for every change
+of language, labels spans. The document's language is the one with most letters; its share is that of all letters of
+the text, and its score the share times the language's posterior over the words labelled with it.
 
 Texts whose best single language cannot be beaten by any change are labelled at once: if no run of words gains more
 than half the penalty in another language, no path with changes can win. All others go through Viterbi, many texts
@@ -13,8 +14,8 @@ The model is counted on a bounded sample of labelled rows: per language the whol
 ``max_docs_per_language`` documents, chosen by a hash. Nothing but the text enters a prediction.
 
 Nulls and texts without letters give ``und`` with score 0. If no language is known, every text is ``und``. Words in a
-script that no language uses count for no language; a text of such words alone gets the most frequent language with
-score 0. Rows with null doc_id count as id '' for the holdout. Empty tables give empty results.
+script that no language uses count for no language, but among the letters that shares are of; a text of such words
+alone gets the most frequent language with share and score 0. Rows with null doc_id count as id '' for the holdout. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -24,12 +25,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text_crc, slices
+from .common import id_text_crc, released, shipped, slices, trimmed
 
 # The scripts' code point ranges (Unicode blocks), everything else is 'other'.
 SCRIPT_RANGES = [
@@ -59,7 +59,11 @@ class LangIdSpec:
     switch_penalty: float = 12.0
     #: A script is a language's own if at least this share of its training letters is in it.
     script_share: float = 0.02
-    batch_chars: int = 500_000
+    batch_chars: int = 250_000
+
+
+#: What a language that is no candidate scores for a word: less than any word does.
+OUT = np.float32(-1e6)
 
 
 class Letters:
@@ -112,25 +116,32 @@ def _counts(rows: DataFrame, languages: list[str], spec: LangIdSpec) -> DataFram
         lang, feature = np.nonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(feature), pa.array(table[lang, feature])], names=["lang", "feature", "n"])
 
-    return rows.select("lang", "text").mapInArrow(run, "lang long, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
+    return rows.select("lang", "text").mapInArrow(trimmed(run), "lang long, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
+
+
+def _sampled(labelled: DataFrame, spec: LangIdSpec) -> tuple[dict[str, int], DataFrame]:
+    """Rows of each language, in order of names, and about ``max_docs_per_language`` of each, picked by a hash."""
+    found = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(spec.max_languages + 1).collect()
+    if len(found) > spec.max_languages:
+        raise ValueError(f"more than {spec.max_languages} languages")
+    sizes = {r["lang"]: r["n"] for r in sorted(found, key=lambda r: r["lang"])}
+    wanted = F.lit(False)
+    for lang, n in sizes.items():
+        share = min(1.0, spec.max_docs_per_language / n)
+        wanted = wanted | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < round(share * 1_000_000)))
+    return sizes, labelled.where(wanted)
 
 
 def train(labelled: DataFrame, spec: LangIdSpec = LangIdSpec()) -> LangModel:
     """Counts the model over rows (doc_id, text, lang); rows without text or lang are passed over."""
+    shipped(labelled.sparkSession)
     labelled = labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null")
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(spec.max_languages + 1).collect()
-    if len(sizes) > spec.max_languages:
-        raise ValueError(f"more than {spec.max_languages} languages")
-    sizes.sort(key=lambda r: r["lang"])
-    languages = [r["lang"] for r in sizes]
-    wanted = F.lit(False)
-    for r in sizes:
-        share = min(1.0, spec.max_docs_per_language / r["n"])
-        wanted = wanted | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < round(share * 1_000_000)))
+    sizes, sample = _sampled(labelled, spec)
+    languages = list(sizes)
     features = 1 << spec.bits
     table = np.zeros((len(languages), features + len(SCRIPTS)))
     if languages:
-        for r in _counts(labelled.where(wanted), languages, spec).toLocalIterator():  # features times languages at most
+        for r in _counts(sample, languages, spec).toLocalIterator():  # features times languages at most
             table[r["lang"], r["feature"]] = r["n"]
     trigrams, scripts = table[:, :features], table[:, features:]
     smooth = 0.05
@@ -138,7 +149,7 @@ def train(labelled: DataFrame, spec: LangIdSpec = LangIdSpec()) -> LangModel:
     return LangModel(
         tuple(languages), np.ascontiguousarray(log_probs.T, np.float32),
         (scripts >= spec.script_share * np.maximum(1, scripts.sum(axis=1, keepdims=True))).T.copy(),
-        int(np.argmax([r["n"] for r in sizes])) if sizes else -1, spec,
+        int(np.argmax(list(sizes.values()))) if sizes else -1, spec,
     )
 
 
@@ -182,15 +193,27 @@ class Spans:
     has_letters: np.ndarray
 
 
+def word_scores(model: LangModel, letters: Letters) -> tuple[np.ndarray, np.ndarray]:
+    """Per word and language its score, OUT for those that are no candidates; and does the word have candidates?"""
+    scores = np.full((len(letters.begins), len(model.languages)), OUT, np.float32)
+    script = letters.scripts[letters.begins] if len(letters.begins) else np.zeros(0, np.uint8)
+    scored = np.zeros(len(script), bool)
+    for number in np.unique(script):
+        candidates = np.flatnonzero(model.uses_script[number])
+        if len(candidates):
+            own = np.flatnonzero(script == number)
+            scored[own] = True
+            sizes = letters.lengths[own]
+            features = letters.features if len(own) == len(script) else letters.features[np.repeat(letters.begins[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+            table = model.log_probs if len(candidates) == len(model.languages) else np.ascontiguousarray(model.log_probs[:, candidates])
+            scores[np.ix_(own, candidates)] = np.add.reduceat(table[features], np.cumsum(sizes) - sizes, axis=0)
+    return scores, scored
+
+
 def label_words(model: LangModel, texts: list[str]) -> Spans:
     letters, count = Letters(texts, model.spec.bits), len(model.languages)
     n = len(texts)
-    scores = np.add.reduceat(model.log_probs[letters.features], letters.begins, axis=0) if len(letters.begins) else np.zeros((0, count), np.float32)
-    script = letters.scripts[letters.begins] if len(letters.begins) else np.zeros(0, np.uint8)
-    allowed = model.uses_script[script]
-    scored = allowed.any(axis=1)
-    # A language that doesn't use the word's script falls behind by a fixed amount per letter.
-    scores = np.where(allowed, scores, scores - 8 * letters.lengths[:, None].astype(np.float32))
+    scores, scored = word_scores(model, letters)
     scores[~scored] = 0
     words = np.bincount(letters.owners, minlength=n)
     begins = np.cumsum(words) - words
@@ -222,41 +245,51 @@ def label_words(model: LangModel, texts: list[str]) -> Spans:
     np.add.at(by_language, (letters.owners[scored], labels[scored]), letters.lengths[scored])
     best = by_language.argmax(axis=1)
     known = by_language.sum(axis=1)
-    share = by_language.max(axis=1) / np.maximum(1, known)
-    # Posterior from the average word, as neighbouring trigrams are far from independent.
-    sized = total / np.sqrt(np.maximum(1, np.bincount(letters.owners, scored, minlength=n)))[:, None]
-    odds = np.exp(sized - sized.max(axis=1, keepdims=True)) if count else np.ones((n, 1))
-    posterior = odds[np.arange(n), best] / odds.sum(axis=1)
+    share = by_language.max(axis=1) / np.maximum(1, np.bincount(letters.owners, letters.lengths, minlength=n))
+    # Posterior from the average word that is labelled with the language, as neighbouring trigrams are far from independent.
+    posterior = np.ones(n)
+    if count:
+        own = labels == best[letters.owners]
+        summed = np.stack([np.bincount(letters.owners[own], scores[own, k], minlength=n) for k in range(count)], axis=1)
+        sized = summed / np.sqrt(np.maximum(1, np.bincount(letters.owners[own], minlength=n)))[:, None]
+        odds = np.exp(sized - sized.max(axis=1, keepdims=True))
+        posterior = odds[np.arange(n), best] / odds.sum(axis=1)
     best = np.where(known > 0, best, model.prior)
     return Spans(labels, letters.owners, letters.lengths, best, share, np.where(known > 0, posterior, 0.0), words > 0)
 
 
-def identified(model: LangModel, texts: pd.Series) -> pd.DataFrame:
+FOUND = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("share", pa.float64())])
+
+
+def identified(model: LangModel, texts: list[str | None]) -> list[dict]:
     """lang, score, share (of the letters in that language) for each text."""
-    rows = [t if isinstance(t, str) else "" for t in texts]
-    out: list[tuple[str, float, float]] = []
+    rows = [t or "" for t in texts]
+    out = []
     for a, b in slices([len(t) for t in rows], model.spec.batch_chars):
         spans = label_words(model, rows[a:b])
         for has, best, share, posterior in zip(spans.has_letters, spans.best, spans.share, spans.posterior, strict=True):
             known = has and best >= 0
-            out.append((model.languages[best], float(min(1.0, share * posterior)), float(share)) if known else ("und", 0.0, 0.0))
-    return pd.DataFrame(out, columns=["lang", "score", "share"])
+            out.append({"lang": model.languages[best], "score": float(min(1.0, share * posterior)), "share": float(share)} if known else {"lang": "und", "score": 0.0, "share": 0.0})
+    return out
 
 
 def language_of(model: LangModel, docs: DataFrame, text: str = "text") -> Column:
     """A struct column (lang, score, share) for the texts of ``docs``."""
+    shipped(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # features times languages: bounded by the spec
 
-    @F.pandas_udf("lang string, score double, share double")
-    def udf(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for series in texts:
-            yield identified(shared.value, series)
+    @F.arrow_udf("lang string, score double, share double")
+    def udf(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array(identified(shared.value, batch.to_pylist()), FOUND)
+        released()
 
     return udf(docs[text])
 
 
 def spans_of(model: LangModel, docs: DataFrame) -> DataFrame:
     """doc_id and the spans of each text: array of (lang, words, letters) in order."""
+    shipped(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,13 +309,23 @@ def spans_of(model: LangModel, docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(out, kind)], names=["doc_id", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, spans array<struct<lang:string,words:bigint,letters:bigint>>")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"doc_id {kind}, spans array<struct<lang:string,words:bigint,letters:bigint>>")
+
+
+def least_score(model: LangModel, labelled: DataFrame, most: float = 0.25) -> float:
+    """Half of the lowest score of labelled rows whose language is found, ``most`` at most: what is below is unlike all of them.
+
+    0 without labelled rows. The rows are those that the model is counted on.
+    """
+    sample = _sampled(labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null"), model.spec)[1]
+    scored = sample.select("lang", language_of(model, sample).alias("found")).where("found.lang = lang")
+    return min(most, (scored.agg(F.min("found.score")).first()[0] or 0.0) / 2)
 
 
-def with_known_language(model: LangModel, docs: DataFrame, min_share: float, text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose text has a language that holds at least ``min_share`` of the letters."""
+def with_known_language(model: LangModel, docs: DataFrame, min_share: float, min_score: float = 0.0, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose text has a language that holds at least ``min_share`` of all letters and scores ``min_score``."""
     found = language_of(model, docs, text)
-    return docs.where((found["lang"] != "und") & (found["share"] >= min_share))
+    return docs.where((found["lang"] != "und") & (found["share"] >= min_share) & (found["score"] >= min_score))
 
 
 def held_out(doc_id: Column) -> Column:

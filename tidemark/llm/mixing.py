@@ -22,8 +22,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate, groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,16 +147,17 @@ def _bin(recipe: MixRecipe) -> Column:
 def _thresholds(bins: int):
     """For one source: (size_class, bin, words, wanted) to the first bin of each class that gets no extra copy."""
 
-    def run(table: pd.DataFrame) -> pd.DataFrame:
+    def run(table: pa.Table) -> pa.Table:
         carry, out = 0.0, []
-        for size_class in sorted(table["size_class"].unique(), reverse=True):
-            own = table[table["size_class"] == size_class].sort_values("bin")
-            need = carry + float(own["wanted"].astype(float).sum())
-            reached = [0.0, *own["words"].astype(float).cumsum()]
+        rows = sorted((-r["size_class"], r["bin"], float(r["words"]), float(r["wanted"])) for r in table.to_pylist())
+        for size_class, group in groupby(rows, key=lambda r: r[0]):
+            own = list(group)
+            need = carry + math.fsum(r[3] for r in own)
+            reached = list(accumulate((r[2] for r in own), initial=0.0))
             best = min(range(len(reached)), key=lambda k: (abs(need - reached[k]), k))
-            out.append((table["at"].iloc[0], size_class, own["bin"].iloc[best] if best < len(own) else bins))
+            out.append({"at": table["at"][0].as_py(), "size_class": -size_class, "threshold": own[best][1] if best < len(own) else bins})
             carry = need - reached[best]
-        return pd.DataFrame(out, columns=["at", "size_class", "threshold"])
+        return pa.Table.from_pylist(out, pa.schema([("at", pa.int64()), ("size_class", pa.int32()), ("threshold", pa.int32())]))
 
     return run
 
@@ -171,7 +173,7 @@ def mix_plan(rows: DataFrame, recipe: MixRecipe = MixRecipe()) -> DataFrame:
     open_rows = _met(rows.where("size > 0"), sources, recipe, few).withColumn("rate", _rate(recipe)).where(_fraction() > 0)
     binned = open_rows.groupBy("at", _size_class().alias("size_class"), _bin(recipe).alias("bin")).agg(F.sum("size").alias("words"), F.sum(_exact(F.col("size") * _fraction())).alias("wanted"))
     # Size classes times bins rows of a source at most.
-    cut = binned.groupBy("at").applyInPandas(_thresholds(recipe.bins), "at long, size_class int, threshold int")
+    cut = binned.groupBy("at").applyInArrow(_thresholds(recipe.bins), "at long, size_class int, threshold int")
     by_source = cut.groupBy("at").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("size_class", "threshold")))).alias("thresholds"))
     plan = sources.join(F.broadcast(by_source) if few else by_source, "at", "left").select("source", F.col("words").alias("source_size"), "scale", "target", "dual", "thresholds")
     return stored(plan, "mix-plan")

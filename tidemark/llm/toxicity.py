@@ -29,12 +29,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text_crc, slices, stored
+from .common import id_text_crc, released, shipped, slices, stored, trimmed
 
 CLASSES = 64
 
@@ -48,7 +47,7 @@ class ToxicSpec:
     landmarks: int = 192
     examples: int = 6000
     cost: float = 10.0
-    memo: int = 150_000
+    memo: int = 100_000
     batch_chars: int = 250_000
 
 
@@ -220,7 +219,7 @@ def _unit_counts(rows: DataFrame, spec: ToxicSpec) -> DataFrame:
                     yield from merged(counts)
         yield from merged(counts)
 
-    return rows.select("text", "toxic").mapInArrow(run, "unit string, toxic_docs long, clean_docs long").groupBy("unit").agg(F.sum("toxic_docs").alias("toxic_docs"), F.sum("clean_docs").alias("clean_docs"))
+    return rows.select("text", "toxic").mapInArrow(trimmed(run), "unit string, toxic_docs long, clean_docs long").groupBy("unit").agg(F.sum("toxic_docs").alias("toxic_docs"), F.sum("clean_docs").alias("clean_docs"))
 
 
 def _machine(features: np.ndarray, signs: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, float]:
@@ -291,9 +290,11 @@ def _word_score(model: ToxicModel, frame: DataFrame):
     """A function of a column of words: the machine's values."""
     shared = frame.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(words: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score_words(list(words)))
+    @F.arrow_udf("double")
+    def score(words: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in words:
+            yield pa.array(shared.value.score_words(batch.to_pylist()))
+        released()
 
     return score
 
@@ -335,11 +336,13 @@ def _calibrated(model: ToxicModel, rows: DataFrame, base: float) -> ToxicModel:
     """A logistic curve from the evidence of the sampled texts, with the classes' shares among all labels."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<double>")
-    def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def evidence(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _Scorer(shared.value)
-        for series in texts:
-            yield pd.Series(list(scorer.evidence([t or "" for t in series])))
+        for batch in texts:
+            yield pa.array(list(scorer.evidence([t or "" for t in batch.to_pylist()])), pa.list_(pa.float64()))
+        scorer.clear()
+        released()
 
     got = rows.select("toxic", evidence("text").alias("v")).toPandas()  # a few numbers for each sampled text
     y, v = got["toxic"].to_numpy(float), np.array(got["v"].tolist(), float).reshape(-1, EVIDENCE)
@@ -362,13 +365,15 @@ def toxicity_of(model: ToxicModel, docs: DataFrame, text: str = "text") -> Colum
     """A column of scores from 0 to 1 for the texts of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one weight for each triple of letter classes
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _Scorer(shared.value)
-        for series in texts:
-            rows = [t if isinstance(t, str) else "" for t in series]
+        for batch in texts:
+            rows = [t or "" for t in batch.to_pylist()]
             parts = [scorer.evidence(rows[a:b]) for a, b in slices([len(t) for t in rows], shared.value.spec.batch_chars)]
-            yield pd.Series(shared.value.probability(np.concatenate(parts)) if parts else np.zeros(0))
+            yield pa.array(shared.value.probability(np.concatenate(parts)) if parts else np.zeros(0))
+        scorer.clear()
+        released()
 
     return score(docs[text])
 
