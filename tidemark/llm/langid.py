@@ -21,7 +21,7 @@ alone gets the most frequent language with share and score 0. Rows with null doc
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -195,18 +195,19 @@ class Spans:
 
 def word_scores(model: LangModel, letters: Letters) -> tuple[np.ndarray, np.ndarray]:
     """Per word and language its score, OUT for those that are no candidates; and does the word have candidates?"""
-    scores = np.full((len(letters.begins), len(model.languages)), OUT, np.float32)
     script = letters.scripts[letters.begins] if len(letters.begins) else np.zeros(0, np.uint8)
-    scored = np.zeros(len(script), bool)
-    for number in np.unique(script):
+    present = np.unique(script)
+    if len(present) == 1 and model.uses_script[present[0]].all():
+        return np.add.reduceat(model.log_probs[letters.features], letters.begins, axis=0), np.ones(len(script), bool)
+    scores, scored = np.full((len(script), len(model.languages)), OUT, np.float32), np.zeros(len(script), bool)
+    for number in present:
         candidates = np.flatnonzero(model.uses_script[number])
         if len(candidates):
             own = np.flatnonzero(script == number)
             scored[own] = True
             sizes = letters.lengths[own]
-            features = letters.features if len(own) == len(script) else letters.features[np.repeat(letters.begins[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
-            table = model.log_probs if len(candidates) == len(model.languages) else np.ascontiguousarray(model.log_probs[:, candidates])
-            scores[np.ix_(own, candidates)] = np.add.reduceat(table[features], np.cumsum(sizes) - sizes, axis=0)
+            features = letters.features[np.repeat(letters.begins[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+            scores[np.ix_(own, candidates)] = np.add.reduceat(model.log_probs[features[:, None], candidates], np.cumsum(sizes) - sizes, axis=0)
     return scores, scored
 
 
@@ -315,9 +316,10 @@ def spans_of(model: LangModel, docs: DataFrame) -> DataFrame:
 def least_score(model: LangModel, labelled: DataFrame, most: float = 0.25) -> float:
     """Half of the lowest score of labelled rows whose language is found, ``most`` at most: what is below is unlike all of them.
 
-    0 without labelled rows. The rows are those that the model is counted on.
+    0 without labelled rows. An eighth of the bound on the model's rows holds for these.
     """
-    sample = _sampled(labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null"), model.spec)[1]
+    spec = replace(model.spec, max_docs_per_language=-(-model.spec.max_docs_per_language // 8))
+    sample = _sampled(labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null"), spec)[1]
     scored = sample.select("lang", language_of(model, sample).alias("found")).where("found.lang = lang")
     return min(most, (scored.agg(F.min("found.score")).first()[0] or 0.0) / 2)
 
