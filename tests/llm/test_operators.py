@@ -215,9 +215,8 @@ def test_toxicity(spark, docs, empty):
     asked = ["my friends and the id-iot and the mo.ron", "an i d i o t and a moron and scum", "friends in the garden by the river", None, "", LONG]
     table = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
     score = {r.doc_id: r.s for r in table.select("doc_id", toxicity.toxicity_of(model, table).alias("s")).collect()}
-    # The long text's words are unknown to so small a training table: it only has to get some score.
-    assert score[0] > 0.5 and score[1] > 0.5 and max(score[k] for k in (2, 3, 4)) < 0.5 and 0 <= score[5] <= 1
-    assert {2, 3, 4} <= {r.doc_id for r in toxicity.without_toxic(model, table).collect()} <= {2, 3, 4, 5}
+    assert score[0] > 0.5 and score[1] > 0.5 and max(score[k] for k in (2, 3, 4, 5)) < 0.5
+    assert {r.doc_id for r in toxicity.without_toxic(model, table).collect()} == {2, 3, 4, 5}
     constant = toxicity.train(empty, marks.limit(0))
     assert docs.select(toxicity.toxicity_of(constant, docs).alias("s")).where("s between 0 and 1").count() == docs.count()
     assert empty.select(toxicity.toxicity_of(model, empty).alias("s")).count() == 0

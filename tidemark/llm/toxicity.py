@@ -12,7 +12,7 @@ ones by a hash. Sentences of toxic rows hold the insults among many harmless wor
 stand out are found first: words, and beginnings of words, that are more frequent in toxic texts than chance allows
 (a likelihood ratio, corrected for the number of tries). Landmarks and examples are drawn from these and from words of
 harmless texts; three further rounds add the harmless words that score highest. The document's score comes from its
-evidence, the values of its three highest-scoring units (repeats count), how many units score above 0 and how many
+evidence, the values of its three highest-scoring units, how many different units score above 0 and how many units
 there are, by a logistic curve fitted on the sampled texts: one doubtful word in a long text is no insult.
 
 A unit is a word, lower-cased; runs of three or more single letters ("i d i o t") form one more unit. Words longer
@@ -151,7 +151,7 @@ def units_of(text: str) -> list[str]:
     return words
 
 
-#: Highest, second and third highest value, logarithms of units above 0 and of all units.
+#: Highest, second and third highest value of different units, logarithms of different units above 0 and of all units.
 EVIDENCE = 5
 
 
@@ -181,11 +181,12 @@ class _Scorer:
             fresh = list(self.numbers)[known:]
             self.values = np.concatenate((self.values, np.clip(self.model.score_words(fresh), -1, 3)))
         out = np.full((len(texts), EVIDENCE), -1.0)
-        values = self.values[numbers]
-        warm = np.flatnonzero(values > -1)
-        owners = np.searchsorted(np.array(stops), warm, "right")
-        order = np.lexsort((-values[warm], owners))
-        owners, values = owners[order], values[warm][order]
+        warm = np.flatnonzero(self.values[numbers] > -1)
+        # Each unit of a text once.
+        pairs = np.unique(np.searchsorted(np.array(stops), warm, "right") * (len(self.numbers) + 1) + numbers[warm])
+        owners, values = pairs // (len(self.numbers) + 1), self.values[pairs % (len(self.numbers) + 1)]
+        order = np.lexsort((-values, owners))
+        owners, values = owners[order], values[order]
         first = np.searchsorted(owners, np.arange(len(texts)))
         rank = np.arange(len(owners)) - first[owners]
         for k in range(3):
@@ -245,7 +246,12 @@ def _constant(base: float, spec: ToxicSpec) -> ToxicModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) -> ToxicModel:
-    """Learns from rows of ``labels`` (doc_id, toxic) that belong to ``docs``; the caller leaves out what is held out."""
+    """Learns from rows of ``labels`` (doc_id, toxic) that belong to ``docs``; the caller leaves out what is held out.
+
+    Of an id that repeats in ``docs`` the text with the least hash counts, so that at most two times
+    ``max_docs_per_class`` texts are read.
+    """
+    shipped(docs.sparkSession)
     clean = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in clean.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
     base = sizes.get(1, 0) / max(1, sum(sizes.values()))
@@ -253,7 +259,9 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) ->
         return _constant(base, spec)
     first = lambda t: clean.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(spec.max_docs_per_class)
     sample = F.broadcast(first(1).unionByName(first(0)))  # two times max_docs_per_class rows at most
-    rows = docs.select(docs["doc_id"], docs["text"]).join(sample, "doc_id").where("text is not null")
+    own = docs.select(docs["doc_id"], docs["text"]).join(sample, "doc_id").where("text is not null")
+    # One text of each labelled id, however often the id repeats.
+    rows = stored(own.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "toxicity-rows")
     counts = stored(_unit_counts(rows, spec), "toxicity-units")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:

@@ -12,6 +12,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .common import released
+
 #: Stands for the end of a document among words; no word contains white space.
 END = b"\n"
 
@@ -50,15 +52,15 @@ class WordTokens:
     anew. The ids do not depend on it: they are those of the library for the whole text.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 300_000) -> None:
+    def __init__(self, path: str, end_id: int, limit: int = 200_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         #: For words that the normalizer leaves alone and the pre-tokenizer leaves whole.
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = None
+        self.plain = Tokenizer(self.tokenizer.model)  # the same vocabulary, held once
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        released()  # what reading the file took
         self.end_id, self.limit = end_id, limit
         self._clear()
 
