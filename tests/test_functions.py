@@ -94,7 +94,7 @@ def test_rejected_rows_keep_their_source(spark):
 
 def test_configuration(tmp_path):
     data = {
-        "DataSources": [{"Name": "a", "Type": "mysql", "Host": "h"}, {"Name": "b", "Type": "kafka"}],
+        "DataSources": [{"Name": "a", "Type": "mysql", "Host": "h"}, {"Name": "b", "Type": "meilisearch"}],
         "SyncTasks": [
             {"Name": "t", "Type": "mysql2MeiliSearch", "Source": "a", "Target": "b", "Tables": [{"SourceDatabase": "d", "SourceTable": "t", "PrimaryKey": ["id"], "Columns": [{"Source": "x", "Target": "y", "Default": "1", "EnumMapping": [{"Const": "c", "Index": 1}]}]}]},
             {"Name": "off", "Type": "mysql2kafka", "Source": "a", "Target": "b", "Enabled": False}, {"Name": "odd", "Type": "other", "Source": "a", "Target": "b"}, {"Name": "lost", "Type": "mysql2kafka", "Source": "a", "Target": "zzz"},

@@ -58,6 +58,12 @@ class TableConfig:
     def source_name(self) -> str:
         return f"{self.source_database}.{self.source_table}"
 
+    @property
+    def target_name(self) -> str:
+        """Database and table of the target; the source's table where none is named."""
+        table = self.target_table or self.source_table
+        return f"{self.target_database}.{table}" if self.target_database else table
+
     def target_of(self, source: str) -> str:
         """The target name of a source column; ignored and unmapped ones keep theirs."""
         return next((c.target or c.source for c in reversed(self.columns) if c.source == source and not c.ignore), source)
@@ -76,6 +82,10 @@ class SyncTask:
     def kind(self) -> str:
         return TASK_TYPES[self.type.lower()]
 
+    def tables_into(self, target: str) -> list[TableConfig]:
+        """The tables that are written to a target, by its full name or its table's name."""
+        return [t for t in self.tables if target in (t.target_name, t.target_table)]
+
 
 @dataclass(frozen=True)
 class DataSource:
@@ -89,10 +99,35 @@ class Config:
     sources: tuple[DataSource, ...]
     tasks: tuple[SyncTask, ...]
 
+    def problem(self, task: SyncTask) -> str | None:
+        """Why a task can't run: its type, its source or target, or their types; None if it can."""
+        kinds = {s.name: s.type.lower() for s in self.sources}
+        if task.type.lower() not in TASK_TYPES:
+            return f"unknown task type: {task.type}"
+        for name, wanted in zip((task.source, task.target), task.type.lower().split("2"), strict=True):
+            if name not in kinds:
+                return f"no data source named {name!r}"
+            if kinds[name] != wanted:
+                return f"{name} is of type {kinds[name]}, not {wanted}"
+        return None
+
     def active_tasks(self) -> list[SyncTask]:
-        """Enabled tasks whose type, source and target are known."""
-        names = {s.name for s in self.sources}
-        return [t for t in self.tasks if t.enabled and t.type.lower() in TASK_TYPES and {t.source, t.target} <= names]
+        """Enabled tasks that can run."""
+        return [t for t in self.tasks if t.enabled and self.problem(t) is None]
+
+    def task(self, name: str) -> SyncTask:
+        found = next((t for t in self.tasks if t.name == name), None)
+        if found is None:
+            raise KeyError(f"no task named {name!r}")
+        return found
+
+    def tasks_of(self, kind: str) -> list[SyncTask]:
+        """Tasks of a type."""
+        return [t for t in self.tasks if t.type.lower() == kind.lower()]
+
+    def task_types(self) -> list[str]:
+        """The types of the configured tasks."""
+        return sorted({t.type.lower() for t in self.tasks})
 
     def source(self, name: str) -> DataSource:
         found = next((s for s in self.sources if s.name == name), None)

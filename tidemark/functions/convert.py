@@ -22,6 +22,7 @@ TIME_FORMS = (
     (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
     (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{1,6}$", "yyyy-MM-dd HH:mm:ss.[SSSSSS][SSSSS][SSSS][SSS][SS][S]"),
     (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd'T'HH:mm:ssXXX"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd'T'HH:mm:ss.[SSSSSS][SSSSS][SSSS][SSS][SS][S]XXX"),
     (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
 )
 
@@ -79,8 +80,9 @@ def to_text(value: Column, kind: T.DataType) -> Converted:
 
 
 def parse_time(text: Column) -> Column:
-    """A timestamp in the session's time zone from one of TIME_FORMS, else null."""
-    return F.coalesce(*(F.when(text.rlike(pattern), F.try_to_timestamp(text, F.lit(form))) for pattern, form in TIME_FORMS))
+    """A timestamp in the session's time zone from one of TIME_FORMS, else null; fractions beyond microseconds are cut."""
+    fine = F.regexp_replace(text, r"(:\d{2}\.\d{6})\d{1,3}(?=$|Z|[+-])", "$1")
+    return F.coalesce(*(F.when(fine.rlike(pattern), F.try_to_timestamp(fine, F.lit(form))) for pattern, form in TIME_FORMS))
 
 
 def to_time(value: Column, kind: T.DataType) -> Converted:

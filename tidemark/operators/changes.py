@@ -1,7 +1,8 @@
 """Change logs: rows with an action (insert, update, delete), a sequence and a payload, and what they amount to.
 
 The last change of a key is found by aggregation, not by a window: each task first merges its own changes of a key,
-so that a key with a third of all changes costs one row per task. Ties of the sequence go to the greatest payload.
+so that a key with a third of all changes costs one row per task. Ties of the sequence go to the greatest payload, or,
+where the payload holds maps, which have no order, to the greatest JSON text of it.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ INSERT, UPDATE, DELETE = "insert", "update", "delete"
 
 def _best(changes: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
     rest = [c for c in changes.columns if c not in keys and c not in order]
-    whole = F.struct(*(F.col(c) for c in (*order, *rest)))
-    best = (F.max if last else F.min)(whole).alias("_best")
+    payload = F.struct(*(F.col(c) for c in (*order, *rest)))
+    unordered = any("map<" in changes.schema[c].dataType.simpleString() for c in rest)
+    place = F.struct(*(F.col(c) for c in order), F.to_json(payload).alias("_text")) if unordered else payload
+    best = (F.max_by if last else F.min_by)(payload, place).alias("_best")
     return changes.groupBy(*keys).agg(best).select(*(F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in changes.columns))
 
 
@@ -49,6 +52,17 @@ def delete_keys(table: DataFrame, gone: DataFrame, keys: Sequence[str] = ()) ->
     return table.join(named, met, "left_anti")
 
 
+def delete_all(table: DataFrame) -> DataFrame:
+    """``table`` without its rows."""
+    return table.where(F.lit(False))
+
+
+def key_errors(keys: Sequence[str], action: str = ACTION) -> Column:
+    """An error text for deletes that name no key: without key columns, or with none that has a value."""
+    named = F.coalesce(*(F.col(k).cast("string") for k in keys)).isNotNull() if keys else F.lit(False)
+    return F.when((F.col(action) == DELETE) & ~named, F.lit("delete needs a key"))
+
+
 def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str], policy: str = "REPLACE") -> DataFrame:
     """``rows`` written into ``table``: REPLACE overwrites a key, IGNORE keeps what is there, "" appends.
 

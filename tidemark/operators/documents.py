@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def primary_key(columns: Sequence[str], renamed: dict[str, str] | None = None) -> Column:
-    """Key names and values as a map of texts; names as in the target if given."""
-    names = renamed or {}
-    return F.create_map(*(x for c in columns for x in (F.lit(names.get(c, c)), F.col(c).cast("string")))) if columns else F.create_map().cast("map<string,string>")
+def primary_key(columns: Sequence[str], every: Sequence[str] = (), renamed: dict[str, str] | None = None) -> Column:
+    """Key names and values as a map of texts; names as in the target if given. Without a key all columns of ``every`` count."""
+    names, chosen = renamed or {}, columns or every
+    return F.create_map(*(x for c in chosen for x in (F.lit(names.get(c, c)), F.col(c).cast("string")))) if chosen else F.create_map().cast("map<string,string>")
 
 
 def document_id(columns: Sequence[str]) -> Column:
@@ -54,6 +54,14 @@ def sql_literal(value: Column, kind: T.DataType) -> Column:
     return F.coalesce(text, F.lit("NULL"))
 
 
+def logged_statement(template: str, values: Sequence[tuple[Column, T.DataType]]) -> Column:
+    """A statement for logs: each ``?`` replaced by a value in order; places without a value stay. Statements that run take parameters."""
+    parts = template.split("?")
+    shown = [sql_literal(v, k) for v, k in values[: len(parts) - 1]]
+    shown += [F.lit("?")] * (len(parts) - 1 - len(shown))
+    return F.concat(F.lit(parts[0]), *(x for s, p in zip(shown, parts[1:], strict=True) for x in (s, F.lit(p))))
+
+
 def too_large(value: Column, kind: T.DataType, text_bytes: int = 1_000_000, binary_bytes: int = 5_000_000) -> Column:
     """Is the value beyond what sinks take?"""
     return F.coalesce(F.octet_length(value) > (binary_bytes if isinstance(kind, T.BinaryType) else text_bytes), F.lit(False))

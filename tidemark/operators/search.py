@@ -32,6 +32,12 @@ def row_count(table: DataFrame) -> DataFrame:
     return table.agg(F.count("*").alias("row_count"))
 
 
+def share_of_total(table: DataFrame, group: str) -> DataFrame:
+    """Rows by group, and their share of all rows."""
+    own = table.groupBy(group).agg(F.count("*").alias("row_count"))
+    return own.crossJoin(F.broadcast(own.agg(F.sum("row_count").alias("_all")))).select(group, "row_count", F.round(F.col("row_count") / F.col("_all"), 9).alias("share"))
+
+
 def text_sizes(table: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Bytes in text columns by group."""
     size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns[1:]), F.coalesce(F.octet_length(columns[0]), F.lit(0)))

@@ -10,6 +10,7 @@ Everything is a native expression: Spark reads only the mapped columns and pushe
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -111,6 +112,16 @@ def map_rows(rows: DataFrame, table: TableConfig, sink: str = "table", semantics
     return chosen.select(*values, *(F.col(k) for k in keep), errors.alias(ERRORS))
 
 
+def mapped_by_target(parts: Sequence[tuple[DataFrame, TableConfig]], sink: str = "table", semantics: str = "documented") -> dict[str, DataFrame]:
+    """Valid rows of several source tables by the target that they go to; columns that one source lacks are null."""
+    out: dict[str, DataFrame] = {}
+    for rows, config in parts:
+        mapped = valid_rows(map_rows(rows, config, sink, semantics))
+        earlier = out.get(config.target_name)
+        out[config.target_name] = mapped if earlier is None else earlier.unionByName(mapped, allowMissingColumns=True)
+    return out
+
+
 def valid_rows(mapped: DataFrame) -> DataFrame:
     return mapped.where(F.size(ERRORS) == 0).drop(ERRORS)
 

@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .config import ColumnMapping as C
 from .config import Label, TableConfig
+from .functions.convert import parse_time
 from .functions.labels import enum_index
 from .operators import changes as ch
 from .operators import documents as doc
 from .operators import flow, quarantine, search
-from .plans.mapping import ERRORS, map_rows, rejected_rows, valid_rows
+from .plans.mapping import ERRORS, map_rows, mapped_by_target, rejected_rows, valid_rows
+from .sinks.messages import message_rows
 from .sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,6 +270,75 @@ _register("table_size_by_group", lambda s, d: search.text_sizes(table(s, d, "doc
 _register("value_size_check", lambda s, d: table(s, d, "documents").select("doc_id", doc.too_large(F.col("text"), table(s, d, "documents").schema["text"].dataType, text_bytes=10_000).alias("too_large")), "SELECT doc_id, octet_length(encode(text)) > 10000 AS too_large FROM documents")
 
 
+# --- Several tables, retries, keys and times ----------------------------------------------------------------------
+
+_PARTY = (
+    ("customer", TableConfig("shop", "customer", "crm", "party", (C("c_custkey", "id"), C("c_name", "name", transform="toUpperCase"), C("c_mktsegment", "segment")))),
+    ("supplier", TableConfig("shop", "supplier", "crm", "party", (C("s_suppkey", "id"), C("s_name", "name")))),
+    ("nation", TableConfig("shop", "nation", "crm", "place", (C("n_nationkey", "id"),))),
+)
+_register("group_by_target", lambda s, d: mapped_by_target([(table(s, d, name), config) for name, config in _PARTY])["crm.party"],
+    "SELECT c_custkey AS id, upper(c_name) AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
+
+
+def messages_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic, key, a header and the name in the value of the messages of two tables."""
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    out = []
+    for name, key, shown in (("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name")):
+        rows = table(spark, sf_dir, name).select(F.col(key).alias("id"), F.col(shown).alias("name"), F.lit("insert").alias("action"))
+        out.append(message_rows(rows, "task", "shop.eu", name, ("id",), at, at, headers={"table": F.lit(name)}))
+    both = out[0].unionByName(out[1])
+    return both.select("topic", "key", F.decode(F.col("headers")[0]["value"], "UTF-8").alias("header"), F.get_json_object("value", "$.data.name").alias("name"))
+
+
+_register("messages_two_tables", messages_two_tables, """SELECT 'shop_eu_nation' AS topic, n_nationkey::VARCHAR AS key, 'nation' AS header, n_name AS name FROM nation
+    UNION ALL SELECT 'shop_eu_region', r_regionkey::VARCHAR, 'region', r_name FROM region""")
+
+
+def dlq_due(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined rows that are due two seconds after a failed attempt."""
+    rows = _failures(spark, sf_dir).select("event_id", "attempts", quarantine.failure_class(F.col("error")).alias("reason"))
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    return quarantine.due(quarantine.after_attempt(rows, at), at + F.expr("interval 2 seconds")).select("event_id", "attempts")
+
+
+_register("dlq_due", dlq_due, "SELECT event_id, (event_id % 7 + 1)::INT AS attempts FROM events WHERE event_id % 7 + 1 < 3 AND event_id % 5 NOT IN (2, 3) AND pow(2, event_id % 7 + 1) <= 2")
+
+
+def dlq_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose status is no number, mapped again once the column is a text."""
+    strict = TableConfig("shop", "orders", columns=(C("o_orderkey", "id"), C("o_orderstatus", "status", type="int32")))
+    mended = TableConfig("shop", "orders", columns=(C("o_orderkey", "id"), C("o_orderstatus", "status", transform="toLowerCase")))
+    return valid_rows(map_rows(rejected_rows(table(spark, sf_dir, "orders"), strict).drop(ERRORS), mended))
+
+
+_register("dlq_remap", dlq_remap, "SELECT o_orderkey AS id, lower(o_orderstatus) AS status FROM orders")
+
+
+def cdc_map_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last change of each user, with a map among its columns."""
+    rows = user_log(spark, sf_dir).select("user_id", "seq", F.create_map("event_type", "value").alias("fields"))
+    return ch.latest_changes(rows, ["user_id"], ["seq"]).select("user_id", "seq", F.map_keys("fields")[0].alias("event_type"), F.map_values("fields")[0].alias("value"))
+
+
+_register("cdc_map_payload", cdc_map_payload, f"SELECT user_id, seq, event_type, value FROM ({_last})")
+_register("cdc_delete_all", lambda s, d: ch.delete_all(table(s, d, "nation")), "SELECT * FROM nation WHERE false")
+_register("delete_without_key", lambda s, d: user_log(s, d).withColumn("user_id", F.expr("nullif(user_id % 10, 0)")).select("seq", ch.key_errors(["user_id"]).alias("error")),
+    f"SELECT seq, CASE WHEN action = 'delete' AND user_id % 10 = 0 THEN 'delete needs a key' END AS error FROM ({_log})")
+_register("pk_all_columns", lambda s, d: table(s, d, "region").select(F.to_json(doc.primary_key((), ("r_regionkey", "r_name"), {"r_name": "name"})).alias("key")),
+    """SELECT '{"r_regionkey":"' || r_regionkey || '","name":"' || r_name || '"}' AS key FROM region""")
+_register("logged_statement", lambda s, d: table(s, d, "nation").select("n_nationkey", doc.logged_statement("DELETE FROM t WHERE k = ? AND n = ? AND ?", [(F.col("n_nationkey"), T.IntegerType()), (F.col("n_name"), T.StringType())]).alias("statement")),
+    "SELECT n_nationkey, 'DELETE FROM t WHERE k = ' || n_nationkey || ' AND n = ' || chr(39) || replace(n_name, chr(39), chr(39) || chr(39)) || chr(39) || ' AND ?' AS statement FROM nation")
+_register("cv_datetime_fraction", lambda s, d: table(s, d, "events").select("event_id", F.unix_micros(parse_time(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."), F.lpad(F.pmod("event_id", F.lit(1000)).cast("string"), 3, "0"), F.lit("4567Z")))).alias("micros")),
+    "SELECT event_id, (epoch_ms(date_trunc('second', ts)) * 1000 + (event_id % 1000) * 1000 + 456)::BIGINT AS micros FROM events")
+_register("batch_rows", lambda s, d: flow.row_batches(table(s, d, "lineitem").select(F.expr("l_orderkey * 16 + l_linenumber").cast("bigint").alias("place")).distinct(), "place", 1000, width=5000).groupBy("batch").agg(F.count("*").alias("n_rows"), F.min("place").alias("first")),
+    "SELECT batch, count(*) AS n_rows, min(place) AS first FROM (SELECT place, (row_number() OVER (ORDER BY place) - 1) // 1000 AS batch FROM (SELECT DISTINCT (l_orderkey * 16 + l_linenumber)::BIGINT AS place FROM lineitem)) GROUP BY 1")
+_register("priority_shed_seconds", lambda s, d: flow.shed_low_priority(table(s, d, "events").select("event_id", "ts", F.when(F.col("event_type") == "view", "low").otherwise("high").alias("priority")), "ts", "event_id", per_second=1).select("event_id", "priority"),
+    "SELECT event_id, priority FROM (SELECT event_id, CASE WHEN event_type = 'view' THEN 'low' ELSE 'high' END AS priority, row_number() OVER (PARTITION BY date_trunc('second', ts) ORDER BY CASE WHEN event_type = 'view' THEN 1 ELSE 0 END, ts, event_id) AS place FROM events) WHERE priority <> 'low' OR place <= 1")
+_register("share_of_total", lambda s, d: search.share_of_total(table(s, d, "documents"), "lang"), "SELECT lang, count(*) AS row_count, round(count(*) / (SELECT count(*) FROM documents), 9) AS share FROM documents GROUP BY 1")
+
+
 # --- Flagship ---------------------------------------------------------------------------------------------------
 
 ORDER_FACTS = TableConfig(

@@ -32,14 +32,14 @@ class ChangeTable:
     def _stored(self) -> T.StructType:
         return T.StructType([*self.schema.fields, *(T.StructField(n, T._parse_datatype_string(k)) for n, k in self.order), T.StructField(ACTION, T.StringType())])
 
-    def append(self, batch_id: int, changes: DataFrame) -> None:
-        """Writes a batch's changes; columns that it lacks are null."""
+    def append(self, batch_id: int | str, changes: DataFrame, writer: str = "main") -> None:
+        """Writes a batch's changes; columns that it lacks are null. Writers (queries) number their batches apart."""
         schema = self._stored()
         rows = changes.select(*((F.col(f.name) if f.name in changes.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
         # One row per key and batch is enough where the last one wins.
         if self.policy == "REPLACE":
             rows = latest_changes(rows, self.keys, [n for n, _ in self.order])
-        rows.write.mode("overwrite").parquet(f"{self.path}/changes/{BATCH}={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/changes/writer={writer}/{BATCH}={batch_id}")
 
     def _read(self, spark: SparkSession, part: str) -> DataFrame:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")

@@ -13,11 +13,18 @@ from ..operators.documents import document_id, envelope, topic
 PRODUCER = {"kafka.batch.size": "102400", "kafka.linger.ms": "100", "kafka.acks": "1"}
 
 
-def message_rows(rows: DataFrame, task: str, database: str, table: str, keys: tuple[str, ...], timestamp: Column, sync_time: Column, action: str = "action", target: str = "") -> DataFrame:
-    """Every row as a message, keyed by its document id, so that changes of a key keep their order."""
+def message_rows(rows: DataFrame, task: str, database: str, table: str, keys: tuple[str, ...], timestamp: Column, sync_time: Column, action: str = "action", target: str = "", headers: dict[str, Column] | None = None) -> DataFrame:
+    """Every row as a message, keyed by its document id, so that changes of a key keep their order.
+
+    With ``headers`` (name to text) there is a column of them as the connector takes it.
+    """
     data = F.struct(*(F.col(c) for c in rows.columns if c != action))
     value = envelope(task, F.lit(database), F.lit(table), F.col(action), data, timestamp, sync_time)
-    return rows.select(topic(F.lit(target), F.lit(database), F.lit(table)).alias("topic"), document_id(keys).alias("key"), value.alias("value"))
+    return rows.select(topic(F.lit(target), F.lit(database), F.lit(table)).alias("topic"), document_id(keys).alias("key"), value.alias("value"), *([header_column(headers).alias("headers")] if headers else []))
+
+
+def header_column(headers: dict[str, Column]) -> Column:
+    return F.array(*(F.struct(F.lit(k).alias("key"), v.cast("string").cast("binary").alias("value")) for k, v in headers.items()))
 
 
 def write_messages(messages: DataFrame, options: dict[str, Any]) -> None:
@@ -25,6 +32,6 @@ def write_messages(messages: DataFrame, options: dict[str, Any]) -> None:
     messages.write.format("kafka").options(**PRODUCER | options).save()
 
 
-def write_message_files(messages: DataFrame, path: str, batch_id: int) -> None:
-    """Message rows as JSON files, a folder per topic and batch; a repeated batch overwrites itself."""
-    messages.write.mode("overwrite").partitionBy("topic").json(f"{path}/batch={batch_id}")
+def write_message_files(messages: DataFrame, path: str, batch_id: int | str, writer: str = "main") -> None:
+    """Message rows as JSON files, a folder per writer (query), batch and topic; a repeated batch overwrites itself."""
+    messages.write.mode("overwrite").partitionBy("topic").json(f"{path}/writer={writer}/batch={batch_id}")

@@ -1,35 +1,45 @@
 """Tasks as streaming queries: change files in, mapped rows out, rejects into quarantine.
 
-Every table of a task is a query with its own checkpoint. Spark commits a batch's position after its sink succeeded;
-all sinks overwrite what an earlier try of the same batch left, so that each change takes effect once.
+Every table of a task is a query with its own checkpoint, and its batches have folders of their own, so that tables
+which share a target don't touch each other's rows. Spark commits a batch's position after its sink succeeded; all
+sinks overwrite what an earlier try of the same batch left, so that each change takes effect once.
+
+What can't be mapped, and batches that a sink refused ``attempts`` times, wait in the quarantine as the changes they
+came as. ``retry_due`` maps and sends them again when they are due; what fails three times is permanent.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import SyncTask, TableConfig
-from ..operators.changes import ACTION, normalised
+from ..config import Config, SyncTask, TableConfig
+from ..operators import quarantine
+from ..operators.changes import ACTION, key_errors, latest_changes, normalised
 from ..plans.mapping import ERRORS, map_rows
 from ..sinks.change_table import ChangeTable
 from ..sinks.messages import message_rows, write_message_files
-from ..sources.tables import change_files
+from ..sources.tables import change_files, change_schema
 
 #: Batch sinks: (mapped valid changes, batch id) -> None.
-Sink = Callable[[DataFrame, int], None]
+Sink = Callable[[DataFrame, int | str], None]
+
+#: A quarantined change: as it came, what was wrong, and its attempts so far.
+QUARANTINE = "change string, errors array<string>, reason string, attempts int, status string, next_retry_at timestamp, failed_at timestamp"
+RAW = "_change"
 
 
 def with_retries(sink: Sink, attempts: int = 3, pause: float = 1.0) -> Sink:
-    """Tries a sink again after 1, 2, ... pauses; the last error is raised and the batch stays uncommitted."""
+    """Tries a sink again after 1, 2, ... pauses; the last error is raised."""
 
-    def run(rows: DataFrame, batch_id: int) -> None:
+    def run(rows: DataFrame, batch_id: int | str) -> None:
         for n in range(1, attempts + 1):
             try:
                 return sink(rows, batch_id)
@@ -41,16 +51,18 @@ def with_retries(sink: Sink, attempts: int = 3, pause: float = 1.0) -> Sink:
     return run
 
 
-def mapped_changes(changes: DataFrame, table: TableConfig, sink: str) -> DataFrame:
+def mapped_changes(changes: DataFrame, table: TableConfig, sink: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Changes in envelopes as target rows with action, seq and errors; a change of key becomes delete and upsert.
 
-    Key and sequence columns keep one name on both sides: keys are those of the target.
+    Key and sequence columns keep one name on both sides: keys are those of the target. A delete needs nothing but its
+    key: errors in other columns don't hold it up, but without a key it is an error itself.
     """
     plain = normalised(changes, table.primary_key)
-    order = F.struct(F.col("seq"), F.col("part")).alias("_order")
-    mapped = map_rows(plain.select("*", order), table, sink, keep=(ACTION, "_order"))
-    # Deletes need nothing but their key: errors in other columns don't hold them up.
-    return mapped.withColumn(ERRORS, F.when(F.col(ACTION) == "delete", F.array().cast("array<string>")).otherwise(F.col(ERRORS)))
+    order = F.struct(F.col("seq"), F.col("part"), F.lit(table.source_name).alias("origin")).alias("_order")
+    bad_key = key_errors(table.primary_key).alias("_bad_key")
+    mapped = map_rows(plain.select("*", order, bad_key), table, sink, keep=(ACTION, "_order", "_bad_key", *keep))
+    own = F.when(F.col(ACTION) != "delete", F.col(ERRORS)).when(F.col("_bad_key").isNull(), F.array().cast("array<string>")).otherwise(F.array("_bad_key"))
+    return mapped.withColumn(ERRORS, own).drop("_bad_key")
 
 
 @dataclass(frozen=True)
@@ -65,49 +77,122 @@ class TableRun:
     checkpoints: str
     file_kind: str = "parquet"
     files_per_batch: int = 64
+    attempts: int = 3
+    pause: float = 1.0
+
+    @property
+    def name(self) -> str:
+        return f"{self.task.name}-{self.table.source_name}"
 
     @property
     def keys(self) -> tuple[str, ...]:
         return tuple(self.table.target_of(k) for k in self.table.primary_key)
 
+    @property
+    def quarantine(self) -> str:
+        return f"{self.output}/quarantine/{self.name}"
+
     def change_table(self, spark: SparkSession) -> ChangeTable:
         empty = map_rows(spark.createDataFrame([], self.payload), self.table, self.task.kind).drop(ERRORS)
-        return ChangeTable(f"{self.output}/{self.table.target_table or self.table.source_table}", empty.schema, self.keys, (("seq", "bigint"), ("part", "int")), self.table.on_conflict or "REPLACE")
+        order = (("seq", "bigint"), ("part", "int"), ("origin", "string"))
+        return ChangeTable(f"{self.output}/{self.table.target_name}", empty.schema, self.keys, order, self.table.on_conflict or "REPLACE")
 
     def sink(self, spark: SparkSession) -> Sink:
         if self.task.kind == "message":
-            def write(rows: DataFrame, batch_id: int) -> None:
+            def write(rows: DataFrame, batch_id: int | str) -> None:
                 now = F.current_timestamp()
                 out = message_rows(rows.drop("_order"), self.task.name, self.table.source_database, self.table.source_table, self.keys, now, now, target=self.table.target_table)
-                write_message_files(out, f"{self.output}/messages", batch_id)
+                write_message_files(out, f"{self.output}/messages", batch_id, self.name)
 
             return write
         target = self.change_table(spark)
-        return lambda rows, batch_id: target.append(batch_id, rows.select("*", F.col("_order.seq").alias("seq"), F.col("_order.part").alias("part")).drop("_order"))
-
-    def start(self, spark: SparkSession, available_now: bool = False) -> StreamingQuery:
+        return lambda rows, batch_id: target.append(batch_id, rows.select("*", "_order.*").drop("_order"), self.name)
+
+    def _deliver(self, changes: DataFrame, batch_id: int | str, write: Sink) -> DataFrame:
+        """Sends what can be mapped; what can't, or wasn't taken, comes back as (change, errors)."""
+        spark = changes.sparkSession
+        raw = changes.withColumn(RAW, F.to_json(F.struct(*changes.columns)))
+        mapped = mapped_changes(raw, self.table, self.task.kind, (RAW,)).persist()
+        try:
+            try:
+                write(mapped.where(F.size(ERRORS) == 0).drop(ERRORS, RAW), batch_id)
+                bad = mapped.where(F.size(ERRORS) > 0).select(F.col(RAW).alias("change"), F.col(ERRORS).alias("errors"))
+            except Exception as e:  # after the last attempt: the whole batch waits
+                text = f"{type(e).__name__}: {e}"[:1000]
+                bad = mapped.select(F.col(RAW).alias("change"), F.array(F.lit(text)).alias("errors"))
+            path = f"{self.quarantine}-tries/{uuid.uuid4().hex}"
+            bad.groupBy("change").agg(F.first("errors").alias("errors")).write.parquet(path)
+            return spark.read.schema("change string, errors array<string>").parquet(path)
+        finally:
+            mapped.unpersist()
+
+    def start(self, spark: SparkSession, available_now: bool = False, sink: Sink | None = None) -> StreamingQuery:
         """Starts the query; ``available_now``: it ends when everything that is there is done."""
         stream = change_files(spark, self.changes, self.payload, self.file_kind, self.files_per_batch)
         own = stream.where((F.col("database") == self.table.source_database) & (F.col("table") == self.table.source_table))
-        write = with_retries(self.sink(spark))
-        name = f"{self.task.name}-{self.table.source_name}"
+        write = with_retries(sink or self.sink(spark), self.attempts, self.pause)
 
         def batch(changes: DataFrame, batch_id: int) -> None:
-            mapped = mapped_changes(changes, self.table, self.task.kind).persist()
-            try:
-                write(mapped.where(F.size(ERRORS) == 0).drop(ERRORS), batch_id)
-                bad = mapped.where(F.size(ERRORS) > 0).select(F.to_json(F.struct("*")).alias("row"), F.col(ERRORS).alias("errors"), F.current_timestamp().alias("failed_at"), F.lit(0).alias("attempts"))
-                bad.write.mode("overwrite").parquet(f"{self.output}/quarantine/{name}/batch={batch_id}")
-            finally:
-                mapped.unpersist()
+            bad = self._deliver(changes, batch_id, write)
+            waiting(bad, F.lit(0), F.current_timestamp()).write.mode("overwrite").parquet(f"{self.quarantine}/batch={batch_id}")
 
-        writer = own.writeStream.queryName(name).option("checkpointLocation", f"{self.checkpoints}/{name}").foreachBatch(batch)
+        writer = own.writeStream.queryName(self.name).option("checkpointLocation", f"{self.checkpoints}/{self.name}").foreachBatch(batch)
         return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{self.table.batch_timeout} seconds")).start()
 
+    def quarantined(self, spark: SparkSession) -> DataFrame:
+        """The changes that wait, that are done, or that failed for good, each as it stands after its last attempt."""
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.quarantine)
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            return spark.createDataFrame([], QUARANTINE)
+        names = T._parse_datatype_string(QUARANTINE).names
+        return latest_changes(spark.read.schema(QUARANTINE).parquet(self.quarantine).select(names), ["change"], ["attempts"])
+
+    def retry_due(self, spark: SparkSession, now: Column | None = None, sink: Sink | None = None) -> int:
+        """Maps the due changes again and sends them by their action; how many there were. Each counts one attempt."""
+        now = F.current_timestamp() if now is None else now
+        token = f"retry-{uuid.uuid4().hex}"
+        ready = quarantine.due(self.quarantined(spark), now)
+        ready.write.parquet(path := f"{self.quarantine}-tries/{token}-due")
+        ready = spark.read.schema(QUARANTINE).parquet(path)
+        n = ready.count()
+        if n:
+            parsed = ready.select(F.from_json("change", change_schema(self.payload)).alias("c")).select("c.*")
+            bad = self._deliver(parsed, token, with_retries(sink or self.sink(spark), self.attempts, self.pause)).withColumnRenamed("errors", "now_wrong")
+            # A change is compared as it was written, which parsing and writing again doesn't alter.
+            joined = ready.join(bad, "change", "left")
+            failed = joined.where("now_wrong is not null").withColumn("errors", F.col("now_wrong")).drop("now_wrong")
+            failed = quarantine.after_attempt(failed.withColumn("reason", quarantine.failure_class(F.array_join("errors", "; "))), now).withColumn("failed_at", now)
+            done = joined.where("now_wrong is null").drop("now_wrong").withColumns({"attempts": F.col("attempts") + 1, "status": F.lit("done"), "next_retry_at": F.lit(None).cast("timestamp")})
+            done.unionByName(failed).write.parquet(f"{self.quarantine}/batch={token}")
+        return n
+
+
+def waiting(bad: DataFrame, attempts: Column, now: Column) -> DataFrame:
+    """Rejected changes (change, errors) as quarantine rows, due after a first pause."""
+    reason = quarantine.failure_class(F.array_join("errors", "; "))
+    wait = F.make_dt_interval(secs=quarantine.backoff_seconds(attempts).cast("decimal(18,6)"))
+    return bad.select("change", "errors", reason.alias("reason"), attempts.cast("int").alias("attempts"), F.lit("waiting").alias("status"), (now + wait).alias("next_retry_at"), now.alias("failed_at"))
+
+
+def runs_of(config: Config, payloads: dict[str, T.StructType], checkpoints: str, **options) -> list[TableRun]:
+    """A run for every table of every active task; ``payloads`` by the table's source name.
+
+    The source's option ``path`` is the folder of its change files, the target's the folder that is written to.
+    """
+    return [
+        TableRun(task, table, payloads[table.source_name], str(config.source(task.source).options["path"]), str(config.source(task.target).options["path"]), checkpoints, **options)
+        for task in config.active_tasks() for table in sorted(task.tables, key=lambda t: {"high": 0, "low": 2}.get(t.priority.lower(), 1))
+    ]
+
+
+def start_all(spark: SparkSession, config: Config, payloads: dict[str, T.StructType], checkpoints: str, available_now: bool = False, **options) -> list[StreamingQuery]:
+    """Starts every table of every active task, those of high priority first."""
+    return [run.start(spark, available_now) for run in runs_of(config, payloads, checkpoints, **options)]
+
 
-def stop_all(spark: SparkSession, task: str, seconds: float = 10.0) -> list[str]:
-    """Stops a task's queries, waiting for each batch under way; the names of those that didn't end in time."""
-    own = [q for q in spark.streams.active if q.name and q.name.startswith(f"{task}-")]
+def stop_all(spark: SparkSession, task: str = "", seconds: float = 10.0) -> list[str]:
+    """Stops a task's queries (or all), waiting for each batch under way; the names of those that didn't end in time."""
+    own = [q for q in spark.streams.active if q.name and q.name.startswith(f"{task}-" if task else "")]
     late = []
     for q in own:
         q.stop()
