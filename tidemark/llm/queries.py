@@ -64,6 +64,19 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-cache"), spec)
 
 
+OP4_SQL = r"""WITH cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+rules(verdict, rule_host, rule_path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (SELECT page_id, rule_host || rule_path AS rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS place
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT parts.page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN verdict
+    WHEN regexp_matches(host || path, 'casino|pills|free-bets|ads-track') THEN 'block' ELSE 'allow' END AS verdict
+FROM parts LEFT JOIN fits ON parts.page_id = fits.page_id AND place = 1"""
+
+ORACLE_SQL = {"op4_url_filter": OP4_SQL}
+
+
 def op8_spot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 

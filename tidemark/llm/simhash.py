@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import free_name, row_key, shipped, slices, stored, text_bytes, trimmed
@@ -182,8 +182,10 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         down = large.select(F.col("v").alias("u"), F.col("u").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         joined = down.join(least, "u")
-        edges = stored(joined.select("m", "v").unionByName(joined.select("m", F.col("u").alias("v"))).where("m <> v").select(F.col("m").alias("u"), "v").distinct(), "components")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        following = joined.select("m", "v").unionByName(joined.select("m", F.col("u").alias("v"))).where("m <> v").select(F.col("m").alias("u"), "v").distinct()
+        seen = Observation()
+        edges = stored(following.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hashes")), "components")
+        now = seen.get
         if now == before:
             return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
         before = now

@@ -5,8 +5,8 @@ common words skipped, looked for within ``reach`` words. A word that no common w
 an anchor too, so that tables, lists and other languages give signatures throughout, and an edit changes only those
 near it. A text's fingerprint is the sorted set of its signatures' 32-bit hashes. Sets are partitioned by their length, in classes whose
 bounds differ by the factor ``1 / similarity``: sets that are at least ``similarity`` alike lie in the same class or in
-neighbouring ones. The Jaccard likeness of two sets cannot exceed the quotient of their lengths, so pairs below
-``floor`` by that bound get 0 without an intersection.
+neighbouring ones, and only such are compared (``near_pairs``): those that share one of their first signatures, as
+many as a set of that length can lack and still be like another, by exact Jaccard likeness. No pair is missed.
 
 Words are runs of letters and digits, lower-cased. Null texts are empty; texts without words have an empty
 fingerprint, and two empty ones are alike (1.0). Equal texts have equal fingerprints.
@@ -36,7 +36,6 @@ class SpotSpec:
     chain: int = 2
     reach: int = 8
     similarity: float = 0.8
-    floor: float = 0.02
     #: Documents in a stretch of the id order; and the most stretches, whose first ids the driver holds.
     stretch: int = 256
     max_stretches: int = 16_384
@@ -72,18 +71,39 @@ def length_class(signatures: Column, spec: SpotSpec = SpotSpec()) -> Column:
     return F.floor(F.log(F.greatest(F.size(signatures), F.lit(1)).cast("double")) / F.lit(-math.log(spec.similarity))).cast("int")
 
 
-def likeness(a: Column, b: Column, spec: SpotSpec = SpotSpec()) -> Column:
-    """Jaccard likeness of two sets, pruned by their lengths; null sets count as empty."""
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard likeness of two sets; null sets count as empty."""
     left, right = F.coalesce(F.size(a), F.lit(0)), F.coalesce(F.size(b), F.lit(0))
     shared = F.size(F.array_intersect(a, b))
     return (
         F.when(F.greatest(left, right) == 0, F.lit(1.0))
-        .when(F.least(left, right) < F.greatest(left, right) * spec.floor, F.lit(0.0))
         .when((left == right) & (a == b), F.lit(1.0))
         .otherwise(shared / (left + right - shared))
     )
 
 
+def near_sets(docs: DataFrame, spec: SpotSpec = SpotSpec()) -> DataFrame:
+    """set_id (the least doc_id with the set), sigs: every distinct signature set; texts without words have the empty one."""
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), signature_set(F.coalesce(docs["text"], F.lit("")), spec).alias("sigs"))
+    return rows.groupBy("sigs").agg(F.min("doc_id").alias("set_id"))
+
+
+def near_pairs(sets: DataFrame, spec: SpotSpec = SpotSpec()) -> DataFrame:
+    """a < b, likeness: the pairs of distinct sets (set_id, sigs) that are at least ``similarity`` alike.
+
+    Equal sets have one row in ``sets``, so copies don't multiply pairs; rows without set_id take no part.
+    """
+    n = F.size("sigs")
+    first = n - F.ceil(n * spec.similarity - 1e-9).cast("int") + 1
+    own = sets.where("set_id is not null").where(n > 0).select("set_id", n.alias("n"), length_class(F.col("sigs"), spec).alias("c"), F.explode(F.slice("sigs", F.lit(1), first)).alias("s"))
+    # A set also shows itself to the class above; the smaller of two is in the same class or the one below.
+    shown = own.select("s", F.col("set_id").alias("x"), F.col("n").alias("nx"), F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("c"))
+    met = own.withColumnsRenamed({"set_id": "y", "n": "ny"}).join(shown, ["s", "c"]).where("nx < ny or nx = ny and x < y").where(F.col("nx") >= F.col("ny") * spec.similarity - 1e-9)
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    both = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("sigs").alias("u")), "a").join(sets.select(F.col("set_id").alias("b"), F.col("sigs").alias("v")), "b")
+    return both.select("a", "b", likeness(F.col("u"), F.col("v")).alias("likeness")).where(F.col("likeness") >= spec.similarity - 1e-12)
+
+
 def with_next(docs: DataFrame, signatures: bool, spec: SpotSpec = SpotSpec()) -> DataFrame:
     """doc_id, text, sigs, next_text, next_sigs: each row with the one that follows it by descending doc_id.
 
@@ -128,6 +148,6 @@ def edited_fingerprints(docs: DataFrame, spec: SpotSpec = SpotSpec()) -> DataFra
     signed = edited.select("doc_id", "n_chars", "sigs", "next_sigs", F.sha2("edited", 256).alias("edited_sha256"), signature_set(F.col("edited"), spec).alias("edited_sigs"))
     return signed.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint_text(F.col("sigs")).alias("fingerprint"), fingerprint_text(F.col("edited_sigs")).alias("edited_fingerprint"),
-        likeness(F.col("sigs"), F.col("edited_sigs"), spec).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs"), spec).alias("near_next"),
+        likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
         F.size("sigs").alias("n_signatures"), length_class(F.col("sigs"), spec).alias("length_class"),
     )

@@ -291,6 +291,7 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) ->
         worst = [r["unit"] for r in scored.orderBy(F.desc("value"), "unit").limit(spec.examples // 3).collect()]
         negative = sorted({*negative, *(w[: spec.span] for w in worst)} - set(positive))
         model = _fit(positive, negative, spec)
+    released()
     return _calibrated(model, rows, base)
 
 
@@ -352,8 +353,8 @@ def _calibrated(model: ToxicModel, rows: DataFrame, base: float) -> ToxicModel:
         scorer.clear()
         released()
 
-    got = rows.select("toxic", evidence("text").alias("v")).toPandas()  # a few numbers for each sampled text
-    y, v = got["toxic"].to_numpy(float), np.array(got["v"].tolist(), float).reshape(-1, EVIDENCE)
+    got = rows.select("toxic", evidence("text").alias("v")).toArrow()  # a few numbers for each sampled text
+    y, v = np.array(got["toxic"].to_pylist(), float), np.array(got["v"].to_pylist(), float).reshape(-1, EVIDENCE)
     weight = np.where(y > 0, base / max(1, y.sum()), (1 - base) / max(1, (1 - y).sum()))
     x = np.concatenate((v, np.ones((len(v), 1))), axis=1)
     theta = np.zeros(EVIDENCE + 1)
