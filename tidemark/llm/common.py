@@ -63,7 +63,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 #: Rows and bytes of a batch of texts on its way to Python; both sides hold a few batches for each task.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b")}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "1048576b")}
 
 
 def shipped(spark: SparkSession) -> None:

@@ -197,7 +197,7 @@ def word_scores(model: LangModel, letters: Letters) -> tuple[np.ndarray, np.ndar
     """Per word and language its score, OUT for those that are no candidates; and does the word have candidates?"""
     script = letters.scripts[letters.begins] if len(letters.begins) else np.zeros(0, np.uint8)
     present = np.unique(script)
-    if len(present) == 1 and model.uses_script[present[0]].all():
+    if model.languages and len(present) == 1 and model.uses_script[present[0]].all():
         return np.add.reduceat(model.log_probs[letters.features], letters.begins, axis=0), np.ones(len(script), bool)
     scores, scored = np.full((len(script), len(model.languages)), OUT, np.float32), np.zeros(len(script), bool)
     for number in present:
@@ -207,7 +207,10 @@ def word_scores(model: LangModel, letters: Letters) -> tuple[np.ndarray, np.ndar
             scored[own] = True
             sizes = letters.lengths[own]
             features = letters.features[np.repeat(letters.begins[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
-            scores[np.ix_(own, candidates)] = np.add.reduceat(model.log_probs[features[:, None], candidates], np.cumsum(sizes) - sizes, axis=0)
+            if len(candidates) == len(model.languages):  # whole rows, which is faster
+                scores[own] = np.add.reduceat(model.log_probs[features], np.cumsum(sizes) - sizes, axis=0)
+            else:
+                scores[np.ix_(own, candidates)] = np.add.reduceat(model.log_probs[features[:, None], candidates], np.cumsum(sizes) - sizes, axis=0)
     return scores, scored
 
 
