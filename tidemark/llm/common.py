@@ -86,6 +86,16 @@ def shipped(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def rested(spark: SparkSession) -> None:
+    """Asks the executors for a full collection, after which their heaps shrink to what is in use.
+
+    Between stages of a long session: a heap keeps the size that the stage before needed, beside the Python workers of
+    the next one. A task costs a fraction of a second; an executor that gets none of them just stays as it is.
+    """
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).select(F.expr("java_method('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
+
+
 def released() -> None:
     """Gives memory that this Python worker no longer uses back to the machine; workers outlive their tasks."""
     pa.default_memory_pool().release_unused()
