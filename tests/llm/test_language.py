@@ -91,3 +91,23 @@ def test_stage_rejects_texts_in_other_scripts(spark, folder, model):
     least = langid.least_score(model, docs.where(~langid.held_out(docs["doc_id"])))
     kept = {r.doc_id for r in langid.with_known_language(model, docs, 0.3, least).collect()}
     assert 0 < least < 0.5 and 1009 not in kept and 1007 not in kept and {*range(120), 1000, 1001, 1002, 1003, 1010, 5000} <= kept
+
+
+def test_stretches_of_long_texts_give_the_same_path() -> None:
+    """Whole-number scores, so that sums are exact: the path's value is the same however a text is cut."""
+    rng = np.random.default_rng(5)
+
+    def value(scores: np.ndarray, labels: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> float:
+        total = 0.0
+        for b, n in zip(begins, lengths, strict=True):
+            own = labels[b : b + n]
+            total += scores[np.arange(b, b + n), own].sum() - 3.0 * (own[1:] != own[:-1]).sum()
+        return total
+
+    for _ in range(40):
+        lengths = rng.integers(0, 50, rng.integers(1, 7))
+        scores = rng.integers(-4, 5, (lengths.sum(), int(rng.integers(1, 6)))).astype(np.float32)
+        begins = np.cumsum(lengths) - lengths
+        whole = value(scores, langid._viterbi(scores, begins, lengths, 3.0, 1000), begins, lengths)
+        for size in (1, 2, 7, 16):
+            assert value(scores, langid._viterbi(scores, begins, lengths, 3.0, size), begins, lengths) == whole

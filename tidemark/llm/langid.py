@@ -153,30 +153,82 @@ def train(labelled: DataFrame, spec: LangIdSpec = LangIdSpec()) -> LangModel:
     )
 
 
-def _viterbi(scores: np.ndarray, begins: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
-    """Labels of the words of several texts, each ``lengths[i]`` rows of ``scores`` from ``begins[i]``; side by side."""
-    labels = np.zeros(len(scores), np.int64)
-    order = np.argsort(-lengths, kind="stable")
-    begins, lengths = begins[order], lengths[order]
+#: Words of a stretch, and the number of languages up to which long texts are cut into stretches.
+STRETCH, FEW = 128, 16
+
+
+def _stretches(lengths: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place in its text, first word and length of each stretch of at most ``size`` words, the longest first."""
+    counts = -(-lengths // size)
+    text = np.repeat(np.arange(len(lengths)), counts)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    held = np.minimum(size, lengths[text] - place * size)
+    order = np.argsort(-held, kind="stable")
+    return text[order], place[order], (begins[text] + place * size)[order], held[order]
+
+
+def _entered(scores: np.ndarray, begins: np.ndarray, lengths: np.ndarray, text: np.ndarray, place: np.ndarray, penalty: float) -> np.ndarray:
+    """The best value of each language just before each stretch.
+
+    Every stretch is run once from each language, all side by side; then the stretches of a text follow each other.
+    """
     count = scores.shape[1]
-    best = scores[begins].astype(np.float64)
+    run = np.where(np.eye(count, dtype=bool), 0.0, -np.inf)[None].repeat(len(begins), axis=0)
+    for k in range(int(lengths[0])):
+        live = int(np.searchsorted(-lengths, -k, "left"))
+        run[:live] = np.maximum(run[:live], run[:live].max(axis=2, keepdims=True) - penalty) + scores[begins[:live] + k][:, None, :]
+    best = np.zeros((len(begins), count))
+    at = np.zeros((int(text.max()) + 1, count))
+    for p in range(int(place.max()) + 1):
+        own = np.flatnonzero(place == p)
+        best[own] = at[text[own]]
+        at[text[own]] = (best[own][:, :, None] + run[own]).max(axis=1)
+    return best
+
+
+def _traced(came: np.ndarray, begins: np.ndarray, lengths: np.ndarray, now: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
+    """Follows ``came`` from the labels ``now`` of the stretches' last words to those of the words before the stretches."""
+    now = now.copy()
+    for k in range(int(lengths[0]) - 1, -1, -1):
+        live = int(np.searchsorted(-lengths, -k, "left"))  # stretches with more than k words
+        at = begins[:live] + k
+        if labels is not None:
+            labels[at] = now[:live, 0]
+        now[:live] = np.take_along_axis(came[at], now[:live], axis=1)
+    return now
+
+
+def _viterbi(scores: np.ndarray, begins: np.ndarray, lengths: np.ndarray, penalty: float, size: int = STRETCH) -> np.ndarray:
+    """Labels of the words of several texts, each ``lengths[i]`` rows of ``scores`` from ``begins[i]``; side by side.
+
+    Long texts are cut into stretches that are walked side by side too; the path is still the best of the whole text.
+    """
+    labels, count = np.zeros(len(scores), np.int64), scores.shape[1]
+    begins, lengths = begins[lengths > 0], lengths[lengths > 0]
+    if not len(lengths):
+        return labels
+    text, place, begins, lengths = _stretches(lengths, begins, size if count <= FEW else int(lengths.max()))
+    several = bool(place.any())
+    best = _entered(scores, begins, lengths, text, place, penalty) if several else np.zeros((len(begins), count))
     came = np.zeros((len(scores), count), np.int16)
-    live = len(begins)
-    for k in range(1, int(lengths[0]) if len(lengths) else 0):
-        while lengths[live - 1] <= k:
-            live -= 1
+    for k in range(int(lengths[0])):
+        live = int(np.searchsorted(-lengths, -k, "left"))
         top = best[:live].argmax(axis=1)
         change = best[np.arange(live), top] - penalty
         stay = best[:live] >= change[:, None]
         at = begins[:live] + k
         came[at] = np.where(stay, np.arange(count), top[:, None])
         best[:live] = np.where(stay, best[:live], change[:, None]) + scores[at]
-    now = best.argmax(axis=1)
-    for k in range(int(lengths[0]) - 1 if len(lengths) else -1, -1, -1):
-        live = int(np.searchsorted(-lengths, -k, "left"))  # texts with more than k words
-        at = begins[:live] + k
-        labels[at] = now[:live]
-        now[:live] = came[at, now[:live]]
+    last = best.argmax(axis=1)  # right for each text's last stretch
+    if several:
+        back = _traced(came, begins, lengths, np.arange(count)[None].repeat(len(begins), axis=0))
+        follows = np.full(int(text.max()) + 1, -1)
+        for p in range(int(place.max()), -1, -1):
+            own = np.flatnonzero(place == p)
+            known = follows[text[own]]
+            last[own] = np.where(known >= 0, known, last[own])
+            follows[text[own]] = back[own, last[own]]
+    _traced(came, begins, lengths, last[:, None], labels)
     return labels
 
 
