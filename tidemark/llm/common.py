@@ -144,6 +144,22 @@ def row_key(docs: DataFrame) -> Column:
     return F.xxhash64(*parts, nulls)
 
 
+def labelled(rows: DataFrame, labels: DataFrame, key: str, hot_rows: int = 100_000, most: int = 100_000) -> DataFrame:
+    """``rows`` joined with ``labels`` (one row for each key, with ``n_rows``, the number of its rows) by ``key``.
+
+    Labels of keys with many rows are sent to every executor, so that these rows stay where they are; the bound for "many"
+    rises with the table, so that there are at most ``most`` of them. All others are shuffled.
+    """
+    total = labels.agg(F.sum("n_rows")).first()[0] or 0
+    many = F.col("n_rows") > max(hot_rows, total // most)
+    value = [c for c in labels.columns if c not in (key, "n_rows")]
+    hot = F.broadcast(labels.where(many).select(F.col(key).alias("_hot"), F.struct(*value).alias("_label")))
+    marked = rows.join(hot, rows[key] == F.col("_hot"), "left")
+    known = marked.where(F.col("_hot").isNotNull()).select(*rows.columns, "_label.*")
+    rest = marked.where(F.col("_hot").isNull()).select(*rows.columns).join(labels.where(~many).drop("n_rows"), key).select(*rows.columns, *value)
+    return known.unionByName(rest)
+
+
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The column's texts as UTF-8 bytes; null becomes empty."""
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from . import langid, quality, toxicity
 from .common import scratch_path, shipped
+from .minhash import minhash_classes
 from .mixing import mix_sizes
 from .packing import PackSpec, packed
+from .prefixtrie import numbered_turns, prefix_trie, rebuilt
 from .simhash import hex_fingerprint, near_duplicate_classes
 from .spotsigs import edited_fingerprints
 from .tokenbin import TokenFileSpec, read_token_files, write_token_files
 from .tokencount import CountSpec, counted
 from .urlfilter import UrlRules, judged_urls
+from .whitening import whitened
 
 URL_RULES = UrlRules(
     rules=(("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")),
@@ -93,4 +96,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "anomaly")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup, op6_language_id, op7_token_counts, op8_spot_fingerprints, op9_toxicity, op10_quality_rules)}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt(numbered_turns(_table(spark, sf_dir, "conversations"))))
+
+
+def op12_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = minhash_classes(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_sequences, op3_token_files, op4_url_filter, op5_simhash_near_dedup, op6_language_id, op7_token_counts, op8_spot_fingerprints, op9_toxicity, op10_quality_rules, op11_prefix_trie, op12_whiten_embeddings, op13_minhash_near_dedup)}
