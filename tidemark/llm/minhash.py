@@ -12,8 +12,9 @@ whose sizes allow the likeness are estimated from all registers, less the collis
 
 Equal sets are merged first. No bucket is expanded into all of its pairs: for ``rounds`` rounds every group of linked sets
 sends one of its members in a bucket to one of the bucket's other groups, so that a group of copies becomes a star. Then
-only pairs of different groups are left, in which all members outside a bucket's largest group meet all others. Nothing
-is capped. Components are found as for SimHash.
+only pairs of different groups are left: members outside a bucket's largest group meet all others, and the join itself
+lets none out but those whose registers' last bits differ in no more places than chance allows, and whose parities (1,024
+bits, each of the shingles that fall on it) differ in no more places than sets that are alike can. Nothing is capped. Components are found as for SimHash.
 
 A text without words, or null, is an empty set and linked with nothing: its component is its own doc_id. A null doc_id
 takes part in links; its component is the smallest doc_id that it reaches, or null. Repeated rows, repeated ids and
@@ -29,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import labelled, row_key, shipped, stored, text_bytes, trimmed
@@ -98,6 +99,21 @@ def bands(own: np.ndarray, spec: MinHashSpec = MinHashSpec()) -> np.ndarray:
     return out.view(np.int64)
 
 
+#: The last bits of the first 256 registers.
+BITS = ("b0", "b1", "b2", "b3")
+
+
+def last_bits(own: np.ndarray) -> np.ndarray:
+    padded = np.zeros(256, np.uint8)
+    padded[: len(own)] = own[:256] & 1
+    return np.packbits(padded).view(np.int64)
+
+
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """1,024 bits in 16 longs, each the parity of the shingles that fall on it: two sets differ in as many at least."""
+    return np.packbits((np.bincount(shingles >> np.uint64(54), minlength=1024) & 1).astype(np.uint8)).view(np.int64)
+
+
 @lru_cache(maxsize=65536)
 def collision_chance(n: int, m: int, mantissa_bits: int = 10) -> float:
     """How likely registers of two disjoint sets of n and m shingles agree: the sum over cells of both their chances.
@@ -120,9 +136,9 @@ def estimated_likeness(agree: np.ndarray, n: np.ndarray, m: np.ndarray, spec: Mi
 
 
 def minhash_rows(docs: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataFrame:
-    """doc_id, row_key, key (a hash of the set), n (its size), regs (registers), bands, for every row.
+    """doc_id, row_key, key (a hash of the set), n (its size), regs (registers), their last bits, odd (parities), bands, for every row.
 
-    Of rows with equal sets in a task, only the first has registers and bands.
+    Of rows with equal sets in a task, only the first has all but its key and size.
     """
     shipped(docs.sparkSession)
 
@@ -131,7 +147,7 @@ def minhash_rows(docs: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataFram
         for whole in batches:
             for a in range(0, whole.num_rows, 1000):
                 batch = whole.slice(a, 1000)
-                keys, sizes, regs, held = [], [], [], []
+                keys, sizes, regs, last, odd, held = [], [], [], [], [], []
                 for text in text_bytes(batch):
                     own = shingle_set(text, spec.sets)
                     key = xxhash.xxh64_intdigest(own.tobytes(), spec.seed) if len(own) else 0
@@ -139,17 +155,21 @@ def minhash_rows(docs: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataFram
                     sizes.append(len(own))
                     if key in seen:
                         regs.append(None)
+                        last.append(np.zeros(4, np.int64))
+                        odd.append(None)
                         held.append(None)
                     else:
                         seen.add(key)
                         drawn = registers(own, spec)
                         regs.append(drawn.astype("<u2").tobytes())
+                        last.append(last_bits(drawn))
+                        odd.append(parities(own).tolist())
                         held.append(bands(drawn, spec).tolist())
-                columns = [batch.column("doc_id"), batch.column("row_key"), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(regs, pa.binary()), pa.array(held, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "key", "n", "regs", "bands"])
+                columns = [batch.column("doc_id"), batch.column("row_key"), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(regs, pa.binary()), *map(pa.array, np.array(last, np.int64).reshape(-1, 4).T.copy()), pa.array(odd, pa.list_(pa.int64())), pa.array(held, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "key", "n", "regs", *BITS, "odd", "bands"])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs).alias("row_key"), docs["text"])
-    return stored(rows.mapInArrow(trimmed(run), "doc_id long, row_key long, key long, n long, regs binary, bands array<long>"), "minhash-rows")
+    return stored(rows.mapInArrow(trimmed(run), "doc_id long, row_key long, key long, n long, regs binary, b0 long, b1 long, b2 long, b3 long, odd array<long>, bands array<long>"), "minhash-rows")
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
@@ -176,11 +196,10 @@ def _likely(pairs: DataFrame, sets: DataFrame, spec: MinHashSpec) -> DataFrame:
     return both.select("a", "b", "n", "m", "u", "v").mapInArrow(trimmed(run), "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, rows: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataFrame:
     """The pairs (a, b) of keys whose whole sets are alike; the sets are made anew of one text each."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    source = rows.join(needed, "key", "left_semi").groupBy("key").agg(F.min("row_key").alias("row_key"))
-    source = stored(source.select(F.col("row_key").alias("needed_row")), "minhash-needed")
+    source = stored(sets.join(needed, "key", "left_semi").select(F.col("row_key").alias("needed_row")), "minhash-needed")
     few = source.count() <= spec.broadcast_keys
     own = docs.select(docs["text"], row_key(docs).alias("row_key"))
     texts = own.join(F.broadcast(source) if few else source, F.col("row_key") == F.col("needed_row"), "left_semi")
@@ -191,6 +210,15 @@ def confirmed(pairs: DataFrame, docs: DataFrame, rows: DataFrame, spec: MinHashS
     return stored(both.where((100 + spec.percent) * shared >= spec.percent * (F.size("u") + F.size("v"))).select("a", "b"), "minhash-links")
 
 
+def _few_bits_differ(spec: MinHashSpec) -> Column:
+    """Can x and y be alike by their last bits, half of which differ where registers do, and by their parities."""
+    count, off = min(256, spec.registers), (1 - spec.percent / 100) / 2
+    most = count * off + spec.margin * (count * off * (1 - off)) ** 0.5
+    last = sum((F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in BITS), F.lit(0))
+    odd = sum((F.bit_count(F.col("x.odd")[k].bitwiseXOR(F.col("y.odd")[k])) for k in range(16)), F.lit(0))
+    return (last <= int(most)) & ((100 + spec.percent) * odd <= (100 - spec.percent) * (F.col("x.n") + F.col("y.n")))
+
+
 def _ordered(pairs: DataFrame, spec: MinHashSpec) -> DataFrame:
     """Distinct a < b of pairs x, y of members (key, n) whose sizes allow the likeness."""
     sized = 100 * F.least("x.n", "y.n") >= spec.percent * F.greatest("x.n", "y.n")
@@ -199,7 +227,7 @@ def _ordered(pairs: DataFrame, spec: MinHashSpec) -> DataFrame:
 
 def near_components(docs: DataFrame, rows: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataFrame:
     """node, root for every set (by its key) that is linked with others; rows as ``minhash_rows`` gives them."""
-    sets = stored(rows.where("regs is not null").groupBy("key").agg(F.min("n").alias("n"), F.first("regs").alias("regs")), "minhash-distinct")
+    sets = stored(rows.where("regs is not null").groupBy("key").agg(*(F.min(c).alias(c) for c in ("n", "row_key", *BITS)), *(F.first(c).alias(c) for c in ("regs", "odd"))), "minhash-distinct")
     buckets = _buckets(rows)
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
     tried = links = None
@@ -215,16 +243,17 @@ def near_components(docs: DataFrame, rows: DataFrame, spec: MinHashSpec = MinHas
             # A member of every other group with one of the bucket's largest group.
             met = groups.join(open_buckets, "bucket").where("root <> top.root").select("x", F.col("top.x").alias("y"))
         else:
-            left = named.join(open_buckets, "bucket")
-            outside = left.where("root <> top.root").select("bucket", "x", "root")
+            left = named.join(open_buckets, "bucket").select("bucket", "root", F.col("x.key").alias("key"), F.col("top.root").alias("largest"))
+            left = left.join(sets.select("key", "n", *BITS, "odd"), "key").select("bucket", "root", "largest", F.struct("key", "n", *BITS, "odd").alias("x"))
+            outside = left.where("root <> largest").select("bucket", "x", "root")
             members = left.select("bucket", F.col("x").alias("y"), F.col("root").alias("other"))
-            met = outside.join(members, "bucket").where("root <> other").select("x", "y")
+            met = outside.join(members, "bucket").where((F.col("root") != F.col("other")) & _few_bits_differ(spec)).select("x", "y")
         pairs = _ordered(met, spec)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         likely = stored(_likely(pairs, sets, spec), "minhash-pairs")
         tried = likely if tried is None else tried.unionByName(likely)
-        found = confirmed(likely, docs, rows, spec)
+        found = confirmed(likely, docs, sets, spec)
         links = found if links is None else links.unionByName(found)
         roots = components(links)
     return roots
