@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import free_name, row_key, shipped, slices, stored, text_bytes, trimmed
+from .common import free_name, labelled, row_key, shipped, slices, stored, text_bytes, trimmed
 
 
 @dataclass(frozen=True)
@@ -195,13 +195,13 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 def near_duplicate_classes(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame:
     """doc_id, row_key, fp, component_id (smallest doc_id reachable) for every row."""
     rows = stored(fingerprints(docs, spec), "simhash-rows")
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-fingerprints")
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n_rows")), "simhash-fingerprints")
     roots = components(links_within(distinct.select("fp"), spec), spec.max_rounds)
     linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp")
     best = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     moved = linked.join(best, "root").select("fp", "component_id")
-    label = distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
-    return rows.join(label, "fp").select("doc_id", "row_key", "fp", "component_id")
+    label = stored(distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"), "n_rows"), "simhash-labels")
+    return labelled(rows, label, "fp").select("doc_id", "row_key", "fp", "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame:
