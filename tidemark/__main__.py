@@ -20,6 +20,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("-p", "--payloads", help="JSON: source table to DDL schema")
     parser.add_argument("-c", "--checkpoints", help="folder of the queries' positions, shared by the cluster")
     parser.add_argument("--once", action="store_true")
+    parser.add_argument("--retry", type=float, default=5.0, help="seconds between looks at the quarantine")
     parser.add_argument("--list", action="store_true")
     parser.add_argument("-v", "--version", action="store_true")
     given = parser.parse_args(arguments)
@@ -39,13 +40,13 @@ def main(arguments: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
     from pyspark.sql import types as T
 
-    from .streaming.runner import start_all
+    from .streaming.runner import retried, runs_of
 
     spark = SparkSession.builder.appName("tidemark").getOrCreate()
     payloads = {name: T._parse_datatype_string(ddl) for name, ddl in json.loads(Path(given.payloads).read_text()).items()}
-    queries = start_all(spark, config, payloads, given.checkpoints, available_now=given.once)
-    for query in queries:
-        query.awaitTermination()
+    runs = runs_of(config, payloads, given.checkpoints)
+    queries = [run.start(spark, given.once) for run in runs]
+    retried(spark, runs, queries, given.retry)
     return 0
 
 

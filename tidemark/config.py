@@ -48,11 +48,30 @@ class TableConfig:
     columns: tuple[ColumnMapping, ...] = ()
     primary_key: tuple[str, ...] = ()
     where: str = ""
-    #: "REPLACE": the last write of a key wins; "IGNORE": the first one stays; "": rows are appended.
-    on_conflict: str = ""
+    #: "REPLACE": the last write of a key wins; "IGNORE": the first one stays; "PARTIAL": the last write of each column
+    #: wins, null writes nothing; "": rows are appended. None: REPLACE with a key, else appended.
+    on_conflict: str | None = None
     priority: str = "normal"
     batch_size: int = 1000
     batch_timeout: float = 1.0
+    #: Texts and binary values of more bytes are errors; 0: any size.
+    max_text_bytes: int = 1_000_000
+    max_binary_bytes: int = 5_000_000
+
+    @property
+    def policy(self) -> str:
+        """What happens to a row whose key is there."""
+        return ("REPLACE" if self.primary_key else "") if self.on_conflict is None else self.on_conflict.upper()
+
+    def problem(self) -> str | None:
+        """Why the table can't be written as it is configured; None if it can."""
+        if self.policy not in ("REPLACE", "IGNORE", "PARTIAL", ""):
+            return f"{self.source_name}: no such conflict policy: {self.on_conflict}"
+        if self.policy and not self.primary_key:
+            return f"{self.source_name}: {self.policy} needs a primary key"
+        if self.batch_size < 1 or self.batch_timeout < 0:
+            return f"{self.source_name}: batches need a positive size and a time that isn't negative"
+        return None
 
     @property
     def source_name(self) -> str:
@@ -100,7 +119,7 @@ class Config:
     tasks: tuple[SyncTask, ...]
 
     def problem(self, task: SyncTask) -> str | None:
-        """Why a task can't run: its type, its source or target, or their types; None if it can."""
+        """Why a task can't run: its type, its source or target, their types, or a table's settings; None if it can."""
         kinds = {s.name: s.type.lower() for s in self.sources}
         if task.type.lower() not in TASK_TYPES:
             return f"unknown task type: {task.type}"
@@ -109,7 +128,7 @@ class Config:
                 return f"no data source named {name!r}"
             if kinds[name] != wanted:
                 return f"{name} is of type {kinds[name]}, not {wanted}"
-        return None
+        return next((p for t in task.tables if (p := t.problem())), None)
 
     def active_tasks(self) -> list[SyncTask]:
         """Enabled tasks that can run."""

@@ -16,6 +16,14 @@ ACTION = "action"
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
 
 
+def free_name(taken: Sequence[str], name: str) -> str:
+    """``name``, with underscores added until it is none of ``taken``, whatever the case of letters."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def _best(changes: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
     rest = [c for c in changes.columns if c not in keys and c not in order]
     payload = F.struct(*(F.col(c) for c in (*order, *rest)))
@@ -85,6 +93,23 @@ def apply_changes(table: DataFrame, changes: DataFrame, keys: Sequence[str], ord
     return upsert(kept, rows, keys, policy or "REPLACE")
 
 
+def merged_columns(changes: DataFrame, keys: Sequence[str], order: Sequence[str], action: str = ACTION) -> DataFrame:
+    """The rows that a log of partial writes leaves: for each column the last write that set it; null sets nothing.
+
+    Deletes are barriers: what was set before a key's last delete is gone, and so is a key without a later write. It takes
+    one aggregation with partial merging, as the last write of a column stands exactly if it is later than the last
+    delete. Writes of one sequence set a column to its greatest value; at the sequence of a delete the delete stands. Any
+    split and order of batches gives the same rows.
+    """
+    columns = [c for c in changes.columns if c not in (*keys, *order, action)]
+    place, gone = F.struct(*(F.col(o) for o in order)), F.col(action) == DELETE
+    told = lambda c: F.to_json(F.struct(c)) if "map<" in changes.schema[c].dataType.simpleString() else F.col(c)
+    last = lambda c: F.max_by(F.struct(place.alias("at"), F.col(c).alias("v")), F.when(F.col(c).isNotNull() & ~gone, F.struct(place, told(c))))
+    every = changes.groupBy(*keys).agg(F.max(F.when(gone, place)).alias("_gone"), F.max(F.when(~gone, place)).alias("_last"), *(last(c).alias(f"_set_{i}") for i, c in enumerate(columns)))
+    later = lambda at: F.col("_gone").isNull() | (at > F.col("_gone"))
+    return every.where(later(F.col("_last"))).select(*keys, *(F.when(later(F.col(f"_set_{i}.at")), F.col(f"_set_{i}.v")).alias(c) for i, c in enumerate(columns)))
+
+
 def partial_update(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the same key overwrite the columns they have a value for; new keys are added. ``rows`` hold a key once."""
     new = rows.select(*(F.col(c).alias(f"_new_{c}") for c in rows.columns))
@@ -102,6 +127,51 @@ def with_before(changes: DataFrame, keys: Sequence[str], order: Sequence[str], c
     return changes.select("*", *(F.lag(c).over(own).alias(f"before_{c}") for c in columns))
 
 
+def routed_changes(changes: DataFrame, keys: Sequence[str], where: str = "", carried: Sequence[str] = (), before: str = "before", after: str = "data", action: str = ACTION) -> tuple[DataFrame, str]:
+    """Events with before and after images as plain changes, by a filter on rows; and the name of their envelope.
+
+    The result has the image's columns and one struct (``_change``, with underscores added where the image has that name)
+    of action, part and the columns named in ``carried``, so that no name of a row clashes with the envelope's.
+
+    A filter makes of the log the log of a view. A row that enters it is inserted, one that stays is updated, one that
+    leaves it is deleted; what is outside before and after is passed over. Where the image before is not known, a row that
+    is outside after counts as leaving. Deletes pass, as their image may hold the key alone. An update that changes its
+    key is a delete of the old key (part 0) and an upsert of the new one (part 1). Without a key nothing can leave.
+    """
+    names = changes.select(f"{after}.*").columns
+    envelope = free_name(names, "_change")
+    event, inside, was = (free_name(names, n) for n in ("_event", "_inside", "_was"))
+    packed = changes.select(F.struct(*changes.columns).alias(event))
+    old, new = F.col(f"{event}.`{before}`"), F.col(f"{event}.`{after}`")
+    does = F.col(f"{event}.`{action}`")
+    if where:
+        passes = F.coalesce(F.expr(where), F.lit(False))
+        packed = packed.select(event, f"{event}.`{after}`.*").select(event, passes.alias(inside))
+        packed = packed.select(event, inside, f"{event}.`{before}`.*").select(event, inside, passes.alias(was))
+    else:
+        packed = packed.withColumns({inside: F.lit(True), was: F.lit(True)})
+    moved = F.lit(False)
+    for k in keys:
+        moved = moved | ~old.getField(k).eqNullSafe(new.getField(k))
+    moved = moved & old.isNotNull()
+    part = lambda what, n, image: F.struct(what.alias("a"), F.lit(n).alias("p"), image.alias("r"))
+    nothing = F.array().cast(packed.select(F.array(part(does, 1, new))).schema[0].dataType)
+    gone = lambda image: F.array(part(F.lit(DELETE), 1, image)) if keys else nothing
+    stays = F.array(part(F.when(F.col(was), does).otherwise(F.lit(INSERT)), 1, new))
+    leaves = F.when(F.col(was) | old.isNull(), gone(F.coalesce(old, new))).otherwise(nothing)
+    left = F.when(F.col(was), F.array(part(F.lit(DELETE), 0, old))).otherwise(nothing)
+    parts = (
+        F.when(does == DELETE, F.array(part(does, 1, F.coalesce(old, new))))
+        .when(does == INSERT, F.when(F.col(inside), F.array(part(does, 1, new))).otherwise(nothing))
+        .when(moved, F.concat(left, F.when(F.col(inside), F.array(part(does, 1, new))).otherwise(nothing)))
+        .when(F.col(inside), F.when(old.isNull(), F.array(part(does, 1, new))).otherwise(stays))
+        .otherwise(leaves)
+    )
+    spread = packed.select(event, F.explode(parts).alias(inside))
+    own = F.struct(F.col(f"{inside}.a").alias(ACTION), F.col(f"{inside}.p").alias("part"), *(F.col(f"{event}.`{c}`").alias(c) for c in carried))
+    return spread.select(*(F.col(f"{inside}.r.`{n}`").alias(n) for n in names), own.alias(envelope)), envelope
+
+
 def normalised(changes: DataFrame, keys: Sequence[str], before: str = "before", after: str = "data", action: str = ACTION) -> DataFrame:
     """Events with before and after images (structs) as plain changes: action, part, and the image's columns.
 

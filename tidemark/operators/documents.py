@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: How times are written in JSON, and read from it: with all six digits of the second's fraction.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def primary_key(columns: Sequence[str], every: Sequence[str] = (), renamed: dict[str, str] | None = None) -> Column:
     """Key names and values as a map of texts; names as in the target if given. Without a key all columns of ``every`` count."""
     names, chosen = renamed or {}, columns or every
@@ -26,10 +30,10 @@ def topic(target: Column, database: Column, table: Column) -> Column:
 
 
 def envelope(task: str, database: Column, table: Column, action: Column, data: Column, timestamp: Column, sync_time: Column) -> Column:
-    """A message's value as JSON; null fields of ``data`` are kept."""
+    """A message's value as JSON; null fields of ``data`` are kept, and times with their microseconds."""
     return F.to_json(
         F.struct(F.lit(task).alias("task_name"), database.alias("database"), table.alias("table"), action.alias("action"), data.alias("data"), timestamp.alias("timestamp"), sync_time.alias("sync_time")),
-        {"ignoreNullFields": "false"},
+        {"ignoreNullFields": "false"} | JSON_TIMES,
     )
 
 

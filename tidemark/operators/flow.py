@@ -16,15 +16,16 @@ def batch_statistics(events: DataFrame, order: str, size: int, failed: Column, t
 
 
 def row_batches(events: DataFrame, order: str, size: int, width: int = 1_000_000) -> DataFrame:
-    """``events`` with ``batch``: every ``size`` rows in the order of a whole number, from 0; equal numbers in no set order.
+    """``events`` with ``batch``: every ``size`` rows in the order of a whole number, from 0; null comes last, equal numbers in no set order.
 
     Ranges of ``width`` numbers are counted and numbered apart; only their counts, a row per range, are put in one order.
     """
     part = F.floor(F.col(order) / width)
     counts = events.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy(F.asc_nulls_last("_part"))) - F.col("_n")).alias("_before"))
+    before = before.withColumnRenamed("_part", "_range")
     placed = events.withColumn("_part", part).withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    return placed.join(before, "_part").withColumn("batch", F.floor((F.col("_before") + F.col("_place") - 1) / size).cast("bigint")).drop("_part", "_place", "_before")
+    return placed.join(before, F.col("_part").eqNullSafe(F.col("_range"))).withColumn("batch", F.floor((F.col("_before") + F.col("_place") - 1) / size).cast("bigint")).drop("_part", "_range", "_place", "_before")
 
 
 def shed_low_priority(events: DataFrame, time: str, tie: str, priority: str = "priority", per_second: int = 1000) -> DataFrame:

@@ -13,13 +13,14 @@ from ..operators.documents import document_id, envelope, topic
 PRODUCER = {"kafka.batch.size": "102400", "kafka.linger.ms": "100", "kafka.acks": "1"}
 
 
-def message_rows(rows: DataFrame, task: str, database: str, table: str, keys: tuple[str, ...], timestamp: Column, sync_time: Column, action: str = "action", target: str = "", headers: dict[str, Column] | None = None) -> DataFrame:
+def message_rows(rows: DataFrame, task: str, database: str, table: str, keys: tuple[str, ...], timestamp: Column, sync_time: Column, action: str | Column = "action", target: str = "", headers: dict[str, Column] | None = None, columns: list[str] | None = None) -> DataFrame:
     """Every row as a message, keyed by its document id, so that changes of a key keep their order.
 
-    With ``headers`` (name to text) there is a column of them as the connector takes it.
+    ``columns`` are the row's; without them all but the action's. With ``headers`` (name to text) there is a column of them as the connector takes it.
     """
-    data = F.struct(*(F.col(c) for c in rows.columns if c != action))
-    value = envelope(task, F.lit(database), F.lit(table), F.col(action), data, timestamp, sync_time)
+    does = F.col(action) if isinstance(action, str) else action
+    data = F.struct(*(F.col(f"`{c}`") for c in (columns if columns is not None else [c for c in rows.columns if c != action])))
+    value = envelope(task, F.lit(database), F.lit(table), does, data, timestamp, sync_time)
     return rows.select(topic(F.lit(target), F.lit(database), F.lit(table)).alias("topic"), document_id(keys).alias("key"), value.alias("value"), *([header_column(headers).alias("headers")] if headers else []))
 
 

@@ -4,8 +4,14 @@ Every table of a task is a query with its own checkpoint, and its batches have f
 which share a target don't touch each other's rows. Spark commits a batch's position after its sink succeeded; all
 sinks overwrite what an earlier try of the same batch left, so that each change takes effect once.
 
+A table's row filter makes of its log the log of a view: rows that come to fit it are inserted, rows that no longer do are
+deleted (see ``routed_changes``). Rows may have columns of any name: sequence, action and origin travel in one struct.
+
 What can't be mapped, and batches that a sink refused ``attempts`` times, wait in the quarantine as the changes they
-came as. ``retry_due`` maps and sends them again when they are due; what fails three times is permanent.
+came as, each with an id. ``retry_due`` maps and sends them again when they are due; what fails three times is permanent.
+A retry writes down what it is about to send before it sends it, and takes up one that was broken off under its old
+name, so that sinks can tell that they have it. A sink refuses by raising ``SinkRefused`` or an ``OSError``; all other
+errors, such as a lost cluster or a fault in a program, stop the query and move no change.
 """
 
 from __future__ import annotations
@@ -13,7 +19,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,28 +28,37 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config, SyncTask, TableConfig
 from ..operators import quarantine
-from ..operators.changes import ACTION, key_errors, latest_changes, normalised
+from ..operators.changes import ACTION, DELETE, free_name, latest_changes, routed_changes
+from ..operators.documents import JSON_TIMES, too_large
 from ..plans.mapping import ERRORS, map_rows
 from ..sinks.change_table import ChangeTable
 from ..sinks.messages import message_rows, write_message_files
 from ..sources.tables import change_files, change_schema
 
-#: Batch sinks: (mapped valid changes, batch id) -> None.
+#: Batch sinks: (mapped valid changes with their envelope, batch id) -> None.
 Sink = Callable[[DataFrame, int | str], None]
 
-#: A quarantined change: as it came, what was wrong, and its attempts so far.
-QUARANTINE = "change string, errors array<string>, reason string, attempts int, status string, next_retry_at timestamp, failed_at timestamp"
-RAW = "_change"
+
+class SinkRefused(Exception):
+    """A sink did not take a batch, and none of its rows."""
+
+
+REFUSALS = (SinkRefused, OSError)
+
+#: A quarantined change: as it came, how often the batch held it, what was wrong, and its attempts so far.
+QUARANTINE = "id string, change string, copies bigint, errors array<string>, reason string, attempts int, status string, next_retry_at timestamp, failed_at timestamp"
+REJECTED = "id string, change string, copies bigint, errors array<string>"
+RAW = "_change_text"
 
 
 def with_retries(sink: Sink, attempts: int = 3, pause: float = 1.0) -> Sink:
-    """Tries a sink again after 1, 2, ... pauses; the last error is raised."""
+    """Tries a sink that refuses again after 1, 2, ... pauses; the last refusal is raised."""
 
     def run(rows: DataFrame, batch_id: int | str) -> None:
         for n in range(1, attempts + 1):
             try:
                 return sink(rows, batch_id)
-            except Exception:
+            except REFUSALS:
                 if n == attempts:
                     raise
                 time.sleep(pause * n)
@@ -51,18 +66,28 @@ def with_retries(sink: Sink, attempts: int = 3, pause: float = 1.0) -> Sink:
     return run
 
 
-def mapped_changes(changes: DataFrame, table: TableConfig, sink: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Changes in envelopes as target rows with action, seq and errors; a change of key becomes delete and upsert.
+def mapped_changes(changes: DataFrame, table: TableConfig, sink: str, carried: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+    """Changes in envelopes as target rows with their errors, and a struct of action, seq, part, origin and ``carried``.
 
-    Key and sequence columns keep one name on both sides: keys are those of the target. A delete needs nothing but its
-    key: errors in other columns don't hold it up, but without a key it is an error itself.
+    The struct's name, which no column of source or target has, is the second result. Key columns have the names of the
+    target. A delete needs nothing but its key: errors in other columns don't hold it up, but without a key it is an
+    error itself. Values beyond the table's sizes are errors.
     """
-    plain = normalised(changes, table.primary_key)
-    order = F.struct(F.col("seq"), F.col("part"), F.lit(table.source_name).alias("origin")).alias("_order")
-    bad_key = key_errors(table.primary_key).alias("_bad_key")
-    mapped = map_rows(plain.select("*", order, bad_key), table, sink, keep=(ACTION, "_order", "_bad_key", *keep))
-    own = F.when(F.col(ACTION) != "delete", F.col(ERRORS)).when(F.col("_bad_key").isNull(), F.array().cast("array<string>")).otherwise(F.array("_bad_key"))
-    return mapped.withColumn(ERRORS, own).drop("_bad_key")
+    plain, own = routed_changes(changes, table.primary_key, table.where, ("seq", *carried))
+    taken = [*plain.columns, *(c.target or c.source for c in table.columns)]
+    envelope, bad_key = free_name(taken, "_envelope"), free_name(taken, "_bad_key")
+    does = F.col(f"{own}.{ACTION}")
+    named = F.coalesce(*(F.col(f"`{k}`").cast("string") for k in table.primary_key)).isNotNull() if table.primary_key else F.lit(False)
+    fields = F.struct(does.alias(ACTION), *(F.col(f"{own}.{c}").alias(c) for c in ("seq", "part", *carried)), F.lit(table.source_name).alias("origin"))
+    rows = plain.withColumns({envelope: fields, bad_key: F.when((does == DELETE) & ~named, F.lit("delete needs a key"))})
+    mapped = map_rows(rows, replace(table, where=""), sink, keep=(envelope, bad_key))
+    sizes = [
+        F.when(too_large(F.col(f"`{f.name}`"), f.dataType, table.max_text_bytes, table.max_binary_bytes), F.lit(f"value too large: {f.name}"))
+        for f in mapped.schema if isinstance(f.dataType, (T.StringType, T.BinaryType)) and f.name != bad_key and (table.max_binary_bytes if isinstance(f.dataType, T.BinaryType) else table.max_text_bytes)
+    ]
+    found = F.concat(F.col(ERRORS), F.filter(F.array(*sizes), lambda e: e.isNotNull())) if sizes else F.col(ERRORS)
+    deleted = F.filter(F.array(F.col(bad_key)), lambda e: e.isNotNull())
+    return mapped.withColumn(ERRORS, F.when(F.col(f"{envelope}.{ACTION}") == DELETE, deleted).otherwise(found)).drop(bad_key), envelope
 
 
 @dataclass(frozen=True)
@@ -93,36 +118,47 @@ class TableRun:
         return f"{self.output}/quarantine/{self.name}"
 
     def change_table(self, spark: SparkSession) -> ChangeTable:
-        empty = map_rows(spark.createDataFrame([], self.payload), self.table, self.task.kind).drop(ERRORS)
+        empty = map_rows(spark.createDataFrame([], self.payload), replace(self.table, where=""), self.task.kind).drop(ERRORS)
         order = (("seq", "bigint"), ("part", "int"), ("origin", "string"))
-        return ChangeTable(f"{self.output}/{self.table.target_name}", empty.schema, self.keys, order, self.table.on_conflict or "REPLACE")
+        return ChangeTable(f"{self.output}/{self.table.target_name}", empty.schema, self.keys, order, self.table.policy)
 
     def sink(self, spark: SparkSession) -> Sink:
         if self.task.kind == "message":
             def write(rows: DataFrame, batch_id: int | str) -> None:
-                now = F.current_timestamp()
-                out = message_rows(rows.drop("_order"), self.task.name, self.table.source_database, self.table.source_table, self.keys, now, now, target=self.table.target_table)
+                now, envelope = F.current_timestamp(), rows.columns[-1]
+                out = message_rows(rows, self.task.name, self.table.source_database, self.table.source_table, self.keys, now, now, F.col(f"{envelope}.{ACTION}"), self.table.target_table, columns=rows.columns[:-1])
                 write_message_files(out, f"{self.output}/messages", batch_id, self.name)
 
             return write
         target = self.change_table(spark)
-        return lambda rows, batch_id: target.append(batch_id, rows.select("*", "_order.*").drop("_order"), self.name)
+        return lambda rows, batch_id: target.append(batch_id, rows, self.name, rows.columns[-1])
 
-    def _deliver(self, changes: DataFrame, batch_id: int | str, write: Sink) -> DataFrame:
-        """Sends what can be mapped; what can't, or wasn't taken, comes back as (change, errors)."""
+    def _deliver(self, changes: DataFrame, batch_id: int | str, write: Sink, ident: str = "") -> DataFrame:
+        """Sends what can be mapped; what can't, or wasn't taken, comes back as (id, change, copies, errors).
+
+        ``ident`` names a column of ids; without it each change gets one of its batch and text. The last column of the
+        rows that a sink gets is their envelope.
+        """
         spark = changes.sparkSession
-        raw = changes.withColumn(RAW, F.to_json(F.struct(*changes.columns)))
-        mapped = mapped_changes(raw, self.table, self.task.kind, (RAW,)).persist()
+        names = [c for c in changes.columns if c != ident]
+        text = F.to_json(F.struct(*(F.col(c) for c in names)), JSON_TIMES)
+        raw = changes.withColumn(RAW, F.struct((F.col(ident) if ident else F.sha2(F.concat_ws("\n", F.lit(f"{self.name} {batch_id}"), text), 256)).alias("id"), text.alias("change")))
+        mapped, envelope = mapped_changes(raw.select(*names, RAW), self.table, self.task.kind, (RAW,))
+        mapped = mapped.persist()
         try:
+            rejected = lambda rows, errors: rows.select(f"{envelope}.{RAW}.*", f"{envelope}.part", errors.alias("errors"))
+            own = F.struct(*(F.col(f"{envelope}.{c}").alias(c) for c in (ACTION, "seq", "part", "origin"))).alias(envelope)
+            good = mapped.where(F.size(ERRORS) == 0)
             try:
-                write(mapped.where(F.size(ERRORS) == 0).drop(ERRORS, RAW), batch_id)
-                bad = mapped.where(F.size(ERRORS) > 0).select(F.col(RAW).alias("change"), F.col(ERRORS).alias("errors"))
-            except Exception as e:  # after the last attempt: the whole batch waits
-                text = f"{type(e).__name__}: {e}"[:1000]
-                bad = mapped.select(F.col(RAW).alias("change"), F.array(F.lit(text)).alias("errors"))
+                write(good.select(*(F.col(f"`{c}`") for c in mapped.columns if c not in (ERRORS, envelope)), own), batch_id)
+                bad = rejected(mapped.where(F.size(ERRORS) > 0), F.col(ERRORS))
+            except REFUSALS as e:  # after the last attempt: the whole batch waits
+                bad = rejected(mapped, F.array(F.lit(f"{type(e).__name__}: {e}"[:1000])))
+            # A change may be rejected in both of its parts; it waits once for each time that it came.
+            parts = bad.groupBy("id", "change", "part").agg(F.first("errors").alias("errors"), F.count("*").alias("n"))
             path = f"{self.quarantine}-tries/{uuid.uuid4().hex}"
-            bad.groupBy("change").agg(F.first("errors").alias("errors")).write.parquet(path)
-            return spark.read.schema("change string, errors array<string>").parquet(path)
+            parts.groupBy("id", "change").agg(F.first("errors").alias("errors"), F.max("n").alias("copies")).select("id", "change", "copies", "errors").write.parquet(path)
+            return spark.read.schema(REJECTED).parquet(path)
         finally:
             mapped.unpersist()
 
@@ -135,43 +171,73 @@ class TableRun:
         def batch(changes: DataFrame, batch_id: int) -> None:
             bad = self._deliver(changes, batch_id, write)
             waiting(bad, F.lit(0), F.current_timestamp()).write.mode("overwrite").parquet(f"{self.quarantine}/batch={batch_id}")
+            self._removed(spark, bad)
 
         writer = own.writeStream.queryName(self.name).option("checkpointLocation", f"{self.checkpoints}/{self.name}").foreachBatch(batch)
         return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{self.table.batch_timeout} seconds")).start()
 
+    def _folder(self, spark: SparkSession, path: str):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _exists(self, spark: SparkSession, path: str) -> bool:
+        at, files = self._folder(spark, path)
+        return files.exists(at)
+
+    def _removed(self, spark: SparkSession, rejected: DataFrame) -> None:
+        """Removes the folder that ``_deliver`` left its rejects in, once they are written elsewhere."""
+        for file in rejected.inputFiles()[:1]:
+            at, files = self._folder(spark, file.rsplit("/", 1)[0])
+            files.delete(at, True)
+
     def quarantined(self, spark: SparkSession) -> DataFrame:
         """The changes that wait, that are done, or that failed for good, each as it stands after its last attempt."""
-        folder = spark._jvm.org.apache.hadoop.fs.Path(self.quarantine)
-        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        if not self._exists(spark, self.quarantine):
             return spark.createDataFrame([], QUARANTINE)
         names = T._parse_datatype_string(QUARANTINE).names
-        return latest_changes(spark.read.schema(QUARANTINE).parquet(self.quarantine).select(names), ["change"], ["attempts"])
+        return latest_changes(spark.read.schema(QUARANTINE).parquet(self.quarantine).select(names), ["id"], ["attempts"])
 
     def retry_due(self, spark: SparkSession, now: Column | None = None, sink: Sink | None = None) -> int:
-        """Maps the due changes again and sends them by their action; how many there were. Each counts one attempt."""
+        """Maps the due changes again and sends them by their action; how many there were. Each counts one attempt.
+
+        What is due is written down under the number of the retry first; a retry that was broken off before its outcome
+        was written is done again with the same changes under the same name.
+        """
         now = F.current_timestamp() if now is None else now
-        token = f"retry-{uuid.uuid4().hex}"
-        ready = quarantine.due(self.quarantined(spark), now)
-        ready.write.parquet(path := f"{self.quarantine}-tries/{token}-due")
+        number = 0
+        while self._exists(spark, f"{self.quarantine}/batch=retry-{number}/_SUCCESS"):
+            number += 1
+        token, path = f"retry-{number}", f"{self.quarantine}-tries/due-{number}"
+        if not self._exists(spark, f"{path}/_SUCCESS"):
+            quarantine.due(self.quarantined(spark), now).write.mode("overwrite").parquet(path)
         ready = spark.read.schema(QUARANTINE).parquet(path)
         n = ready.count()
-        if n:
-            parsed = ready.select(F.from_json("change", change_schema(self.payload)).alias("c")).select("c.*")
-            bad = self._deliver(parsed, token, with_retries(sink or self.sink(spark), self.attempts, self.pause)).withColumnRenamed("errors", "now_wrong")
-            # A change is compared as it was written, which parsing and writing again doesn't alter.
-            joined = ready.join(bad, "change", "left")
-            failed = joined.where("now_wrong is not null").withColumn("errors", F.col("now_wrong")).drop("now_wrong")
-            failed = quarantine.after_attempt(failed.withColumn("reason", quarantine.failure_class(F.array_join("errors", "; "))), now).withColumn("failed_at", now)
-            done = joined.where("now_wrong is null").drop("now_wrong").withColumns({"attempts": F.col("attempts") + 1, "status": F.lit("done"), "next_retry_at": F.lit(None).cast("timestamp")})
-            done.unionByName(failed).write.parquet(f"{self.quarantine}/batch={token}")
+        if not n:
+            at, files = self._folder(spark, path)
+            files.delete(at, True)
+            return 0
+        ident = free_name(change_schema(self.payload).names, "_id")
+        times = ready.select("id", "change", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        parsed = times.select(F.col("id").alias(ident), F.from_json("change", change_schema(self.payload), JSON_TIMES).alias("_c")).select(ident, "_c.*")
+        bad = self._deliver(parsed, token, with_retries(sink or self.sink(spark), self.attempts, self.pause), ident)
+        joined = ready.join(bad.select("id", F.col("errors").alias("now_wrong")).groupBy("id").agg(F.first("now_wrong").alias("now_wrong")), "id", "left")
+        failed = joined.where("now_wrong is not null").withColumn("errors", F.col("now_wrong")).drop("now_wrong")
+        failed = quarantine.after_attempt(failed.withColumn("reason", quarantine.failure_class(F.array_join("errors", "; "))), now).withColumn("failed_at", now)
+        done = joined.where("now_wrong is null").drop("now_wrong").withColumns({"attempts": F.col("attempts") + 1, "status": F.lit("done"), "next_retry_at": F.lit(None).cast("timestamp")})
+        done.unionByName(failed).write.mode("overwrite").parquet(f"{self.quarantine}/batch={token}")
+        self._removed(spark, bad)
         return n
 
+    def failures(self, spark: SparkSession, now: Column | None = None, hours: int = 24) -> DataFrame:
+        """What failed for good within the last hours."""
+        return quarantine.within(self.quarantined(spark).where("status = 'permanent'"), "failed_at", F.current_timestamp() if now is None else now, hours)
+
 
 def waiting(bad: DataFrame, attempts: Column, now: Column) -> DataFrame:
-    """Rejected changes (change, errors) as quarantine rows, due after a first pause."""
+    """Rejected changes (id, change, copies, errors) as quarantine rows, due after a first pause."""
     reason = quarantine.failure_class(F.array_join("errors", "; "))
     wait = F.make_dt_interval(secs=quarantine.backoff_seconds(attempts).cast("decimal(18,6)"))
-    return bad.select("change", "errors", reason.alias("reason"), attempts.cast("int").alias("attempts"), F.lit("waiting").alias("status"), (now + wait).alias("next_retry_at"), now.alias("failed_at"))
+    return bad.select("id", "change", "copies", "errors", reason.alias("reason"), attempts.cast("int").alias("attempts"), F.lit("waiting").alias("status"), (now + wait).alias("next_retry_at"), now.alias("failed_at"))
 
 
 def runs_of(config: Config, payloads: dict[str, T.StructType], checkpoints: str, **options) -> list[TableRun]:
@@ -190,9 +256,29 @@ def start_all(spark: SparkSession, config: Config, payloads: dict[str, T.StructT
     return [run.start(spark, available_now) for run in runs_of(config, payloads, checkpoints, **options)]
 
 
+def retried(spark: SparkSession, runs: list[TableRun], queries: list[StreamingQuery], pause: float = 5.0) -> int:
+    """Sends due changes again every ``pause`` seconds while queries are active, and once after; how many were sent.
+
+    An error of a query is raised when all have ended.
+    """
+    sent = 0
+    while True:
+        active = any(q.isActive for q in queries)
+        sent += sum(run.retry_due(spark) for run in runs)
+        if not active:
+            break
+        until = time.monotonic() + pause
+        while time.monotonic() < until and any(q.isActive for q in queries):
+            time.sleep(0.1)
+    for q in queries:
+        if (e := q.exception()) is not None:
+            raise e
+    return sent
+
+
 def stop_all(spark: SparkSession, task: str = "", seconds: float = 10.0) -> list[str]:
     """Stops a task's queries (or all), waiting for each batch under way; the names of those that didn't end in time."""
-    own = [q for q in spark.streams.active if q.name and q.name.startswith(f"{task}-" if task else "")]
+    own = [q for q in spark.streams.active if q.name and (not task or q.name.rpartition("-")[0] == task)]
     late = []
     for q in own:
         q.stop()
