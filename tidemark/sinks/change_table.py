@@ -5,18 +5,23 @@ is sent again publishes a new folder in the place of the old one, so that replay
 rows of one version while they run. ``compact`` publishes a base in the place of what it read. Where the cluster has a
 table format with MERGE, use that; these files need nothing but Spark and a shared store.
 
-A row and its envelope (sequence and action) are stored as two structs, so that rows may have columns of any name.
+A row and its envelope (sequence and action) are stored as two structs, so that rows may have columns of any name. A
+version knows the schema of each folder: where it differs from the table's, columns are added or widened when they are
+read, never narrowed (see ``widening``); a batch that fits no common schema is refused.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.widening import widened, widened_schema
 from ..operators.changes import ACTION, DELETE, merged_columns
 from .manifest import Manifest, Version
 
@@ -56,10 +61,22 @@ class ChangeTable:
         rows = changes.select(taken(self.schema, of_row).alias(ROW), taken(self._envelope, of_change).alias(CHANGE))
         if self.policy == "REPLACE":  # one row for each key and batch is enough where the last one wins
             rows = self._best(rows, last=True)
-        folder = uuid.uuid4().hex
+        name, kind = f"{writer}/{batch_id}", self._kind()
+        manifest = Manifest(changes.sparkSession, self.path)
+        self._whole(manifest.current())  # refuses what doesn't fit, before anything is written
+        folder = f"{kind}-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.path}/data/{folder}")
-        name = f"{writer}/{batch_id}"
-        Manifest(changes.sparkSession, self.path).commit(lambda v: None if name in v.done else (v.folders | {name: folder}, v.done))
+        manifest.commit(lambda v: None if name in v.done else replace(v, folders=v.folders | {name: folder}, kinds=v.kinds | {kind: self.schema.json()}))
+
+    def _kind(self) -> str:
+        return hashlib.sha256(self.schema.json().encode()).hexdigest()[:16]
+
+    def _whole(self, version: Version) -> ChangeTable:
+        """This table with the schema that holds its own rows and all that are stored."""
+        schema = self.schema
+        for kind in version.kinds.values():
+            schema = widened_schema(schema, T.StructType.fromJson(json.loads(kind)))
+        return replace(self, schema=schema)
 
     def _place(self) -> Column:
         """The place of a change: by its sequence, then by its row and action, or their text where maps have no order."""
@@ -87,15 +104,25 @@ class ChangeTable:
         return rows.where(F.col(f"{CHANGE}.{ACTION}") != DELETE).join(named, met, "left").where(F.col("_gone").isNull() | (order > F.col("_gone"))).select(ROW, CHANGE)
 
     def _read(self, spark: SparkSession, version: Version) -> DataFrame:
-        paths = [f"{self.path}/data/{f}" for f in version.folders.values()]
-        return spark.read.schema(self._stored).parquet(*paths) if paths else spark.createDataFrame([], self._stored)
+        """All changes of a version, in this table's schema."""
+        rows = spark.createDataFrame([], self._stored)
+        for kind, text in version.kinds.items():
+            own = replace(self, schema=T.StructType.fromJson(json.loads(text)))
+            if paths := [f"{self.path}/data/{f}" for f in version.folders.values() if f.startswith(f"{kind}-")]:
+                found = spark.read.schema(own._stored).parquet(*paths)
+                rows = rows.unionAll(found.select(widened(F.col(ROW), own.schema, self.schema).alias(ROW), CHANGE))
+        return rows
 
     def version(self, spark: SparkSession) -> Version:
         return Manifest(spark, self.path).current()
 
     def current(self, spark: SparkSession, version: Version | None = None) -> DataFrame:
         """The rows as they are now, or as a version had them while its folders are kept."""
-        rows = self._read(spark, version or self.version(spark))
+        version = version or self.version(spark)
+        return self._whole(version)._current(spark, version)
+
+    def _current(self, spark: SparkSession, version: Version) -> DataFrame:
+        rows = self._read(spark, version)
         if self.policy == "PARTIAL":
             order = [n for n, _ in self.order]
             # Envelope and keys get names that no column has.
@@ -134,18 +161,22 @@ class ChangeTable:
 
         Batches that arrive meanwhile stay beside it. Where one that it read was sent again meanwhile, nothing is published.
         """
-        there = ChangeTable(target, self.schema, self.keys, self.order, self.policy) if target else self
         was = self.version(spark)
-        folder = uuid.uuid4().hex
-        self._base(self._read(spark, was)).write.parquet(f"{there.path}/data/{folder}")
+        whole = self._whole(was)
+        there = replace(whole, path=target or self.path)
+        kind = whole._kind()
+        folder = f"{kind}-{uuid.uuid4().hex}"
+        whole._base(whole._read(spark, was)).write.parquet(f"{there.path}/data/{folder}")
         done = tuple(sorted({*was.done, *(n for n in was.folders if n != BASE)}))
 
-        def published(now: Version) -> tuple[dict[str, str], tuple[str, ...]] | None:
+        def published(now: Version) -> Version | None:
             if target:
-                return {BASE: folder}, done
+                return replace(now, folders={BASE: folder}, done=done, kinds={kind: whole.schema.json()})
             if any(now.folders.get(n) != f for n, f in was.folders.items()):
                 return None
-            return {BASE: folder} | {n: f for n, f in now.folders.items() if n not in was.folders}, done
+            folders = {BASE: folder} | {n: f for n, f in now.folders.items() if n not in was.folders}
+            used = {f.split("-")[0] for f in folders.values()}
+            return replace(now, folders=folders, done=done, kinds={k: v for k, v in (now.kinds | {kind: whole.schema.json()}).items() if k in used})
 
         Manifest(spark, there.path).commit(published)
         return there

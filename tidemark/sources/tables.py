@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,3 +45,19 @@ def database_query(spark: SparkSession, url: str, query: str, partition: tuple[s
     column, low, high, number = partition
     reader = reader.option("partitionColumn", column).option("lowerBound", low).option("upperBound", high).option("numPartitions", number)
     return reader.option("dbtable", f"({query}) t").load()
+
+
+_own_folder: list[str] = []
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: below ``spark.checkpoint.dir``, or of this process where both are one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not _own_folder:
+            _own_folder.append(tempfile.mkdtemp(prefix="tidemark-streams-"))
+            atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)
+        root = f"file://{_own_folder[0]}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -16,6 +16,7 @@ errors, such as a lost cluster or a fault in a program, stop the query and move
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -50,6 +51,9 @@ QUARANTINE = "id string, change string, copies bigint, errors array<string>, rea
 REJECTED = "id string, change string, copies bigint, errors array<string>"
 RAW = "_change_text"
 
+#: The task of each query that was started here.
+_tasks: dict[str, str] = {}
+
 
 def with_retries(sink: Sink, attempts: int = 3, pause: float = 1.0) -> Sink:
     """Tries a sink that refuses again after 1, 2, ... pauses; the last refusal is raised."""
@@ -122,18 +126,27 @@ class TableRun:
         order = (("seq", "bigint"), ("part", "int"), ("origin", "string"))
         return ChangeTable(f"{self.output}/{self.table.target_name}", empty.schema, self.keys, order, self.table.policy)
 
-    def sink(self, spark: SparkSession) -> Sink:
+    def sink(self, spark: SparkSession, stream: Callable[[], str] = lambda: "") -> Sink:
+        """The sink of the task's kind; ``stream`` tells batches of one number of different streams apart."""
+        writer = lambda: f"{self.name}-{stream()}".rstrip("-")
         if self.task.kind == "message":
             def write(rows: DataFrame, batch_id: int | str) -> None:
                 now, envelope = F.current_timestamp(), rows.columns[-1]
                 out = message_rows(rows, self.task.name, self.table.source_database, self.table.source_table, self.keys, now, now, F.col(f"{envelope}.{ACTION}"), self.table.target_table, columns=rows.columns[:-1])
-                write_message_files(out, f"{self.output}/messages", batch_id, self.name)
+                write_message_files(out, f"{self.output}/messages", batch_id, writer())
 
             return write
         target = self.change_table(spark)
-        return lambda rows, batch_id: target.append(batch_id, rows, self.name, rows.columns[-1])
 
-    def _deliver(self, changes: DataFrame, batch_id: int | str, write: Sink, ident: str = "") -> DataFrame:
+        def append(rows: DataFrame, batch_id: int | str) -> None:
+            try:
+                target.append(batch_id, rows, writer(), rows.columns[-1])
+            except ValueError as e:  # no schema holds both
+                raise SinkRefused(str(e)) from e
+
+        return append
+
+    def _deliver(self, changes: DataFrame, batch_id: int | str, write: Sink, stream: str = "", ident: str = "") -> DataFrame:
         """Sends what can be mapped; what can't, or wasn't taken, comes back as (id, change, copies, errors).
 
         ``ident`` names a column of ids; without it each change gets one of its batch and text. The last column of the
@@ -142,7 +155,7 @@ class TableRun:
         spark = changes.sparkSession
         names = [c for c in changes.columns if c != ident]
         text = F.to_json(F.struct(*(F.col(c) for c in names)), JSON_TIMES)
-        raw = changes.withColumn(RAW, F.struct((F.col(ident) if ident else F.sha2(F.concat_ws("\n", F.lit(f"{self.name} {batch_id}"), text), 256)).alias("id"), text.alias("change")))
+        raw = changes.withColumn(RAW, F.struct((F.col(ident) if ident else F.sha2(F.concat_ws("\n", F.lit(f"{self.name} {stream} {batch_id}"), text), 256)).alias("id"), text.alias("change")))
         mapped, envelope = mapped_changes(raw.select(*names, RAW), self.table, self.task.kind, (RAW,))
         mapped = mapped.persist()
         try:
@@ -166,15 +179,25 @@ class TableRun:
         """Starts the query; ``available_now``: it ends when everything that is there is done."""
         stream = change_files(spark, self.changes, self.payload, self.file_kind, self.files_per_batch)
         own = stream.where((F.col("database") == self.table.source_database) & (F.col("table") == self.table.source_table))
-        write = with_retries(sink or self.sink(spark), self.attempts, self.pause)
+        started, ids = threading.Event(), []  # the checkpoint's id: another checkpoint numbers its batches anew
+
+        def stream() -> str:
+            started.wait(60)
+            return ids[0]
+
+        write = with_retries(sink or self.sink(spark, stream), self.attempts, self.pause)
 
         def batch(changes: DataFrame, batch_id: int) -> None:
-            bad = self._deliver(changes, batch_id, write)
-            waiting(bad, F.lit(0), F.current_timestamp()).write.mode("overwrite").parquet(f"{self.quarantine}/batch={batch_id}")
+            bad = self._deliver(changes, batch_id, write, stream())
+            waiting(bad, F.lit(0), F.current_timestamp()).write.mode("overwrite").parquet(f"{self.quarantine}/batch={stream()}-{batch_id}")
             self._removed(spark, bad)
 
+        _tasks[self.name] = self.task.name
         writer = own.writeStream.queryName(self.name).option("checkpointLocation", f"{self.checkpoints}/{self.name}").foreachBatch(batch)
-        return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{self.table.batch_timeout} seconds")).start()
+        query = (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{self.table.batch_timeout} seconds")).start()
+        ids.append(query.id)
+        started.set()
+        return query
 
     def _folder(self, spark: SparkSession, path: str):
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -219,7 +242,7 @@ class TableRun:
         ident = free_name(change_schema(self.payload).names, "_id")
         times = ready.select("id", "change", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
         parsed = times.select(F.col("id").alias(ident), F.from_json("change", change_schema(self.payload), JSON_TIMES).alias("_c")).select(ident, "_c.*")
-        bad = self._deliver(parsed, token, with_retries(sink or self.sink(spark), self.attempts, self.pause), ident)
+        bad = self._deliver(parsed, token, with_retries(sink or self.sink(spark), self.attempts, self.pause), ident=ident)
         joined = ready.join(bad.select("id", F.col("errors").alias("now_wrong")).groupBy("id").agg(F.first("now_wrong").alias("now_wrong")), "id", "left")
         failed = joined.where("now_wrong is not null").withColumn("errors", F.col("now_wrong")).drop("now_wrong")
         failed = quarantine.after_attempt(failed.withColumn("reason", quarantine.failure_class(F.array_join("errors", "; "))), now).withColumn("failed_at", now)
@@ -278,7 +301,7 @@ def retried(spark: SparkSession, runs: list[TableRun], queries: list[StreamingQu
 
 def stop_all(spark: SparkSession, task: str = "", seconds: float = 10.0) -> list[str]:
     """Stops a task's queries (or all), waiting for each batch under way; the names of those that didn't end in time."""
-    own = [q for q in spark.streams.active if q.name and (not task or q.name.rpartition("-")[0] == task)]
+    own = [q for q in spark.streams.active if q.name and (not task or _tasks.get(q.name) == task)]
     late = []
     for q in own:
         q.stop()
