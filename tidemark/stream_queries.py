@@ -7,6 +7,7 @@ reads the target.
 from __future__ import annotations
 
 from dataclasses import replace
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from .operators import changes as ch
 from .operators import documents as doc
 from .operators import flow
 from .operators.buckets import Bucket, bucket_levels, limited
+from .operators.search_index import build_index, ranked
+from .sources.metadata import schema_columns, unique_keys
 from .sources.tables import change_schema, shared_folder, table
 from .streaming.runner import TableRun
 
@@ -159,6 +162,41 @@ def schema_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return united(parts, suppliers).select("id", "amount", "more.n", "more.name", "kind")
 
 
+KEY_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
+
+def key_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The minimal sets among four columns that tell line items apart, and among all columns of three tables."""
+    found = [("lineitem", k) for k in unique_keys(table(spark, sf_dir, "lineitem"), KEY_COLUMNS)]
+    for name in ("nation", "customer", "conversations"):
+        found += [(name, k) for k in unique_keys(table(spark, sf_dir, name), width=2)]
+    return spark.createDataFrame([(t, ",".join(k)) for t, k in found], "table_name string, key string")
+
+
+def _unique_sql(name: str, columns: tuple[str, ...], width: int) -> str:
+    """All sets by brute force."""
+    sets = [s for n in range(1, width + 1) for s in combinations(columns, n)]
+    counts = " UNION ALL ".join(f"SELECT '{','.join(s)}' AS key, {[*s]!r}::VARCHAR[] AS own, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(s)} FROM {name})) AS n" for s in sets)
+    return f"SELECT '{name}' AS table_name, key FROM ({counts}) x WHERE n = (SELECT count(*) FROM {name}) AND NOT EXISTS (SELECT 1 FROM ({counts}) y WHERE y.n = x.n AND y.key <> x.key AND list_has_all(x.own, y.own))"
+
+
+def schema_columns_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and places of the columns of two tables, with the place in the key and the number of values."""
+    out = None
+    for name, key in (("nation", "n_nationkey"), ("orders", "o_orderkey")):
+        rows = table(spark, sf_dir, name)
+        values = rows.agg(*(F.count(c).alias(c) for c in rows.columns)).unpivot([], rows.columns, "column_name", "n_values")
+        own = schema_columns(rows, name, (key,)).join(values, "column_name")
+        out = own if out is None else out.unionByName(own)
+    return out.select("table_name", "column_name", "position", F.coalesce("key_position", F.lit(0)).alias("key_position"), "n_values").orderBy("table_name", "position")
+
+
+def search_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index of all documents, and the ten best that hold one word, maybe two others, and not a fourth."""
+    index = build_index(table(spark, sf_dir, "documents"), "doc_id", "text", shared_folder(spark, "search-index"))
+    return ranked(spark, index, must=("on",), should=("the", "License"), must_not=("los",)).select(F.col("key").alias("doc_id"), "score")
+
+
 _ENDED = f"SELECT * FROM (SELECT *, {_ACTION} AS action, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events) WHERE place = 1 AND action <> 'delete'"
 _MICROS = "epoch_us(ts)::BIGINT"
 _PARTIAL = """SELECT user_id, max_by(CASE WHEN event_type NOT IN ('click', 'view') THEN event_type END, CASE WHEN event_type NOT IN ('click', 'view') THEN event_id END) AS kind,
@@ -180,10 +218,18 @@ SQL = {
         FROM (SELECT CASE WHEN event_id % 7 > 0 THEN event_id END AS place FROM events)) GROUP BY 1""",
     "token_bucket": _TIMES + """, c AS (SELECT floor(tm)::BIGINT AS second, count(*) AS n, row_number() OVER (ORDER BY floor(tm)::BIGINT) AS k FROM e GROUP BY 1)""" + _WALK.format(rate=1000, burst=2000)
         + """ SELECT event_id, priority FROM (SELECT event_id, priority, level, row_number() OVER (PARTITION BY second ORDER BY tm, event_id) AS place FROM e JOIN w ON second = floor(tm)::BIGINT) WHERE priority <> 'low' OR place <= level""",
+    "key_discovery": " UNION ALL ".join(_unique_sql(*x) for x in (("lineitem", KEY_COLUMNS, 4), ("nation", ("n_nationkey", "n_name", "n_regionkey"), 2), ("customer", ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), 2), ("conversations", ("conv_id", "turn", "role", "text"), 2))),
+    "schema_columns": "SELECT table_name, column_name, ordinal_position::INT AS position, CASE WHEN column_name IN ('n_nationkey', 'o_orderkey') THEN 1 ELSE 0 END::INT AS key_position, (SELECT count(*) FROM nation) * (table_name = 'nation')::INT + (SELECT count(*) FROM orders) * (table_name = 'orders')::INT AS n_values FROM information_schema.columns WHERE table_name IN ('nation', 'orders')",
+    "search_bm25": r"""WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda v: v <> '') AS w FROM documents), n AS (SELECT count(*) AS n, avg(len(w)) AS a FROM d),
+        c AS (SELECT doc_id, len(w) AS length, t.term, len(list_filter(w, lambda v: v = t.term)) AS tf FROM d, (VALUES ('on'), ('the'), ('license'), ('los')) t(term)),
+        f AS (SELECT term, count(*) FILTER (tf > 0) AS df FROM c GROUP BY 1),
+        s AS (SELECT doc_id, sum(CASE WHEN term <> 'los' AND tf > 0 THEN round(ln(1 + (n - df + 0.5) / (df + 0.5)) * (tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * length / a))) * 1000000000)::BIGINT ELSE 0 END)::BIGINT AS score,
+            bool_or(term = 'on' AND tf > 0) AS held, bool_or(term = 'los' AND tf > 0) AS barred FROM c JOIN f USING (term), n GROUP BY doc_id)
+        SELECT doc_id, score FROM s WHERE held AND NOT barred ORDER BY score DESC, doc_id LIMIT 10""",
     "schema_widening": """SELECT p_partkey AS id, p_size::DOUBLE AS amount, p_size::BIGINT AS n, NULL::VARCHAR AS name, NULL::VARCHAR AS kind FROM part
         UNION ALL SELECT s_suppkey, s_acctbal, s_nationkey, s_name, 's' FROM supplier""",
     "token_levels": "WITH RECURSIVE c AS (SELECT epoch_ms(date_trunc('second', ts)) // 900000 AS second, count(*) AS n, row_number() OVER (ORDER BY second) AS k FROM events GROUP BY 1)" + _WALK.format(rate=2, burst=5)
         + " SELECT second::BIGINT AS second, n, level::BIGINT AS level, after::BIGINT AS after FROM w",
 }
-QUERIES = {f.__name__: f for f in (where_stream, append_log, envelope_names, retry_by_id, cdc_partial_log, cdc_partial_stream, envelope_micros, batch_rows_nulls, token_bucket, token_levels, schema_widening)}
+QUERIES = {f.__name__: f for f in (where_stream, append_log, envelope_names, retry_by_id, cdc_partial_log, cdc_partial_stream, envelope_micros, batch_rows_nulls, token_bucket, token_levels, schema_widening, key_discovery, search_bm25)} | {"schema_columns": schema_columns_of}
 ORACLE_SQL = {k: " ".join(v.split()) for k, v in SQL.items()}

@@ -33,6 +33,7 @@ from ..operators.changes import ACTION, DELETE, free_name, latest_changes, route
 from ..operators.documents import JSON_TIMES, too_large
 from ..plans.mapping import ERRORS, map_rows
 from ..sinks.change_table import ChangeTable
+from ..sinks.database import DatabaseTable, SinkRefused
 from ..sinks.messages import message_rows, write_message_files
 from ..sources.tables import change_files, change_schema
 
@@ -40,10 +41,6 @@ from ..sources.tables import change_files, change_schema
 Sink = Callable[[DataFrame, int | str], None]
 
 
-class SinkRefused(Exception):
-    """A sink did not take a batch, and none of its rows."""
-
-
 REFUSALS = (SinkRefused, OSError)
 
 #: A quarantined change: as it came, how often the batch held it, what was wrong, and its attempts so far.
@@ -108,6 +105,8 @@ class TableRun:
     files_per_batch: int = 64
     attempts: int = 3
     pause: float = 1.0
+    #: Where rows go to a database: url, dialect and the connection's own options.
+    database: dict[str, str] | None = None
 
     @property
     def name(self) -> str:
@@ -136,6 +135,13 @@ class TableRun:
                 write_message_files(out, f"{self.output}/messages", batch_id, writer())
 
             return write
+        if self.database:
+            database = DatabaseTable(self.database["url"], self.table.target_table or self.table.source_table, self.keys, self.table.policy, self.database.get("dialect", "standard"), {k: v for k, v in self.database.items() if k not in ("url", "dialect")})
+
+            def move(rows: DataFrame, batch_id: int | str) -> None:
+                database.write(rows, batch_id, writer(), ("seq", "part"), rows.columns[-1])
+
+            return move
         target = self.change_table(spark)
 
         def append(rows: DataFrame, batch_id: int | str) -> None:
@@ -266,10 +272,15 @@ def waiting(bad: DataFrame, attempts: Column, now: Column) -> DataFrame:
 def runs_of(config: Config, payloads: dict[str, T.StructType], checkpoints: str, **options) -> list[TableRun]:
     """A run for every table of every active task; ``payloads`` by the table's source name.
 
-    The source's option ``path`` is the folder of its change files, the target's the folder that is written to.
+    The source's option ``path`` is the folder of its change files, the target's the folder that is written to, which
+    holds the quarantine alone where the target has a ``url`` (and ``dialect``, user and so on) of a database.
     """
+    def options_of(target: str) -> dict:
+        given = {k: str(v) for k, v in config.source(target).options.items() if k != "path"}
+        return {"database": given} if "url" in given else {}
+
     return [
-        TableRun(task, table, payloads[table.source_name], str(config.source(task.source).options["path"]), str(config.source(task.target).options["path"]), checkpoints, **options)
+        TableRun(task, table, payloads[table.source_name], str(config.source(task.source).options["path"]), str(config.source(task.target).options["path"]), checkpoints, **options_of(task.target), **options)
         for task in config.active_tasks() for table in sorted(task.tables, key=lambda t: {"high": 0, "low": 2}.get(t.priority.lower(), 1))
     ]
 
