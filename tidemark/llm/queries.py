@@ -96,6 +96,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "anomaly")
 
 
+OP13_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda v: v <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+t AS (SELECT doc_id, unnest(s) AS shingle FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y WHERE 100 * n >= 80 * (len(a.s) + len(b.s) - n)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS seen FROM s UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.seen)
+SELECT doc_id, len(any_value(s))::BIGINT AS n_shingles, min(seen) AS component_id, doc_id = min(seen) AS kept FROM s JOIN r USING (doc_id) GROUP BY doc_id"""
+
+ORACLE_SQL["op13_minhash_near_dedup"] = OP13_SQL
+
+
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(*rebuilt(numbered_turns(_table(spark, sf_dir, "conversations"))))
 
