@@ -69,3 +69,15 @@ def test_repeated_and_null_ids(spark):
     docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "A b c"), (None, "other words"), (None, None), (2, "")], "doc_id long, text string")
     assert sorted(map(str, neardup.without_near_copies(docs).collect())) == sorted(map(str, docs.where(F.expr("text = 'other words' or doc_id = 2")).collect() + docs.where("doc_id = 1").limit(1).collect()))
     assert neardup.without_near_copies(docs.limit(0)).count() == 0
+
+
+def test_columns_of_any_name(spark):
+    """Columns that are named as the operator's own are in no one's way."""
+    from tidemark.llm.neardup import without_near_copies
+
+    names = ["_id", "_key", "_row_key", "needed_id", "needed_row", "row_key", "key", "token", "row", "g", "once"]
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join([*words, "more"]), "other words of another text entirely here", None]
+    docs = spark.createDataFrame([(i, t, *("x" for _ in names)) for i, t in enumerate(texts)], ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    kept = without_near_copies(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]

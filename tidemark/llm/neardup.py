@@ -186,8 +186,8 @@ def _sets(rows: DataFrame) -> DataFrame:
 def _buckets(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """token, key, n, at (the token's place in the set), sketch: tokens of every distinct set that others have too."""
     found = rows.select("key", F.posexplode("tokens").alias("at", "token"))
-    own = Window.partitionBy("token")
-    shared = found.withColumn("low", F.min("key").over(own)).withColumn("high", F.max("key").over(own)).where("low <> high").select("token", "key", "at").distinct()
+    common = found.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("token")
+    shared = found.join(common, "token").select("token", "key", "at").distinct()
     return stored(shared.join(sets.drop("fp", "sketch"), "key"), "near-buckets")
 
 
@@ -241,11 +241,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, rows: DataFrame, sets: DataFra
     """The pairs (a, b) whose whole sets are alike. The sets are made anew of one text each."""
     pairs = stored(_sketched(pairs, sets, spec), "near-pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    source = rows.join(needed, "key", "left_semi").groupBy("key").agg(F.min(F.struct("doc_id", "row_key")).alias("row")).select(F.col("row.doc_id").alias("_id"), F.col("row.row_key").alias("_key"))
+    source = rows.join(needed, "key", "left_semi").groupBy("key").agg(F.min(F.struct("doc_id", "row_key")).alias("row")).select(F.col("row.doc_id").alias("needed_id"), F.col("row.row_key").alias("needed_row"))
     source = stored(source, "near-needed")
     if source.count() <= spec.broadcast_keys:
         source = F.broadcast(source)
-    whole = docs.join(source, (row_key(docs) == F.col("_key")) & docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    own = docs.select(docs["doc_id"], docs["text"], row_key(docs).alias("row_key"))
+    whole = own.join(source, (F.col("row_key") == F.col("needed_row")) & F.col("doc_id").eqNullSafe(F.col("needed_id")), "left_semi")
     whole_sets = stored(shingle_sets(whole, spec).groupBy("key").agg(F.first("shingles").alias("shingles")), "near-sets")
     both = pairs.join(whole_sets.select(F.col("key").alias("a"), F.col("shingles").alias("u")), "a").join(whole_sets.select(F.col("key").alias("b"), F.col("shingles").alias("v")), "b")
     shared = F.size(F.array_intersect("u", "v"))
