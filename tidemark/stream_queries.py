@@ -106,6 +106,15 @@ def retry_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.crossJoin(F.broadcast(state))
 
 
+def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and rejects of a stream's batches and of the retry of its rejects, under a mapping that is mended between."""
+    data = F.struct("event_id", F.when(KIND == "error", F.lit("x")).otherwise(F.col("event_id").cast("string")).alias("event_type"), "ts")
+    run = streamed(spark, changes_of(_events(spark, sf_dir), F.lit(ch.INSERT), data), STRICT)
+    mended = replace(run, table=replace(STRICT, columns=(C("event_id", "id"), C("event_type", "kind"), C("ts", "at"))))
+    mended.retry_due(spark, F.lit("2999-01-01 00:00:00").cast("timestamp"))
+    return run.statistics(spark).groupBy("retried").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_rejected").alias("n_rejected"), F.min(F.col("rows_a_second") > 0).alias("timed"))
+
+
 def partial_log(events: DataFrame) -> DataFrame:
     """A log of partial writes: clicks set the value, views the properties, other events the kind and value; errors delete."""
     return events.select("user_id", F.col("event_id").alias("seq"), F.when(KIND == "error", ch.DELETE).otherwise(ch.UPDATE).alias("action"),
@@ -211,6 +220,8 @@ SQL = {
     "append_log": "SELECT event_type AS kind, count(*) AS n, sum(event_id)::BIGINT AS ids, (SELECT count(*) FROM events WHERE event_type = 'error') AS n_refused FROM events WHERE event_type <> 'error' GROUP BY 1",
     "envelope_names": f'SELECT user_id, {_MICROS} AS ts, event_type AS action, event_id AS seq, value AS part, event_type AS "table", props AS database, value AS row, event_id AS change, event_type AS origin FROM ({_ENDED})',
     "retry_by_id": f"SELECT event_id AS id, upper(event_type) AS kind, {_MICROS} AS micros, 'done' AS status, (SELECT count(*) FROM events) AS n_sent FROM events",
+    "stream_statistics": """SELECT false AS retried, count(*) AS n_rows, count(*) FILTER (event_type = 'error') AS n_rejected, true AS timed FROM events
+        UNION ALL SELECT true, count(*) FILTER (event_type = 'error'), 0, true FROM events""",
     "cdc_partial_log": _PARTIAL,
     "cdc_partial_stream": _PARTIAL,
     "envelope_micros": f"SELECT event_id, {_MICROS} AS micros, {_MICROS} AS local_micros FROM events",
@@ -231,5 +242,5 @@ SQL = {
     "token_levels": "WITH RECURSIVE c AS (SELECT epoch_ms(date_trunc('second', ts)) // 900000 AS second, count(*) AS n, row_number() OVER (ORDER BY second) AS k FROM events GROUP BY 1)" + _WALK.format(rate=2, burst=5)
         + " SELECT second::BIGINT AS second, n, level::BIGINT AS level, after::BIGINT AS after FROM w",
 }
-QUERIES = {f.__name__: f for f in (where_stream, append_log, envelope_names, retry_by_id, cdc_partial_log, cdc_partial_stream, envelope_micros, batch_rows_nulls, token_bucket, token_levels, schema_widening, key_discovery, search_bm25)} | {"schema_columns": schema_columns_of}
+QUERIES = {f.__name__: f for f in (where_stream, append_log, envelope_names, retry_by_id, cdc_partial_log, cdc_partial_stream, envelope_micros, batch_rows_nulls, token_bucket, token_levels, schema_widening, key_discovery, search_bm25, stream_statistics)} | {"schema_columns": schema_columns_of}
 ORACLE_SQL = {k: " ".join(v.split()) for k, v in SQL.items()}

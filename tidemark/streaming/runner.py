@@ -48,6 +48,9 @@ QUARANTINE = "id string, change string, copies bigint, errors array<string>, rea
 REJECTED = "id string, change string, copies bigint, errors array<string>"
 RAW = "_change_text"
 
+#: What a batch or a retry came to: rows after the filter, rows rejected, and how long mapping and sink took.
+STATISTICS = "batch string, retried boolean, n_rows bigint, n_rejected bigint, seconds double, rows_a_second double, at timestamp"
+
 #: The task of each query that was started here.
 _tasks: dict[str, str] = {}
 
@@ -163,7 +166,7 @@ class TableRun:
         text = F.to_json(F.struct(*(F.col(c) for c in names)), JSON_TIMES)
         raw = changes.withColumn(RAW, F.struct((F.col(ident) if ident else F.sha2(F.concat_ws("\n", F.lit(f"{self.name} {stream} {batch_id}"), text), 256)).alias("id"), text.alias("change")))
         mapped, envelope = mapped_changes(raw.select(*names, RAW), self.table, self.task.kind, (RAW,))
-        mapped = mapped.persist()
+        mapped, began, refused = mapped.persist(), time.monotonic(), False
         try:
             rejected = lambda rows, errors: rows.select(f"{envelope}.{RAW}.*", f"{envelope}.part", errors.alias("errors"))
             own = F.struct(*(F.col(f"{envelope}.{c}").alias(c) for c in (ACTION, "seq", "part", "origin"))).alias(envelope)
@@ -172,11 +175,16 @@ class TableRun:
                 write(good.select(*(F.col(f"`{c}`") for c in mapped.columns if c not in (ERRORS, envelope)), own), batch_id)
                 bad = rejected(mapped.where(F.size(ERRORS) > 0), F.col(ERRORS))
             except REFUSALS as e:  # after the last attempt: the whole batch waits
-                bad = rejected(mapped, F.array(F.lit(f"{type(e).__name__}: {e}"[:1000])))
+                bad, refused = rejected(mapped, F.array(F.lit(f"{type(e).__name__}: {e}"[:1000]))), True
             # A change may be rejected in both of its parts; it waits once for each time that it came.
             parts = bad.groupBy("id", "change", "part").agg(F.first("errors").alias("errors"), F.count("*").alias("n"))
             path = f"{self.quarantine}-tries/{uuid.uuid4().hex}"
             parts.groupBy("id", "change").agg(F.first("errors").alias("errors"), F.max("n").alias("copies")).select("id", "change", "copies", "errors").write.parquet(path)
+            told = mapped.agg(F.count("*").alias("n"), F.count_if(F.size(ERRORS) > 0).alias("bad")).first()
+            seconds = max(1e-6, time.monotonic() - began)
+            row = (f"{stream}{'-' if stream else ''}{batch_id}", bool(ident), told["n"], told["n"] if refused else told["bad"], seconds, told["n"] / seconds)
+            one = spark.createDataFrame([row], "batch string, retried boolean, n_rows bigint, n_rejected bigint, seconds double, rows_a_second double")
+            one.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(f"{self.output}/statistics/{self.name}/of={row[0]}")
             return spark.read.schema(REJECTED).parquet(path)
         finally:
             mapped.unpersist()
@@ -257,6 +265,13 @@ class TableRun:
         self._removed(spark, bad)
         return n
 
+    def statistics(self, spark: SparkSession) -> DataFrame:
+        """A row for each batch and retry; one that was repeated counts as it ended the last time."""
+        path = f"{self.output}/statistics/{self.name}"
+        if not self._exists(spark, path):
+            return spark.createDataFrame([], STATISTICS)
+        return spark.read.schema(STATISTICS).parquet(path).select(T._parse_datatype_string(STATISTICS).names)
+
     def failures(self, spark: SparkSession, now: Column | None = None, hours: int = 24) -> DataFrame:
         """What failed for good within the last hours."""
         return quarantine.within(self.quarantined(spark).where("status = 'permanent'"), "failed_at", F.current_timestamp() if now is None else now, hours)
