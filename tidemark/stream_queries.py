@@ -25,11 +25,17 @@ from .sources.metadata import schema_columns, unique_keys
 from .sources.tables import change_schema, shared_folder, table
 from .streaming.runner import TableRun
 
-KIND = F.col("event_type")
-ACTIONS = F.when(KIND == "signup", ch.INSERT).when(KIND == "error", ch.DELETE).otherwise(ch.UPDATE)
 _ACTION = "CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END"
 
 
+def _kind() -> Column:
+    return F.col("event_type")
+
+
+def _actions() -> Column:
+    return F.when(_kind() == "signup", ch.INSERT).when(_kind() == "error", ch.DELETE).otherwise(ch.UPDATE)
+
+
 def changes_of(events: DataFrame, action: Column, data: Column, before: Column | None = None) -> DataFrame:
     """Events as changes of the table shop.events, in the order of their ids."""
     image = events.select(data.alias("d")).schema["d"].dataType
@@ -67,8 +73,8 @@ def where_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = ch.with_before(_events(spark, sf_dir), ["user_id"], ["event_id"], ["event_type", "value"])
     alone = F.struct(F.col("user_id").alias("user_id"), F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("double").alias("value"))
     known = (F.col("event_id") % 3 > 0) & (F.col("before_event_type") != "error")
-    data = F.when(ACTIONS == ch.DELETE, alone).otherwise(image(""))
-    changes = changes_of(events, F.when((ACTIONS == ch.INSERT) & F.col("before_event_type").isNotNull(), ch.UPDATE).otherwise(ACTIONS), data, F.when(known & (ACTIONS != ch.DELETE), image("before_")))
+    data = F.when(_actions() == ch.DELETE, alone).otherwise(image(""))
+    changes = changes_of(events, F.when((_actions() == ch.INSERT) & F.col("before_event_type").isNotNull(), ch.UPDATE).otherwise(_actions()), data, F.when(known & (_actions() != ch.DELETE), image("before_")))
     run = streamed(spark, changes, VIEW)
     return run.change_table(spark).current(spark)
 
@@ -76,7 +82,7 @@ def where_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table without a key: every change but the deletes, which need one, is a row."""
     config = TableConfig("shop", "events", target_table="log", columns=(C("event_id", "id"), C("event_type", "kind")))
-    run = streamed(spark, changes_of(_events(spark, sf_dir), ACTIONS, F.struct("event_id", "event_type")), config)
+    run = streamed(spark, changes_of(_events(spark, sf_dir), _actions(), F.struct("event_id", "event_type")), config)
     bad = run.quarantined(spark).where(F.array_contains("errors", "delete needs a key")).agg(F.sum("copies").alias("n_refused"))
     return run.change_table(spark).current(spark).groupBy("kind").agg(F.count("*").alias("n"), F.sum("id").alias("ids")).crossJoin(F.broadcast(bad))
 
@@ -87,7 +93,7 @@ def envelope_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ("user_id", "ts", "event_type", "event_id", "value", "event_type", "props", "value", "event_id", "event_type")
     config = TableConfig("shop", "events", target_table="odd", columns=tuple(map(C, names)), primary_key=("user_id",))
     data = F.struct(*(F.col(v).alias(n) for n, v in zip(names, values, strict=True)))
-    run = streamed(spark, changes_of(_events(spark, sf_dir), ACTIONS, data), config)
+    run = streamed(spark, changes_of(_events(spark, sf_dir), _actions(), data), config)
     return run.change_table(spark).current(spark).withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp")))
 
 
@@ -108,7 +114,7 @@ def retry_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and rejects of a stream's batches and of the retry of its rejects, under a mapping that is mended between."""
-    data = F.struct("event_id", F.when(KIND == "error", F.lit("x")).otherwise(F.col("event_id").cast("string")).alias("event_type"), "ts")
+    data = F.struct("event_id", F.when(_kind() == "error", F.lit("x")).otherwise(F.col("event_id").cast("string")).alias("event_type"), "ts")
     run = streamed(spark, changes_of(_events(spark, sf_dir), F.lit(ch.INSERT), data), STRICT)
     mended = replace(run, table=replace(STRICT, columns=(C("event_id", "id"), C("event_type", "kind"), C("ts", "at"))))
     mended.retry_due(spark, F.lit("2999-01-01 00:00:00").cast("timestamp"))
@@ -117,8 +123,8 @@ def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partial_log(events: DataFrame) -> DataFrame:
     """A log of partial writes: clicks set the value, views the properties, other events the kind and value; errors delete."""
-    return events.select("user_id", F.col("event_id").alias("seq"), F.when(KIND == "error", ch.DELETE).otherwise(ch.UPDATE).alias("action"),
-        F.when(~KIND.isin("click", "view"), KIND).alias("kind"), F.when(KIND != "view", F.col("value")).alias("value"), F.when(KIND == "view", F.col("props")).alias("props"))
+    return events.select("user_id", F.col("event_id").alias("seq"), F.when(_kind() == "error", ch.DELETE).otherwise(ch.UPDATE).alias("action"),
+        F.when(~_kind().isin("click", "view"), _kind()).alias("kind"), F.when(_kind() != "view", F.col("value")).alias("value"), F.when(_kind() == "view", F.col("props")).alias("props"))
 
 
 def cdc_partial_log(spark: SparkSession, sf_dir: str) -> DataFrame:
