@@ -107,6 +107,24 @@ SELECT doc_id, len(any_value(s))::BIGINT AS n_shingles, min(seen) AS component_i
 
 ORACLE_SQL["op13_minhash_near_dedup"] = OP13_SQL
 
+# The inner lambda is a step of crc32 for one bit, the outer one for a digit of the id.
+OP11_SQL = r"""WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS idx, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda a, d: list_reduce(list_prepend(xor(a, d), range(8)), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)), 4294967295::BIGINT) % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (SELECT c.conv_id, 0 AS own, idx, role, text FROM c JOIN t ON t.conv_id = c.base AND idx <= h UNION ALL SELECT c.conv_id, 1, idx, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND idx > h),
+p AS (SELECT conv_id, 0 AS depth, '' AS node, 0 AS bytes FROM c
+    UNION ALL SELECT conv_id, row_number() OVER w, to_json(list([role, text]) OVER w)::VARCHAR, strlen(text) FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY own, idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+q AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p),
+n AS (SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256 FROM q GROUP BY node),
+k AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY 1),
+s AS (SELECT q.node, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (k.node IS NULL) AS n_leaves FROM n LEFT JOIN k ON k.node = n.node JOIN q ON q.conv_id = n.conv_id AND q.depth <= n.depth GROUP BY 1)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n JOIN s ON s.node = n.node LEFT JOIN k ON k.node = n.node LEFT JOIN n u ON u.node = n.parent"""
+
+ORACLE_SQL["op11_prefix_trie"] = OP11_SQL
+
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(*rebuilt(numbered_turns(_table(spark, sf_dir, "conversations"))))
