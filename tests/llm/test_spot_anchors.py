@@ -95,3 +95,20 @@ def test_query_against_plain_sets(spark, tmp_path):
         assert (row.n_chars, row.edited_sha256, row.n_signatures) == (len(text), hashlib.sha256(edited.encode()).hexdigest(), len(own))
         assert abs(row.near_edited - jaccard(own, changed)) < 1e-9 and abs(row.near_next - jaccard(own, after)) < 1e-9
         assert len(row.fingerprint) == 8 * len(own) and (row.fingerprint == got[3 * (len(texts) - 2)].fingerprint) == (own == plain_sets([texts[5]])[0])
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 256])
+@pytest.mark.parametrize("ids", ["mixed", "null", "one"])
+def test_ring_with_hot_ids(spark, stretch, ids):
+    """Null and equal ids with one text and with many follow each other as in one plain sort."""
+    texts = [None] * 9 + ["same text of the hot group"] * 7 + [f"text {i} of its own, and the rest {i * i}" for i in range(24)] + [""]
+    own = {"mixed": lambda i: None if i % 3 == 0 else 5 if i < 20 else i, "null": lambda i: None, "one": lambda i: 5}[ids]
+    docs = spark.createDataFrame([(own(i), t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    rows = [(r.doc_id, r.t, r.h) for r in docs.selectExpr("doc_id", "coalesce(text, '') t", "xxhash64(coalesce(text, '')) h").collect()]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[2]), reverse=True)
+    want = sorted((str(a[0]), a[1], b[1]) for a, b in zip(rows, [*rows[1:], rows[0]], strict=True))
+    led = spotsigs.with_next(docs, spotsigs.SpotSpec(stretch=stretch)).collect()
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in led for _ in range(r.copies)) == want
+    found = spotsigs.edited_fingerprints(docs, spotsigs.SpotSpec(stretch=stretch)).collect()
+    digest = lambda t, n: hashlib.sha256((t[: len(t) - len(t) // 3] + n[: len(t) // 3]).encode()).hexdigest()
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in found) == sorted((i, digest(t, n)) for i, t, n in want)

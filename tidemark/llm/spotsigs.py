@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # Common words of English, German, French and Spanish.
 ANCHORS = """
 a an and are as at be but by for from had has he his in is it not of on or she that the their they this to was were
@@ -36,7 +38,7 @@ class SpotSpec:
     chain: int = 2
     reach: int = 8
     similarity: float = 0.8
-    #: Documents in a stretch of the id order; and the most stretches, whose first ids the driver holds.
+    #: Keys in a stretch of the id order; and the most stretches, whose first keys the driver holds.
     stretch: int = 256
     max_stretches: int = 16_384
 
@@ -104,50 +106,76 @@ def near_pairs(sets: DataFrame, spec: SpotSpec = SpotSpec()) -> DataFrame:
     return both.select("a", "b", likeness(F.col("u"), F.col("v")).alias("likeness")).where(F.col("likeness") >= spec.similarity - 1e-12)
 
 
-def with_next(docs: DataFrame, signatures: bool, spec: SpotSpec = SpotSpec()) -> DataFrame:
-    """doc_id, text, sigs, next_text, next_sigs: each row with the one that follows it by descending doc_id.
+#: What rows are ordered by: 1 with an id and 0 without, the id (0 without), and a hash of the text.
+KEY = ("has", "id", "h")
+
+
+def _listed(keys: list[tuple[int, int, int]]) -> Column:
+    """Keys as one constant array of structs."""
+    if not keys:
+        return F.array().cast("array<struct<has: int, id: bigint, h: bigint>>")
+    parts = (F.split(F.lit(",".join(str(k[i]) for k in keys)), ",").cast("array<bigint>") for i in range(3))
+    return F.arrays_zip(*parts).cast("array<struct<has: int, id: bigint, h: bigint>>")
 
-    The last is followed by the first. Equal ids follow each other by the text's hash; null ids come last. Without
-    any id that isn't null, the last row is followed by an empty text. The order is cut into stretches at ids that a
-    hash picks; each stretch also gets the first rows of the following one, so that one shuffle of the texts is enough.
+
+def with_next(docs: DataFrame, spec: SpotSpec = SpotSpec()) -> DataFrame:
+    """doc_id, text, sigs, next_text, next_sigs, copies: rows with the one that follows by descending doc_id.
+
+    The last is followed by the first. Equal ids follow each other by the text's hash, descending; null ids come last.
+    The order is cut into stretches at keys (id and text hash) that a hash picks; each stretch also gets the first row of
+    the following one, so that one shuffle of the texts is enough. Rows of one id lie in as many stretches as they have
+    texts for. Where more rows than a stretch holds are the same in id and text, they are counted before the shuffle and
+    stand as two rows: one with the true next, and one followed by itself that stands for ``copies`` of them.
     """
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
-    ids = rows.select("doc_id").where("doc_id is not null")
-    shape = ids.agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).first()
-    every = max(spec.stretch, shape["n"] * 2 // spec.max_stretches)
-    picked = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).distinct()
-    heads = sorted({r["doc_id"] for r in picked.collect()} | ({shape["last"]} if shape["n"] else set()))  # about max_stretches at most
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    rows = own.select("doc_id", "text", F.col("doc_id").isNotNull().cast("int").alias("has"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("h"))
+    counts = stored(rows.groupBy(*KEY).agg(F.count("*").alias("n")), "spots-keys")
+    shape = counts.agg(F.sum("n").alias("n"), F.count("*").alias("keys"), F.max(F.struct(*KEY)).alias("last")).first()
+    every = max(spec.stretch, shape["keys"] * 2 // spec.max_stretches)
+    picked = counts.where(F.pmod(F.xxhash64(*KEY), F.lit(every)) == 0).select(*KEY)
+    heads = sorted({tuple(r) for r in picked.collect()} | ({tuple(shape["last"])} if shape["keys"] else set()))  # about max_stretches at most
+    # At most max_stretches keys have more rows than this.
+    hot = counts.where(F.col("n") > max(spec.stretch, (shape["n"] or 0) // spec.max_stretches)).select(*KEY)
+    once = F.lit(1).cast("long").alias("n")
+    if hot.limit(1).count():
+        many = rows.join(F.broadcast(hot), list(KEY), "left_semi").groupBy(*KEY, "doc_id", "text").agg(F.count("*").alias("n"))
+        few = rows.join(F.broadcast(hot), list(KEY), "left_anti")
+        rows = few.select(*KEY, "doc_id", "text", once).unionByName(many)
+    else:
+        rows = rows.select(*KEY, "doc_id", "text", once)
     step = max(1, math.isqrt(len(heads)))
-    fine = F.split(F.lit(",".join(map(str, heads))), ",").cast("array<bigint>") if heads else F.array().cast("array<bigint>")
-    coarse = F.split(F.lit(",".join(map(str, heads[step - 1 :: step]))), ",").cast("array<bigint>") if heads else fine
-    # Heads below the id: whole steps first, then one step of single heads.
-    steps = F.size(F.filter(coarse, lambda h: h < F.col("doc_id")))
-    below = F.when(F.col("doc_id").isNull() | F.lit(not heads), F.lit(0)).otherwise(steps * step + F.size(F.filter(F.slice(fine, steps * step + 1, step), lambda h: h < F.col("doc_id"))))
-    placed = rows.withColumn("own", below)
-    head = F.coalesce(F.element_at(fine, F.col("own") + 1) == F.col("doc_id"), F.lit(False)) if heads else F.lit(False)
+    fine, coarse, key = _listed(heads), _listed(heads[step - 1 :: step]), F.struct(*KEY)
+    # Heads below the key: whole steps first, then one step of single heads.
+    steps = F.size(F.filter(coarse, lambda x: x < key))
+    placed = rows.withColumn("own", steps * step + F.size(F.filter(F.slice(fine, steps * step + 1, step), lambda x: x < key)))
+    head = F.coalesce(F.get(fine, F.col("own")) == key, F.lit(False))
     before = F.when(F.col("own") == len(heads) - 1, F.lit(0)).otherwise(F.col("own") + 1)  # of stretches, in descending order
-    spots = F.when(head, F.array(F.struct(F.col("own").alias("stretch"), F.lit(0).alias("guard")), F.struct(before.alias("stretch"), F.lit(1).alias("guard")))).otherwise(F.array(F.struct(F.col("own").alias("stretch"), F.lit(0).alias("guard"))))
-    dealt = placed.select("doc_id", "text", F.explode(spots).alias("spot")).select("doc_id", "text", "spot.stretch", "spot.guard").repartition("stretch")
-    if signatures:
-        dealt = dealt.withColumn("sigs", signature_set(F.col("text"), spec))
-    order = Window.partitionBy("stretch").orderBy("guard", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
-    out = dealt.withColumn("next_text", F.coalesce(F.lead("text").over(order), F.lit("")))
-    if signatures:
-        out = out.withColumn("next_sigs", F.coalesce(F.lead("sigs").over(order), F.array().cast("array<bigint>")))
-    return out.where("guard = 0").drop("stretch", "guard")
+    spot = lambda stretch, guard: F.struct(stretch.alias("stretch"), F.lit(guard).alias("guard"))
+    spots = F.when(head, F.array(spot(F.col("own"), 0), spot(before, 1))).otherwise(F.array(spot(F.col("own"), 0)))
+    dealt = placed.select(*KEY, "doc_id", "text", "n", F.explode(spots).alias("spot")).select(*KEY, "doc_id", "text", "n", "spot.*").repartition("stretch")
+    signed = dealt.withColumn("sigs", signature_set(F.col("text"), spec))
+    order = Window.partitionBy("stretch").orderBy("guard", *(F.desc(k) for k in KEY))
+    led = signed.withColumns({"next_text": F.lead("text").over(order), "next_sigs": F.lead("sigs").over(order)}).where("guard = 0")
+    alone = F.when(F.col("n") > 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    parted = led.withColumn("alone", F.explode(alone))
+    return parted.select(
+        "doc_id", "text", "sigs", F.when(F.col("alone"), F.col("text")).otherwise(F.col("next_text")).alias("next_text"),
+        F.when(F.col("alone"), F.col("sigs")).otherwise(F.col("next_sigs")).alias("next_sigs"), F.when(F.col("alone"), F.col("n") - 1).otherwise(1).alias("copies"),
+    )
 
 
 def edited_fingerprints(docs: DataFrame, spec: SpotSpec = SpotSpec()) -> DataFrame:
     """Fingerprints of every text and of its edit, whose last third is the beginning of the next document."""
     chars = F.char_length("text")
     third = F.floor(chars / 3).cast("int")
-    edited = with_next(docs, True, spec).select(
-        "doc_id", "sigs", "next_sigs", chars.cast("long").alias("n_chars"),
+    edited = with_next(docs, spec).select(
+        "doc_id", "copies", "sigs", "next_sigs", chars.cast("long").alias("n_chars"),
         F.concat(F.substring("text", F.lit(1), chars - third), F.substring("next_text", F.lit(1), third)).alias("edited"),
     )
-    signed = edited.select("doc_id", "n_chars", "sigs", "next_sigs", F.sha2("edited", 256).alias("edited_sha256"), signature_set(F.col("edited"), spec).alias("edited_sigs"))
-    return signed.select(
-        "doc_id", "n_chars", "edited_sha256", fingerprint_text(F.col("sigs")).alias("fingerprint"), fingerprint_text(F.col("edited_sigs")).alias("edited_fingerprint"),
+    signed = edited.select("doc_id", "copies", "n_chars", "sigs", "next_sigs", F.sha2("edited", 256).alias("edited_sha256"), signature_set(F.col("edited"), spec).alias("edited_sigs"))
+    found = signed.select(
+        "doc_id", "copies", "n_chars", "edited_sha256", fingerprint_text(F.col("sigs")).alias("fingerprint"), fingerprint_text(F.col("edited_sigs")).alias("edited_fingerprint"),
         likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
         F.size("sigs").alias("n_signatures"), length_class(F.col("sigs"), spec).alias("length_class"),
     )
+    return found.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
