@@ -10,8 +10,10 @@ same function, without a comparison to each landmark.
 Training takes a bounded sample of labelled rows: up to ``max_docs_per_class`` whole texts of each class, the first
 ones by a hash. Sentences of toxic rows hold the insults among many harmless words, so the words that
 stand out are found first: words, and beginnings of words, that are more frequent in toxic texts than chance allows
-(a likelihood ratio, corrected for the number of tries). Landmarks and examples are drawn from these and from words of
-harmless texts; three further rounds add the harmless words that score highest. The document's score comes from its
+(a likelihood ratio, corrected for the number of tries). They are where the machine begins. Then it learns from the
+labelled texts themselves, as bags of units of which at least one is an insult where the label is 1 and none where it is
+0: in each of three rounds every toxic text gives the unit that scores highest as an example, unless a harmless text
+has it, and the harmless units that score highest become examples of the other kind. Landmarks are drawn from all examples. The document's score comes from its
 evidence, the values of its three highest-scoring units, how many different units score above 0 and how many units
 there are, by a logistic curve fitted on the sampled texts: one doubtful word in a long text is no insult.
 
@@ -58,6 +60,14 @@ def _letter_class(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 36
 
 
+def windows(word: str, spec: ToxicSpec) -> list[str]:
+    """A word, or if it is longer than ``span`` the overlapping windows of it that cover all its characters."""
+    if len(word) <= spec.span:
+        return [word]
+    half = spec.span // 2
+    return [word[s : s + spec.span] for s in range(0, max(1, len(word) - half), half)]
+
+
 def _triples(words: list[str], spec: ToxicSpec) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the triples of each word (at most ``span`` characters) and their weights, 0 where there is none."""
     width = spec.span + 2
@@ -118,10 +128,9 @@ class ToxicModel:
             part = order[a : a + 4096]
             pieces, owner = [], []
             for i in part:
-                w = words[i]
-                starts = range(0, max(1, len(w) - spec.span // 2), spec.span // 2) if len(w) > spec.span else (0,)
-                pieces += [w[s : s + spec.span] for s in starts]
-                owner += [i] * len(starts)
+                found = windows(words[i], spec)
+                pieces += found
+                owner += [i] * len(found)
             for b in range(0, len(pieces), 2048):
                 codes, weights = _triples(pieces[b : b + 2048], spec)
                 norm = _norms(codes, weights)
@@ -201,7 +210,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _unit_counts(rows: DataFrame, spec: ToxicSpec) -> DataFrame:
-    """unit, toxic_docs, clean_docs: in how many of the texts each unit and each beginning of a unit ("abcde*") is."""
+    """unit, toxic_docs, clean_docs: in how many of the texts each unit and each beginning of a unit ("abcde*") is.
+
+    Of long units the windows count, all of them.
+    """
 
     def merged(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
         for toxic, found in ((1, counts[0]), (0, counts[1])):
@@ -214,7 +226,7 @@ def _unit_counts(rows: DataFrame, spec: ToxicSpec) -> DataFrame:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                own = {u[:64] for u in units_of(text or "") if len(u) > 2}
+                own = {w for u in units_of(text or "") if len(u) > 2 for w in windows(u, spec)}
                 counts[1 - toxic].update(own | {u[:n] + "*" for u in own for n in (5, 6, 7) if len(u) > n})
                 if len(counts[0]) + len(counts[1]) > spec.memo:
                     yield from merged(counts)
@@ -283,13 +295,18 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) ->
     harmless = counts.where((c > 0) & ~F.col("unit").endswith("*"))
     usual = [r["unit"] for r in harmless.orderBy(F.desc("clean_docs"), "unit").limit(spec.examples // 4).collect()]
     chance = [r["unit"] for r in harmless.orderBy(F.xxhash64("unit"), "unit").limit(spec.examples).collect()]
-    positive = sorted({w[: spec.span] for w in {*marked, *whole}})
-    negative = sorted({w[: spec.span] for w in {*usual, *chance}} - set(positive))
+    positive = sorted({*marked, *whole})
+    negative = sorted({*usual, *chance} - set(positive))
     model = _fit(positive, negative, spec)
+    insulting = rows.where("toxic = 1")
     for _ in range(3):
+        # A labelled text is toxic if one of its units is: each toxic text gives the unit that the machine holds for the
+        # worst, unless harmless texts have it too; all units of harmless texts are examples of the other kind.
+        told = insulting.select(_witness(model, rows)(rows["text"]).alias("unit")).where("unit is not null").distinct()
+        positive = sorted({*positive, *(r["unit"] for r in told.join(harmless, "unit", "left_anti").collect())})  # one a text at most
         scored = harmless.select("unit", _word_score(model, harmless)(harmless["unit"]).alias("value")).where("value > -1")
         worst = [r["unit"] for r in scored.orderBy(F.desc("value"), "unit").limit(spec.examples // 3).collect()]
-        negative = sorted({*negative, *(w[: spec.span] for w in worst)} - set(positive))
+        negative = sorted({*negative, *worst} - set(positive))
         model = _fit(positive, negative, spec)
     released()
     return _calibrated(model, rows, base)
@@ -308,6 +325,29 @@ def _word_score(model: ToxicModel, frame: DataFrame):
     return score
 
 
+def _witness(model: ToxicModel, frame: DataFrame):
+    """A function of a column of texts: the unit, or the window of one, with the machine's highest value."""
+    shared = frame.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("string")
+    def worst(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        spec, values = shared.value.spec, {}
+        for batch in texts:
+            rows, out = [t or "" for t in batch.to_pylist()], []
+            for a, b in slices([len(t) for t in rows], spec.batch_chars):
+                if len(values) > spec.memo:
+                    values.clear()
+                found = [{w for u in units_of(t) if len(u) > 2 for w in windows(u, spec)} for t in rows[a:b]]
+                fresh = sorted(set().union(*found) - values.keys())
+                values.update(zip(fresh, shared.value.score_words(fresh).tolist(), strict=True))
+                out += [max(own, key=lambda w: (values[w], w), default=None) for own in found]
+            yield pa.array(out, pa.string())
+        values.clear()
+        released()
+
+    return worst
+
+
 def _fit(positive: list[str], negative: list[str], spec: ToxicSpec) -> ToxicModel:
     spread = lambda words, k: [words[i] for i in np.linspace(0, len(words) - 1, min(k, len(words))).astype(int)] if words else []
     marks = [*spread(positive, spec.landmarks // 2), *spread(negative, spec.landmarks // 2)]
