@@ -270,3 +270,36 @@ def test_a_stream_whose_table_changes(spark, tmp_path):
     assert [(r.reason, r.status) for r in odd.quarantined(spark).where("status = 'waiting'").collect()] == [("schema", "waiting")]
     target = wide.change_table(spark)
     assert {(x.k, x.s and tuple(x.s), x.more) for x in target.compact(spark).current(spark).collect()} == want
+
+
+def test_low_priority_waits_for_tokens(spark, tmp_path):
+    """A bucket of 3 tokens, 2 a second: its level goes from batch to batch, and what finds no token isn't lost."""
+    limits = {"columns": columns("k", "v"), "primary_key": ("k",), "rate_limit": 2, "burst": 3}
+
+    def arrive(run, seconds):
+        first = arrive.next
+        arrive.next += len(seconds)
+        rows = [("db", "a", "insert", first + i, None, (first + i, "v"), None) for i in range(len(seconds))]
+        frame = spark.createDataFrame(rows, change_schema(run.payload)).withColumn("ts", F.timestamp_seconds(F.element_at(F.array(*map(F.lit, seconds)), (F.col("seq") - first + 1).cast("int"))))
+        frame.coalesce(1).write.mode("append").parquet(run.changes)
+        query = run.start(spark, available_now=True)
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    arrive.next = 0
+    run = run_of(tmp_path / "low", TableConfig("db", "a", priority="low", **limits))
+    there = lambda: sorted(r.k for r in run.change_table(spark).current(spark).collect())
+    arrive(run, [100] * 5)
+    assert there() == [0, 1, 2]
+    arrive(run, [101] * 4)  # two tokens since
+    assert there() == [0, 1, 2, 5, 6]
+    arrive(run, [90, 110])  # a late change gains nothing, a later one finds a full bucket
+    assert there() == [0, 1, 2, 5, 6, 10]
+    held = run.quarantined(spark).collect()
+    assert len(held) == 5 and all(r.errors == ["rate limit"] and r.status == "waiting" for r in held)
+    assert run.retry_due(spark, at(2100)) == 5 and there() == list(range(11))
+    arrive.next = 0
+    run = run_of(tmp_path / "normal", TableConfig("db", "a", **limits))
+    arrive(run, [100] * 5)
+    assert there() == list(range(5))
+    assert TableConfig("db", "a", rate_limit=-1).problem()

@@ -54,6 +54,10 @@ class TableConfig:
     priority: str = "normal"
     batch_size: int = 1000
     batch_timeout: float = 1.0
+    #: Changes a second of a low-priority table that go on at once; beyond them and ``burst`` (0: twice the rate) changes
+    #: wait in the quarantine. 0: no limit.
+    rate_limit: int = 0
+    burst: int = 0
     #: Texts and binary values of more bytes are errors; 0: any size.
     max_text_bytes: int = 1_000_000
     max_binary_bytes: int = 5_000_000
@@ -71,6 +75,8 @@ class TableConfig:
             return f"{self.source_name}: {self.policy} needs a primary key"
         if self.batch_size < 1 or self.batch_timeout < 0:
             return f"{self.source_name}: batches need a positive size and a time that isn't negative"
+        if self.rate_limit < 0 or self.burst < 0:
+            return f"{self.source_name}: rates and bursts aren't negative"
         return None
 
     @property

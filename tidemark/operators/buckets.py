@@ -107,27 +107,39 @@ def bucket_levels(arrivals: DataFrame, bucket: Bucket = Bucket(), start: Level |
     return arrivals.join(levels.withColumnRenamed("first", "second"), "second").select("second", "n", "level", F.greatest(F.lit(0), F.col("level") - F.col("n")).cast("long").alias("after"))
 
 
-def last_level(levels: DataFrame) -> Level | None:
-    """What the next batch begins with; None without events."""
+def last_level(levels: DataFrame, start: Level | None = None) -> Level | None:
+    """What the next batch begins with; ``start`` without events. Late events don't turn the clock back."""
     row = levels.orderBy(F.desc("second")).select("second", "after").first()
-    return Level(row["second"], row["after"]) if row else None
+    if row is None:
+        return start
+    return Level(max(row["second"], start.second) if start else row["second"], row["after"])
 
 
-def limited(events: DataFrame, time: str, tie: str, priority: str = "priority", bucket: Bucket = Bucket(), start: Level | None = None) -> DataFrame:
-    """``events`` without those of low priority that find no token; within a second they come by time, then ``tie``.
+def arrivals_of(events: DataFrame, time: str) -> DataFrame:
+    """second, n: how many events each second has; those without a time aren't counted."""
+    return events.where(F.col(time).isNotNull()).groupBy(F.unix_seconds(F.col(time).cast("timestamp")).alias("second")).agg(F.count("*").alias("n"))
+
+
+def marked(events: DataFrame, time: str, tie: str, mark: str, low: Column, bucket: Bucket = Bucket(), start: Level | None = None) -> DataFrame:
+    """``events`` with a boolean column ``mark``: whether they pass; those that are not ``low`` always do.
 
-    ``tie`` tells events of one time apart. Of each second only the first ``burst`` events are ranked, task by task before
-    they meet; the place of the last token is then compared with all events, which stay where they are in a second's
-    join. Events without a time pass.
+    Within a second events come by time, then ``tie``, which tells events of one time apart. Of each second only the
+    first ``burst`` events are ranked, task by task before they meet; the place of the last token is then compared with
+    all events, which stay where they are in a second's join. Events without a time pass.
     """
     second = F.unix_seconds(F.col(time).cast("timestamp"))
     place = F.struct(F.col(time).alias("t"), F.col(tie).alias("i"))
     timed = events.where(F.col(time).isNotNull()).select(second.alias("second"), place.alias("place"))
-    levels = bucket_levels(timed.groupBy("second").agg(F.count("*").alias("n")), bucket, start).where("level < n")
+    levels = bucket_levels(arrivals_of(events, time), bucket, start).where("level < n")
     ranked = timed.withColumn("rank", F.row_number().over(Window.partitionBy("second").orderBy("place"))).where(F.col("rank") <= bucket.burst)
     cut = ranked.join(levels, "second").where("rank <= level").groupBy("second").agg(F.max("place").alias("cut"))
     short = levels.join(cut, "second", "left").select(F.col("second").alias("_second"), F.lit(True).alias("_short"), F.col("cut").alias("_cut"))
     met = events.join(short, second == F.col("_second"), "left")
     # Without a cut the second began with no token at all.
-    passes = (F.col(priority) != "low") | F.col(priority).isNull() | F.col("_short").isNull() | F.coalesce(place <= F.col("_cut"), F.lit(False))
-    return met.where(passes).select(*(events[c] for c in events.columns))
+    passes = ~F.coalesce(low, F.lit(False)) | F.col("_short").isNull() | F.coalesce(place <= F.col("_cut"), F.lit(False))
+    return met.select(*(events[c] for c in events.columns), passes.alias(mark))
+
+
+def limited(events: DataFrame, time: str, tie: str, priority: str = "priority", bucket: Bucket = Bucket(), start: Level | None = None) -> DataFrame:
+    """``events`` without those of low priority that find no token (see ``marked``)."""
+    return marked(events, time, tie, "_passes", F.col(priority) == "low", bucket, start).where("_passes").drop("_passes")

@@ -12,6 +12,9 @@ came as, each with an id. ``retry_due`` maps and sends them again when they are
 A retry writes down what it is about to send before it sends it, and takes up one that was broken off under its old
 name, so that sinks can tell that they have it. A sink refuses by raising ``SinkRefused`` or an ``OSError``; all other
 errors, such as a lost cluster or a fault in a program, stop the query and move no change.
+
+A table of low priority may have a ``rate_limit``: changes that find no token in its bucket by their time wait in the
+quarantine too and go on with a retry; the bucket's level is carried from batch to batch.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config, SyncTask, TableConfig
 from ..operators import quarantine
+from ..operators.buckets import Bucket, Level, arrivals_of, bucket_levels, last_level, marked
 from ..operators.changes import ACTION, DELETE, free_name, latest_changes, routed_changes
 from ..operators.documents import JSON_TIMES, too_large
 from ..plans.mapping import ERRORS, map_rows
@@ -51,6 +55,9 @@ RAW = "_change_text"
 #: What a batch or a retry came to: rows after the filter, rows rejected, and how long mapping and sink took.
 STATISTICS = "batch string, retried boolean, n_rows bigint, n_rejected bigint, seconds double, rows_a_second double, at timestamp"
 
+#: The level of a bucket after a batch.
+LEVELS = "stream string, batch bigint, second bigint, tokens bigint"
+
 #: The task of each query that was started here.
 _tasks: dict[str, str] = {}
 
@@ -155,6 +162,34 @@ class TableRun:
 
         return append
 
+    def _identified(self, names: list[str], batch_id: int | str, stream: str, ident: str = "") -> Column:
+        """id and text of a change; the id is that of its batch and text unless a column has it."""
+        text = F.to_json(F.struct(*(F.col(c) for c in names)), JSON_TIMES)
+        own = F.col(ident) if ident else F.sha2(F.concat_ws("\n", F.lit(f"{self.name} {stream} {batch_id}"), text), 256)
+        return F.struct(own.alias("id"), text.alias("change"))
+
+    def _admitted(self, changes: DataFrame, batch_id: int, stream: str) -> tuple[DataFrame, DataFrame | None]:
+        """The changes that find a token or need none, and the others as (id, change, copies, errors).
+
+        The level that a batch leaves is written under its number; a batch that is repeated begins as it did before.
+        """
+        if not self.table.rate_limit or self.table.priority.lower() != "low":
+            return changes, None
+        spark, names = changes.sparkSession, changes.columns
+        bucket = Bucket(self.table.rate_limit, self.table.burst or 2 * self.table.rate_limit)
+        path, start = f"{self.output}/levels/{self.name}", None
+        if self._exists(spark, path):
+            earlier = spark.read.schema(LEVELS).parquet(path).where((F.col("stream") == stream) & (F.col("batch") < batch_id))
+            row = earlier.orderBy(F.desc("batch")).select("second", "tokens").first()
+            start = Level(row["second"], row["tokens"]) if row else None
+        left = last_level(bucket_levels(arrivals_of(changes, "ts"), bucket, start), start)
+        if left:
+            spark.createDataFrame([(stream, batch_id, left.second, left.tokens)], LEVELS).coalesce(1).write.mode("overwrite").parquet(f"{path}/of={stream}-{batch_id}")
+        mark = free_name(names, "_passes")
+        told = marked(changes, "ts", "seq", mark, F.lit(True), bucket, start)
+        held = told.where(~F.col(mark)).select(self._identified(names, batch_id, stream).alias("c")).select("c.*").groupBy("id", "change").agg(F.count("*").alias("copies"))
+        return told.where(mark).drop(mark), held.withColumn("errors", F.array(F.lit("rate limit")))
+
     def _deliver(self, changes: DataFrame, batch_id: int | str, write: Sink, stream: str = "", ident: str = "") -> DataFrame:
         """Sends what can be mapped; what can't, or wasn't taken, comes back as (id, change, copies, errors).
 
@@ -163,8 +198,7 @@ class TableRun:
         """
         spark = changes.sparkSession
         names = [c for c in changes.columns if c != ident]
-        text = F.to_json(F.struct(*(F.col(c) for c in names)), JSON_TIMES)
-        raw = changes.withColumn(RAW, F.struct((F.col(ident) if ident else F.sha2(F.concat_ws("\n", F.lit(f"{self.name} {stream} {batch_id}"), text), 256)).alias("id"), text.alias("change")))
+        raw = changes.withColumn(RAW, self._identified(names, batch_id, stream, ident))
         mapped, envelope = mapped_changes(raw.select(*names, RAW), self.table, self.task.kind, (RAW,))
         mapped, began, refused = mapped.persist(), time.monotonic(), False
         try:
@@ -202,8 +236,9 @@ class TableRun:
         write = with_retries(sink or self.sink(spark, stream), self.attempts, self.pause)
 
         def batch(changes: DataFrame, batch_id: int) -> None:
-            bad = self._deliver(changes, batch_id, write, stream())
-            waiting(bad, F.lit(0), F.current_timestamp()).write.mode("overwrite").parquet(f"{self.quarantine}/batch={stream()}-{batch_id}")
+            admitted, held = self._admitted(changes, batch_id, stream())
+            bad = self._deliver(admitted, batch_id, write, stream())
+            waiting(bad.unionByName(held) if held is not None else bad, F.lit(0), F.current_timestamp()).write.mode("overwrite").parquet(f"{self.quarantine}/batch={stream()}-{batch_id}")
             self._removed(spark, bad)
 
         _tasks[self.name] = self.task.name
