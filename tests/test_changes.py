@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import ColumnMapping, SyncTask, TableConfig
 from tidemark.operators import changes as ch
+from tidemark.operators import flow
 from tidemark.sinks.change_table import ChangeTable
 from tidemark.sources.tables import change_schema
 from tidemark.streaming.runner import TableRun, with_retries
@@ -82,3 +84,31 @@ def test_retries_end():
 
     with_retries(sink, pause=0.0)(None, 5)
     assert calls == [5, 5, 5]
+
+
+def test_before_images_of_a_hot_key_in_any_range(spark):
+    """Ranges of any width give what one pass over each key gives; null keys are a key, nulls are images."""
+    rows = [(k, i * 3 % 400, a, v if i % 5 else None) for k, i, a, v in log(5)]
+    want, last = {}, {}
+    for k, seq, _, v in sorted(rows, key=lambda x: x[1]):
+        want[seq], last[k] = last.get(k), v
+    frame = spark.createDataFrame(rows, "k long, seq long, action string, image string")
+    for width in (1, 7, 100_000):
+        got = ch.with_before(frame, ["k"], ["seq"], ["image"], width)
+        assert got.columns == ["k", "seq", "action", "image", "before_image"]
+        assert {r.seq: r.before_image for r in got.collect()} == want
+    assert ch.with_before(frame.limit(0), ["k"], ["seq"], ["image"]).count() == 0
+
+
+def test_shedding_sends_no_more_than_a_second_holds(spark):
+    rows = [(i, i // 40, "low" if i % 4 else (None if i % 8 else "high")) for i in range(400)] + [(900, None, "low"), (901, None, None)]
+    frame = spark.createDataFrame(rows, "id long, _second long, priority string").withColumn("ts", F.timestamp_seconds("_second"))
+    kept = sorted(r.id for r in flow.shed_low_priority(frame, "ts", "id", per_second=15).collect())
+    want = []
+    for second in {s for _, s, _ in rows}:
+        own = [(i, p) for i, s, p in rows if s == second]
+        rest = [i for i, p in own if p != "low"]
+        want += rest + sorted(i for i, p in own if p == "low")[: max(0, 15 - len(rest))]
+    assert kept == sorted(want)
+    plan = flow.shed_low_priority(frame, "ts", "id", per_second=15)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

@@ -102,3 +102,14 @@ def test_keys_in_rows(spark):
     with_nulls = spark.createDataFrame([(None, 1), (1, 1), (1, None), (None, None)], "a long, b long")
     assert unique_keys(with_nulls) == [("a", "b")] and unique_keys(with_nulls.unionAll(with_nulls.limit(1))) == []
     assert [(r.column_name, r.position, r.key_position) for r in schema_columns(rows.select("id", "a"), "r", ["a"]).collect()] == [("id", 1, None), ("a", 2, 1)]
+
+
+def test_batch_size_reaches_the_database(spark, url, tmp_path):
+    """``BatchSize`` of a table is what its tasks send at a time; any size writes the same rows."""
+    table = TableConfig("db", "t", columns=columns("k", "v"), primary_key=("k",), batch_size=7)
+    assert replace(run_of(tmp_path, table), database={"url": url}).database_table().batch_size == 7
+    made(spark, url)
+    rows = [(k, f"v{k}", k, k, "insert") for k in range(20)]
+    for size in (1, 7, 1000):
+        assert DatabaseTable(url, "t", ("k",), batch_size=size).write(changes(spark, *rows), f"of-{size}")
+        assert held(spark, url) == [(k, f"v{k}", k) for k in range(20)]

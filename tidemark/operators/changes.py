@@ -121,10 +121,21 @@ def partial_update(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> Da
     return joined.select(*(F.coalesce(*([F.col(f"_new_{c}")] if c in rows.columns else []), *([table[c]] if c in table.columns else [])).alias(c) for c in columns))
 
 
-def with_before(changes: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Each change with the images of ``columns`` before it (``before_<name>``)."""
-    own = Window.partitionBy(*keys).orderBy(*order)
-    return changes.select("*", *(F.lag(c).over(own).alias(f"before_{c}") for c in columns))
+def with_before(changes: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], width: int = 100_000) -> DataFrame:
+    """Each change with the images of ``columns`` before it (``before_<name>``); equal orders come in no set order.
+
+    A key's changes are cut into ranges of ``width`` of the first order column, a number or a time (in seconds), so that
+    a hot key is spread over tasks. What a range leaves is found by aggregation and enters the next one as its first row.
+    """
+    image = F.struct(*(F.col(c).alias(f"i{i}") for i, c in enumerate(columns)))
+    key, place = [f"k{i}" for i in range(len(keys))], [f"o{i}" for i in range(len(order))]
+    named = [*(F.col(c).alias(k) for c, k in zip(keys, key, strict=True)), *(F.col(c).alias(o) for c, o in zip(order, place, strict=True))]
+    cut = changes.select(F.struct(*changes.columns).alias("row"), *named, F.floor(F.col(order[0]).cast("double") / width).alias("range"), image.alias("image"))
+    left = cut.groupBy(*key, "range").agg(F.max_by("image", F.struct(*place)).alias("image"))
+    entering = left.withColumn("image", F.lag("image").over(Window.partitionBy(*key).orderBy("range"))).where("image is not null")
+    both = cut.withColumn("own", F.lit(1)).unionByName(entering.withColumn("own", F.lit(0)), allowMissingColumns=True)
+    seen = both.withColumn("was", F.lag("image").over(Window.partitionBy(*key, "range").orderBy("own", *place))).where("own = 1")
+    return seen.select("row.*", *(F.col(f"was.i{i}").alias(f"before_{c}") for i, c in enumerate(columns)))
 
 
 def routed_changes(changes: DataFrame, keys: Sequence[str], where: str = "", carried: Sequence[str] = (), before: str = "before", after: str = "data", action: str = ACTION) -> tuple[DataFrame, str]:

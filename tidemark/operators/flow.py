@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .changes import free_name
+
 
 def batch_statistics(events: DataFrame, order: str, size: int, failed: Column, time: str, group: Sequence[str] = ()) -> DataFrame:
     """Rows cut into batches of ``size`` consecutive numbers of ``order``: rows, errors, seconds from first to last."""
@@ -31,11 +33,17 @@ def row_batches(events: DataFrame, order: str, size: int, width: int = 1_000_000
 def shed_low_priority(events: DataFrame, time: str, tie: str, priority: str = "priority", per_second: int = 1000) -> DataFrame:
     """All other rows stay; low-priority rows get what these leave of each second's ``per_second`` places, in order.
 
-    A quota orders the rows of one second; seconds are the groups, so that no task gets more than a second's rows.
+    Other rows, those without a priority too, are only counted by second. Of low-priority rows no task sends more than
+    ``per_second`` of a second on (up to Spark's ``windowGroupLimitThreshold``), as later ones can't get a place.
     """
-    second = F.unix_seconds(F.col(time).cast("timestamp"))
-    place = F.row_number().over(Window.partitionBy(second).orderBy(F.when(F.col(priority) == "low", 1).otherwise(0), time, tie))
-    return events.withColumn("_place", place).where((F.col(priority) != "low") | (F.col("_place") <= per_second)).drop("_place")
+    second, place, of, taken = (free_name(events.columns, n) for n in ("_second", "_place", "_of", "_taken"))
+    low = F.col(priority).eqNullSafe("low")
+    rest, by_second = events.where(~low), F.unix_seconds(F.col(time).cast("timestamp"))
+    counts = rest.groupBy(by_second.alias(of)).agg(F.count("*").alias(taken))
+    order = F.row_number().over(Window.partitionBy(second).orderBy(time, tie))
+    asked = events.where(low).withColumn(second, by_second).withColumn(place, order).where(F.col(place) <= per_second)
+    given = asked.join(counts, F.col(second).eqNullSafe(F.col(of)), "left").where(F.col(place) <= per_second - F.coalesce(F.col(taken), F.lit(0)))
+    return rest.union(given.select(*events.columns))
 
 
 def positions(events: DataFrame, key: Sequence[str], order: str, time: str) -> DataFrame:

@@ -35,6 +35,8 @@ class DatabaseTable:
     policy: str = "REPLACE"
     dialect: str = "standard"
     options: dict[str, str] = field(default_factory=dict)
+    #: Rows that a task sends at a time.
+    batch_size: int = 1000
 
     def __post_init__(self):
         if self.policy not in ("REPLACE", "IGNORE", ""):
@@ -96,7 +98,7 @@ class DatabaseTable:
             if self._noted(spark, name, {k: c for k, (c, _) in parts.items()}):
                 return False
             for part, (_, own) in parts.items():
-                own.write.format("jdbc").options(url=self.url, dbtable=self._quoted(part), **self.options).mode("append").save()
+                own.write.format("jdbc").options(**{"url": self.url, "dbtable": self._quoted(part), "batchsize": self.batch_size, **self.options}).mode("append").save()
             return self._moved(spark, staging, columns, name)
         except Py4JJavaError as e:
             if not any(isinstance_of(spark, x, "java.sql.SQLException") for x in causes(e)):

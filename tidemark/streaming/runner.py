@@ -135,6 +135,11 @@ class TableRun:
         order = (("seq", "bigint"), ("part", "int"), ("origin", "string"))
         return ChangeTable(f"{self.output}/{self.table.target_name}", empty.schema, self.keys, order, self.table.policy)
 
+    def database_table(self) -> DatabaseTable:
+        """The target in a database; tasks send it ``batch_size`` rows at a time."""
+        options = {k: v for k, v in self.database.items() if k not in ("url", "dialect")}
+        return DatabaseTable(self.database["url"], self.table.target_table or self.table.source_table, self.keys, self.table.policy, self.database.get("dialect", "standard"), options, self.table.batch_size)
+
     def sink(self, spark: SparkSession, stream: Callable[[], str] = lambda: "") -> Sink:
         """The sink of the task's kind; ``stream`` tells batches of one number of different streams apart."""
         writer = lambda: f"{self.name}-{stream()}".rstrip("-")
@@ -146,7 +151,7 @@ class TableRun:
 
             return write
         if self.database:
-            database = DatabaseTable(self.database["url"], self.table.target_table or self.table.source_table, self.keys, self.table.policy, self.database.get("dialect", "standard"), {k: v for k, v in self.database.items() if k not in ("url", "dialect")})
+            database = self.database_table()
 
             def move(rows: DataFrame, batch_id: int | str) -> None:
                 database.write(rows, batch_id, writer(), ("seq", "part"), rows.columns[-1])
