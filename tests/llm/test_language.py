@@ -111,3 +111,27 @@ def test_stretches_of_long_texts_give_the_same_path() -> None:
         whole = value(scores, langid._viterbi(scores, begins, lengths, 3.0, 1000), begins, lengths)
         for size in (1, 2, 7, 16):
             assert value(scores, langid._viterbi(scores, begins, lengths, 3.0, size), begins, lengths) == whole
+
+
+def test_hundreds_of_languages(spark):
+    """No number of languages is too many: each of 600 with words of its own is found again, one without letters never."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k, i: "".join(letters[int(c, 16) + i] for c in f"{zlib.crc32(f'{k} {i}'.encode()):08x}")
+    rows = [(3 * k, " ".join(word(k, i) for i in range(8)), f"l{k:03}") for k in range(600)] + [(9000, "1 2 3", "digits")]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(train)
+    assert len(model.languages) == 601 and not model.uses_script[:, model.languages.index("digits")].any()
+    asked = spark.createDataFrame([(k, " ".join(word(k, i) for i in (5, 2, 7, 0))) for k in range(0, 600, 7)], "doc_id long, text string")
+    found = {r.doc_id: r.f for r in asked.select("doc_id", langid.language_of(model, asked).alias("f")).collect()}
+    assert all(f.lang == f"l{k:03}" and f.score > 0.9 for k, f in found.items())
+
+
+def test_counts_against_plain_ones(spark):
+    """log-probabilities are those of counts in one pass, whatever slices and batches the texts come in."""
+    rows = [(i, t, x) for i, (x, t) in enumerate([*TRAIN.items()] * 5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    spec = langid.LangIdSpec(bits=8, batch_chars=60)
+    model = langid.train(frame, spec)
+    for k, lang in enumerate(model.languages):
+        counts = np.bincount(langid.Letters([TRAIN[lang]], 8).features, minlength=256) * 5.0
+        assert np.allclose(model.log_probs[:, k], np.log(counts + 0.05) - np.log(counts.sum() + 0.05 * 256), atol=1e-5)

@@ -11,7 +11,8 @@ than half the penalty in another language, no path with changes can win. All oth
 side by side. Both ways give the path of least cost over the whole text.
 
 The model is counted on a bounded sample of labelled rows: per language the whole texts of about
-``max_docs_per_language`` documents, chosen by a hash. Nothing but the text enters a prediction.
+``max_docs_per_language`` documents, chosen by a hash. Nothing but the text enters a prediction. Any number of languages
+will do; each takes ``4 * 2 ** bits`` bytes of the model, and slices of texts become smaller in proportion.
 
 Nulls and texts without letters give ``und`` with score 0. If no language is known, every text is ``und``. Words in a
 script that no language uses count for no language, but among the letters that shares are of; a text of such words
@@ -20,9 +21,11 @@ alone gets the most frequent language with share and score 0. Rows with null doc
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +58,6 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 class LangIdSpec:
     bits: int = 16
     max_docs_per_language: int = 4000
-    max_languages: int = 500
     switch_penalty: float = 12.0
     #: A script is a language's own if at least this share of its training letters is in it.
     script_share: float = 0.02
@@ -104,32 +106,39 @@ def _counts(rows: DataFrame, languages: list[str], spec: LangIdSpec) -> DataFram
     number = {lang: i for i, lang in enumerate(languages)}
     width = (1 << spec.bits) + len(SCRIPTS)
 
+    def batch_of(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys // width), pa.array(keys % width), pa.array(n)], names=["lang", "feature", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((len(languages), width), np.int64)
+        keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             langs, texts = batch.column("lang").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
             for a, b in slices([len(t) for t in texts], spec.batch_chars):
                 letters = Letters(texts[a:b], spec.bits)
-                own = np.repeat(np.array([number[x] for x in langs[a:b]])[letters.owners], letters.lengths)
-                for shift, values in ((0, letters.features), (1 << spec.bits, letters.scripts.astype(np.int64))):
-                    table += np.bincount(own * width + shift + values, minlength=table.size).reshape(table.shape)
-        lang, feature = np.nonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(feature), pa.array(table[lang, feature])], names=["lang", "feature", "n"])
+                own = np.repeat(np.array([number[x] for x in langs[a:b]], np.int64)[letters.owners], letters.lengths) * width
+                found, times = np.unique(np.concatenate((own + letters.features, own + (1 << spec.bits) + letters.scripts)), return_counts=True)
+                keys, place = np.unique(np.concatenate((keys, found)), return_inverse=True)
+                n = np.bincount(place, np.concatenate((n, times)), len(keys)).astype(np.int64)
+                if len(keys) > HELD:
+                    yield batch_of(keys, n)
+                    keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        yield batch_of(keys, n)
 
     return rows.select("lang", "text").mapInArrow(trimmed(run), "lang long, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
 
 
+#: Counts that a task holds before it sends them on.
+HELD = 1_000_000
+
+
 def _sampled(labelled: DataFrame, spec: LangIdSpec) -> tuple[dict[str, int], DataFrame]:
     """Rows of each language, in order of names, and about ``max_docs_per_language`` of each, picked by a hash."""
-    found = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(spec.max_languages + 1).collect()
-    if len(found) > spec.max_languages:
-        raise ValueError(f"more than {spec.max_languages} languages")
+    found = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language of the model
     sizes = {r["lang"]: r["n"] for r in sorted(found, key=lambda r: r["lang"])}
-    wanted = F.lit(False)
-    for lang, n in sizes.items():
-        share = min(1.0, spec.max_docs_per_language / n)
-        wanted = wanted | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < round(share * 1_000_000)))
-    return sizes, labelled.where(wanted)
+    places = [(lang, round(min(1.0, spec.max_docs_per_language / n) * 1_000_000)) for lang, n in sizes.items()]
+    wanted = F.broadcast(labelled.sparkSession.createDataFrame(places, "wanted string, places long"))  # as many rows
+    own = labelled.join(wanted, F.col("lang") == F.col("wanted"))
+    return sizes, own.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.col("places")).select(*labelled.columns)
 
 
 def train(labelled: DataFrame, spec: LangIdSpec = LangIdSpec()) -> LangModel:
@@ -137,20 +146,18 @@ def train(labelled: DataFrame, spec: LangIdSpec = LangIdSpec()) -> LangModel:
     shipped(labelled.sparkSession)
     labelled = labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null")
     sizes, sample = _sampled(labelled, spec)
-    languages = list(sizes)
-    features = 1 << spec.bits
-    table = np.zeros((len(languages), features + len(SCRIPTS)))
-    if languages:
-        for r in _counts(sample, languages, spec).toLocalIterator():  # features times languages at most
-            table[r["lang"], r["feature"]] = r["n"]
-    trigrams, scripts = table[:, :features], table[:, features:]
-    smooth = 0.05
-    log_probs = np.log(trigrams + smooth) - np.log(trigrams.sum(axis=1, keepdims=True) + smooth * features)
-    return LangModel(
-        tuple(languages), np.ascontiguousarray(log_probs.T, np.float32),
-        (scripts >= spec.script_share * np.maximum(1, scripts.sum(axis=1, keepdims=True))).T.copy(),
-        int(np.argmax(list(sizes.values()))) if sizes else -1, spec,
-    )
+    languages, features, smooth = list(sizes), 1 << spec.bits, 0.05
+    log_probs = np.full((features, len(languages)), -math.log(features), np.float32)
+    uses_script = np.zeros((len(SCRIPTS), len(languages)), bool)
+    counts = _counts(sample, languages, spec).orderBy("lang").toLocalIterator() if languages else ()  # features times languages at most
+    for lang, own in groupby(counts, key=lambda r: r["lang"]):
+        table = np.zeros(features + len(SCRIPTS))
+        for r in own:
+            table[r["feature"]] = r["n"]
+        trigrams, scripts = table[:features], table[features:]
+        log_probs[:, lang] = np.log(trigrams + smooth) - math.log(trigrams.sum() + smooth * features)
+        uses_script[:, lang] = scripts >= spec.script_share * max(1, scripts.sum())
+    return LangModel(tuple(languages), log_probs, uses_script, int(np.argmax(list(sizes.values()))) if sizes else -1, spec)
 
 
 #: Words of a stretch, and the number of languages up to which long texts are cut into stretches.
@@ -314,6 +321,11 @@ def label_words(model: LangModel, texts: list[str]) -> Spans:
     return Spans(labels, letters.owners, letters.lengths, best, share, np.where(known > 0, posterior, 0.0), words > 0)
 
 
+def _room(model: LangModel) -> int:
+    """Characters of a slice: fewer for many languages, as each word has a score for each of them."""
+    return max(4096, model.spec.batch_chars * FEW // max(FEW, len(model.languages)))
+
+
 FOUND = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("share", pa.float64())])
 
 
@@ -321,7 +333,7 @@ def identified(model: LangModel, texts: list[str | None]) -> list[dict]:
     """lang, score, share (of the letters in that language) for each text."""
     rows = [t or "" for t in texts]
     out = []
-    for a, b in slices([len(t) for t in rows], model.spec.batch_chars):
+    for a, b in slices([len(t) for t in rows], _room(model)):
         spans = label_words(model, rows[a:b])
         for has, best, share, posterior in zip(spans.has_letters, spans.best, spans.share, spans.posterior, strict=True):
             known = has and best >= 0
@@ -332,7 +344,7 @@ def identified(model: LangModel, texts: list[str | None]) -> list[dict]:
 def language_of(model: LangModel, docs: DataFrame, text: str = "text") -> Column:
     """A struct column (lang, score, share) for the texts of ``docs``."""
     shipped(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # features times languages: bounded by the spec
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 4 * 2 ** bits bytes for each language
 
     @F.arrow_udf("lang string, score double, share double")
     def udf(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -351,7 +363,7 @@ def spans_of(model: LangModel, docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in slices([len(t) for t in texts], shared.value.spec.batch_chars):
+            for a, b in slices([len(t) for t in texts], _room(shared.value)):
                 found = label_words(shared.value, texts[a:b])
                 out: list[list[dict]] = [[] for _ in range(b - a)]
                 for owner, label, letters in zip(found.owners, found.labels, found.lengths, strict=True):
