@@ -87,3 +87,21 @@ def test_equal_in_any_partitioning_and_with_repeats(spark, table):
     rows = lambda d: sorted(map(str, quality.judged(d, labels).collect()))
     first = rows(docs)
     assert first == rows(docs.repartition(7)) and len(first) == 265
+
+
+def test_every_label_counts(spark):
+    """Beyond 20,000 labelled ids too: all that are held out are told of, and the threshold is that of all others, in one pass."""
+    ids = spark.range(24_000).withColumnRenamed("id", "doc_id")
+    odd = F.col("doc_id") % 10 == 0
+    table = ids.select("doc_id", (100 + F.col("doc_id") % 7).alias("n_words"), (500 + F.col("doc_id") % 40).alias("word_chars"), F.when(odd, F.col("doc_id") % 50).otherwise(F.col("doc_id") % 3).alias("n_symbols"),
+        F.lit(0).cast("long").alias("n_dup_lines"), F.lit(0).cast("long").alias("n_repeat_words"), F.xxhash64("doc_id").alias("text_key"), F.when(odd, 0).otherwise(1).alias("quality"))
+    spec = quality.QualitySpec(trees=5)
+    model = quality.fitted(table.drop("quality"), table.select("doc_id", "quality"), spec)
+    rows = table.withColumn("held", F.pmod(F.xxhash64(F.lit(spec.seed + 1), "doc_id"), F.lit(spec.check_part)) == 0).toPandas()
+    held, good, odds = rows["held"].to_numpy(), rows["quality"].to_numpy() > 0, model.anomaly(rows)
+    assert model.checked == tuple(int((held & which).sum()) for which in (good, good & (odds <= model.threshold), ~good, ~good & (odds <= model.threshold)))
+    used = odds[~held & good]
+    lowest = np.quantile(used, spec.keep_good, method="higher")
+    gain = lambda p: (~held & ~good & (odds > p)).sum() - (~held & good & (odds > p)).sum()
+    places = np.unique(used[used >= lowest])
+    assert model.threshold == places[np.argmax([gain(p) for p in places])]
