@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import langid, toxicity
 from tidemark.llm.common import rested, scratch_path, shipped
@@ -30,9 +31,8 @@ MIN_TOXIC = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; the model learns from rows with a lang that are not held out."""
     rested(spark)
-    labelled = docs.where(~langid.held_out(docs["doc_id"]))
-    model = langid.train(labelled)
-    return langid.with_known_language(model, docs, MIN_SHARE, langid.least_score(model, labelled))
+    model = langid.train(docs.where(~langid.held_out(docs["doc_id"])))
+    return langid.like_labelled(model, docs, ~langid.held_out(F.col("doc_id")), MIN_SHARE)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -135,3 +135,23 @@ def test_counts_against_plain_ones(spark):
     for k, lang in enumerate(model.languages):
         counts = np.bincount(langid.Letters([TRAIN[lang]], 8).features, minlength=256) * 5.0
         assert np.allclose(model.log_probs[:, k], np.log(counts + 0.05) - np.log(counts.sum() + 0.05 * 256), atol=1e-5)
+
+
+def test_every_labelled_row_counts(spark):
+    """Beyond 4,000 texts of a language too: trigrams of all are counted, and the least certain of all sets the least score."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("the house "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))).otherwise("der Hund und").alias("text"), F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"))
+    odd = spark.createDataFrame([(9001, "the und der hound dog", "en")], "doc_id long, text string, lang string")
+    docs = rows.unionByName(odd).repartition(3)
+    spec = langid.LangIdSpec(bits=10)
+    model = langid.train(docs, spec)
+    texts = {x: [r.text for r in docs.where(F.col("lang") == x).collect()] for x in ("de", "en")}
+    for k, lang in enumerate(model.languages):
+        counts = np.bincount(langid.Letters(texts[lang], 10).features, minlength=1024)
+        assert np.allclose(model.log_probs[:, k], np.log(counts + 0.05) - np.log(counts.sum() + 0.05 * 1024), atol=1e-5)
+    found = [f["score"] for lang, own in texts.items() for f in langid.identified(model, own) if f["lang"] == lang]
+    least = langid.least_score(model, docs, most=1.0)
+    assert abs(least - min(found) / 2) < 1e-9
+    kept = lambda d: sorted(map(str, d.collect()))
+    assert kept(langid.like_labelled(model, docs.withColumn("_found", F.lit(1)), F.col("doc_id") >= 0, 0.3)) == kept(langid.with_known_language(model, docs.withColumn("_found", F.lit(1)), 0.3, langid.least_score(model, docs)))

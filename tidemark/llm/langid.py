@@ -10,9 +10,8 @@ Texts whose best single language cannot be beaten by any change are labelled at
 than half the penalty in another language, no path with changes can win. All others go through Viterbi, many texts
 side by side. Both ways give the path of least cost over the whole text.
 
-The model is counted on a bounded sample of labelled rows: per language the whole texts of about
-``max_docs_per_language`` documents, chosen by a hash. Nothing but the text enters a prediction. Any number of languages
-will do; each takes ``4 * 2 ** bits`` bytes of the model, and slices of texts become smaller in proportion.
+The model is counted on the whole texts of all labelled rows; its size depends on the languages alone. Nothing but the
+text enters a prediction. Any number of languages will do; each takes ``4 * 2 ** bits`` bytes of the model, and slices of texts become smaller in proportion.
 
 Nulls and texts without letters give ``und`` with score 0. If no language is known, every text is ``und``. Words in a
 script that no language uses count for no language, but among the letters that shares are of; a text of such words
@@ -23,7 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import groupby
 
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text_crc, released, shipped, slices, trimmed
+from .common import free_name, id_text_crc, released, shipped, slices, stored, trimmed
 
 # The scripts' code point ranges (Unicode blocks), everything else is 'other'.
 SCRIPT_RANGES = [
@@ -57,7 +56,6 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 @dataclass(frozen=True)
 class LangIdSpec:
     bits: int = 16
-    max_docs_per_language: int = 4000
     switch_penalty: float = 12.0
     #: A script is a language's own if at least this share of its training letters is in it.
     script_share: float = 0.02
@@ -131,25 +129,16 @@ def _counts(rows: DataFrame, languages: list[str], spec: LangIdSpec) -> DataFram
 HELD = 1_000_000
 
 
-def _sampled(labelled: DataFrame, spec: LangIdSpec) -> tuple[dict[str, int], DataFrame]:
-    """Rows of each language, in order of names, and about ``max_docs_per_language`` of each, picked by a hash."""
-    found = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language of the model
-    sizes = {r["lang"]: r["n"] for r in sorted(found, key=lambda r: r["lang"])}
-    places = [(lang, round(min(1.0, spec.max_docs_per_language / n) * 1_000_000)) for lang, n in sizes.items()]
-    wanted = F.broadcast(labelled.sparkSession.createDataFrame(places, "wanted string, places long"))  # as many rows
-    own = labelled.join(wanted, F.col("lang") == F.col("wanted"))
-    return sizes, own.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.col("places")).select(*labelled.columns)
-
-
 def train(labelled: DataFrame, spec: LangIdSpec = LangIdSpec()) -> LangModel:
     """Counts the model over rows (doc_id, text, lang); rows without text or lang are passed over."""
     shipped(labelled.sparkSession)
     labelled = labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null")
-    sizes, sample = _sampled(labelled, spec)
+    found = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language of the model
+    sizes = {r["lang"]: r["n"] for r in sorted(found, key=lambda r: r["lang"])}
     languages, features, smooth = list(sizes), 1 << spec.bits, 0.05
     log_probs = np.full((features, len(languages)), -math.log(features), np.float32)
     uses_script = np.zeros((len(SCRIPTS), len(languages)), bool)
-    counts = _counts(sample, languages, spec).orderBy("lang").toLocalIterator() if languages else ()  # features times languages at most
+    counts = _counts(labelled, languages, spec).orderBy("lang").toLocalIterator() if languages else ()  # features times languages at most
     for lang, own in groupby(counts, key=lambda r: r["lang"]):
         table = np.zeros(features + len(SCRIPTS))
         for r in own:
@@ -380,21 +369,36 @@ def spans_of(model: LangModel, docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"doc_id {kind}, spans array<struct<lang:string,words:bigint,letters:bigint>>")
 
 
+def _least(labelled: DataFrame, found: Column, most: float) -> float:
+    lowest = labelled.where("lang is not null and text is not null").where(found["lang"] == F.col("lang")).agg(F.min(found["score"])).first()[0]
+    return min(most, (lowest or 0.0) / 2)
+
+
 def least_score(model: LangModel, labelled: DataFrame, most: float = 0.25) -> float:
-    """Half of the lowest score of labelled rows whose language is found, ``most`` at most: what is below is unlike all of them.
+    """Half of the lowest score of all labelled rows whose language is found, ``most`` at most: what is below is unlike all of them.
 
-    0 without labelled rows. An eighth of the bound on the model's rows holds for these.
+    0 without labelled rows.
     """
-    spec = replace(model.spec, max_docs_per_language=-(-model.spec.max_docs_per_language // 8))
-    sample = _sampled(labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null"), spec)[1]
-    scored = sample.select("lang", language_of(model, sample).alias("found")).where("found.lang = lang")
-    return min(most, (scored.agg(F.min("found.score")).first()[0] or 0.0) / 2)
+    own = labelled.select("lang", "text")
+    scored = own.select("lang", "text", language_of(model, own).alias("_found"))
+    return _least(scored, scored["_found"], most)
+
+
+def _known(found: Column, min_share: float, min_score: float) -> Column:
+    return (found["lang"] != "und") & (found["share"] >= min_share) & (found["score"] >= min_score)
 
 
 def with_known_language(model: LangModel, docs: DataFrame, min_share: float, min_score: float = 0.0, text: str = "text") -> DataFrame:
     """Rows of ``docs`` whose text has a language that holds at least ``min_share`` of all letters and scores ``min_score``."""
-    found = language_of(model, docs, text)
-    return docs.where((found["lang"] != "und") & (found["share"] >= min_share) & (found["score"] >= min_score))
+    return docs.where(_known(language_of(model, docs, text), min_share, min_score))
+
+
+def like_labelled(model: LangModel, docs: DataFrame, labelled: Column, min_share: float) -> DataFrame:
+    """``with_known_language`` from the ``least_score`` of those rows of ``docs`` that are ``labelled``; each text is scored once."""
+    name = free_name(docs, "_found")
+    scored = stored(docs.withColumn(name, language_of(model, docs)), "languages")
+    found = scored[name]
+    return scored.where(_known(found, min_share, _least(scored.where(labelled), found, 0.25))).drop(name)
 
 
 def held_out(doc_id: Column) -> Column:
