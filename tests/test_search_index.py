@@ -62,3 +62,16 @@ def test_a_search_reads_the_partitions_of_its_terms(spark, indexed):
 def test_an_index_of_nothing(spark, tmp_path):
     index = build_index(spark.createDataFrame([], "id long, t string"), "id", "t", str(tmp_path / "x"))
     assert index.n_docs == 0 and ranked(spark, index, should=("a",)).collect() == []
+
+
+def test_postings_are_shuffled_once_as_whole_lists(spark, tmp_path):
+    """No (term, document) row is shuffled, nor a table of counts written; a block holds its term's documents in one row."""
+    docs = spark.range(0, 600, 1, 3).selectExpr("id", "concat('common ', repeat(concat('w', id % 7, ' '), 3), id) as t")
+    index = build_index(docs, "id", "t", str(tmp_path / "x"), IndexSpec(partitions=4, block=50))
+    rows = spark.read.parquet(f"{tmp_path}/x/postings")
+    common = rows.where("term = 'common'").collect()
+    assert len(common) == 12 and all(r.n == len(r.postings) == 50 for r in common) and len({p.doc for r in common for p in r.postings}) == 600
+    assert rows.groupBy("term", "block").count().where("count > 1").count() == 0
+    assert not (tmp_path / "x" / "counts").exists()
+    twice = build_index(docs.unionAll(docs).withColumn("id", docs["id"].cast("string")), "id", "t", str(tmp_path / "y"))
+    assert [r.key for r in ranked(spark, twice, must=("599",), k=5).collect()] == ["599", "599"]
