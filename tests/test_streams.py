@@ -303,3 +303,24 @@ def test_low_priority_waits_for_tokens(spark, tmp_path):
     arrive(run, [100] * 5)
     assert there() == list(range(5))
     assert TableConfig("db", "a", rate_limit=-1).problem()
+
+
+def test_a_longer_log_makes_more_files_not_larger_ones(spark, small_dir, monkeypatch):
+    """Files and batches hold no more rows however many changes there are; what a batch rejects keeps the text it came as."""
+    from tidemark import stream_queries as q
+
+    monkeypatch.setattr(q, "FILE_ROWS", 50)
+    monkeypatch.setattr(q, "MOST_FILES", 7)
+    runs = []
+    streamed = q.streamed
+    monkeypatch.setattr(q, "streamed", lambda *given: runs.append(streamed(*given)) or runs[-1])
+    events = spark.read.parquet(f"{small_dir}/events.parquet").collect()
+    rows = q.append_log(spark, small_dir).collect()
+    kinds = {e.event_type for e in events} - {"error"}
+    assert {(r.kind, r.n, r.ids) for r in rows} == {(k, sum(e.event_type == k for e in events), sum(e.event_id for e in events if e.event_type == k)) for k in kinds}
+    sizes = [r["count"] for r in spark.read.parquet(runs[0].changes).groupBy(F.input_file_name()).count().collect()]
+    batches = runs[0].statistics(spark).collect()
+    assert sum(sizes) == len(events) > 8 * 50 and max(sizes) <= 50 and len(batches) == -(-len(sizes) // 7) and max(b.n_rows for b in batches) <= 350
+    waits = runs[0].quarantined(spark).select("id", F.from_json("change", "seq bigint, action string").alias("c"), "change").select("id", "c.*", "change").collect()
+    assert {w.seq for w in waits} == {e.event_id for e in events if e.event_type == "error"} and {w.action for w in waits} == {"delete"}
+    assert len({w.id for w in waits}) == len(waits) and all('"data":{"event_id":' in w.change for w in waits)

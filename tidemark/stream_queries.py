@@ -45,20 +45,28 @@ def changes_of(events: DataFrame, action: Column, data: Column, before: Column |
     )
 
 
+#: Rows of a change file at most, and files that make a batch: a few of a small log, so that it takes several batches, and
+#: never more than so many, so that a batch and its tasks stay bounded however long the log is.
+FILE_ROWS, LEAST_FILES, MOST_FILES = 100_000, 3, 48
+
+
 def streamed(spark: SparkSession, changes: DataFrame, config: TableConfig, kind: str = "mysql2clickhouse") -> TableRun:
     """A table's run over changes, in files of which a few make a batch."""
     payload = changes.schema["data"].dataType
     assert isinstance(payload, T.StructType)
     folder = shared_folder(spark, "stream")
-    changes.select(change_schema(payload).names).write.parquet(f"{folder}/in")
+    changes.select(change_schema(payload).names).write.option("maxRecordsPerFile", FILE_ROWS).parquet(f"{folder}/in")
+    files = min(MOST_FILES, max(LEAST_FILES, LEAST_FILES * len(spark.read.parquet(f"{folder}/in").inputFiles()) // 8))
     task = SyncTask("task", kind, "in", "out", (config,))
-    run = TableRun(task, config, payload, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoints", files_per_batch=3, pause=0.1)
+    run = TableRun(task, config, payload, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoints", files_per_batch=files, pause=0.1)
     run.start(spark, available_now=True).awaitTermination()
     return run
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").repartition(8, "event_id")
+    """In as many parts as its rows ask for, 8 at least."""
+    events = table(spark, sf_dir, "events")
+    return events.repartition(max(8, -(-events.count() // FILE_ROWS)), "event_id")
 
 
 VIEW = TableConfig("shop", "events", target_table="view", columns=(C("user_id", "user"), C("event_type", "kind"), C("value", "value")), primary_key=("user_id",), where="value > 50")

@@ -50,7 +50,7 @@ REFUSALS = (SinkRefused, OSError)
 #: A quarantined change: as it came, how often the batch held it, what was wrong, and its attempts so far.
 QUARANTINE = "id string, change string, copies bigint, errors array<string>, reason string, attempts int, status string, next_retry_at timestamp, failed_at timestamp"
 REJECTED = "id string, change string, copies bigint, errors array<string>"
-RAW = "_change_text"
+RAW = "_change_as_it_came"
 
 #: What a batch or a retry came to: rows after the filter, rows rejected, and how long mapping and sink took.
 STATISTICS = "batch string, retried boolean, n_rows bigint, n_rejected bigint, seconds double, rows_a_second double, at timestamp"
@@ -167,10 +167,11 @@ class TableRun:
 
         return append
 
-    def _identified(self, names: list[str], batch_id: int | str, stream: str, ident: str = "") -> Column:
-        """id and text of a change; the id is that of its batch and text unless a column has it."""
-        text = F.to_json(F.struct(*(F.col(c) for c in names)), JSON_TIMES)
-        own = F.col(ident) if ident else F.sha2(F.concat_ws("\n", F.lit(f"{self.name} {stream} {batch_id}"), text), 256)
+    def _identified(self, names: list[str], batch_id: int | str, stream: str, ident: str = "", within: str = "") -> Column:
+        """id and text of a change, whose columns may be fields of a struct; the id is that of its batch and text unless a column has it."""
+        column = lambda c: F.col(f"{within}.`{c}`" if within else c)
+        text = F.to_json(F.struct(*(column(c).alias(c) for c in names)), JSON_TIMES)
+        own = column(ident) if ident else F.sha2(F.concat_ws("\n", F.lit(f"{self.name} {stream} {batch_id}"), text), 256)
         return F.struct(own.alias("id"), text.alias("change"))
 
     def _admitted(self, changes: DataFrame, batch_id: int, stream: str) -> tuple[DataFrame, DataFrame | None]:
@@ -203,11 +204,13 @@ class TableRun:
         """
         spark = changes.sparkSession
         names = [c for c in changes.columns if c != ident]
-        raw = changes.withColumn(RAW, self._identified(names, batch_id, stream, ident))
+        # Texts and ids are made of what is rejected alone: kept for all changes they would be most of a batch.
+        raw = changes.withColumn(RAW, F.struct(*changes.columns))
         mapped, envelope = mapped_changes(raw.select(*names, RAW), self.table, self.task.kind, (RAW,))
         mapped, began, refused = mapped.persist(), time.monotonic(), False
         try:
-            rejected = lambda rows, errors: rows.select(f"{envelope}.{RAW}.*", f"{envelope}.part", errors.alias("errors"))
+            told = self._identified(names, batch_id, stream, ident, f"{envelope}.{RAW}")
+            rejected = lambda rows, errors: rows.select(told.alias("c"), f"{envelope}.part", errors.alias("errors")).select("c.*", "part", "errors")
             own = F.struct(*(F.col(f"{envelope}.{c}").alias(c) for c in (ACTION, "seq", "part", "origin"))).alias(envelope)
             good = mapped.where(F.size(ERRORS) == 0)
             try:
@@ -219,9 +222,9 @@ class TableRun:
             parts = bad.groupBy("id", "change", "part").agg(F.first("errors").alias("errors"), F.count("*").alias("n"))
             path = f"{self.quarantine}-tries/{uuid.uuid4().hex}"
             parts.groupBy("id", "change").agg(F.first("errors").alias("errors"), F.max("n").alias("copies")).select("id", "change", "copies", "errors").write.parquet(path)
-            told = mapped.agg(F.count("*").alias("n"), F.count_if(F.size(ERRORS) > 0).alias("bad")).first()
+            count = mapped.agg(F.count("*").alias("n"), F.count_if(F.size(ERRORS) > 0).alias("bad")).first()
             seconds = max(1e-6, time.monotonic() - began)
-            row = (f"{stream}{'-' if stream else ''}{batch_id}", bool(ident), told["n"], told["n"] if refused else told["bad"], seconds, told["n"] / seconds)
+            row = (f"{stream}{'-' if stream else ''}{batch_id}", bool(ident), count["n"], count["n"] if refused else count["bad"], seconds, count["n"] / seconds)
             one = spark.createDataFrame([row], "batch string, retried boolean, n_rows bigint, n_rejected bigint, seconds double, rows_a_second double")
             one.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(f"{self.output}/statistics/{self.name}/of={row[0]}")
             return spark.read.schema(REJECTED).parquet(path)
