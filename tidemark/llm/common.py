@@ -62,6 +62,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*frames: DataFrame) -> None:
+    """Deletes tables that ``stored`` gave, of which nothing lazy is read any more."""
+    for df in frames:
+        for file in df.inputFiles()[:1]:
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 #: Rows and bytes of a batch of texts on its way to Python; both sides hold a few batches for each task.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "1048576b")}
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_key, shipped, stored, text_bytes, trimmed
+from .common import dropped, row_key, shipped, stored, text_bytes, trimmed
 from .simhash import SimHashSpec, components, links_within, one_of_each
 
 
@@ -184,10 +184,10 @@ def _sets(rows: DataFrame) -> DataFrame:
 
 
 def _buckets(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """token, key, n, at (the token's place in the set), sketch: tokens of every distinct set that others have too."""
-    found = rows.select("key", F.posexplode("tokens").alias("at", "token"))
+    """token, key, n, at (the token's place in the set), before (the token at the place before), sketch: tokens of every distinct set that others have too."""
+    found = rows.select("key", "tokens", F.posexplode("tokens").alias("at", "token")).select("key", "at", "token", F.get("tokens", F.col("at") - 1).alias("before"))
     common = found.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("token")
-    shared = found.join(common, "token").select("token", "key", "at").distinct()
+    shared = found.join(common, "token").select("token", "key", "at", "before").distinct()
     return stored(shared.join(sets.drop("fp", "sketch"), "key"), "near-buckets")
 
 
@@ -213,16 +213,17 @@ def _all_pairs(named: DataFrame, spec: NearSpec) -> DataFrame:
 
     With at ids before the shared token, a set of n shingles can only be like one of up to
     ``(100 + percent) * (n - at) / percent - n``. The smaller of two must reach its own size; the larger asks for the
-    size classes from ``percent`` hundredths of its size up to what it can reach.
+    size classes from ``percent`` hundredths of its size up to what it can reach. Two that share the token before too meet
+    there, where places leave more: all that they pass here they pass in that bucket, which is open as their groups differ.
     """
     n, at = F.col("n"), F.col("at")
     reach = F.floor((100 + spec.percent) * (n - at) / spec.percent - n + 1e-9)
     size_class = lambda size: F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double")) * 12).cast("int")  # noqa: E731  # 6 % each
-    member = F.struct("key", "n", "at", *SKETCH, "root")
+    member = F.struct("key", "n", "at", "before", *SKETCH, "root")
     small = named.where(reach >= n).select("token", size_class(n).alias("c"), member.alias("x"))
     low, high = F.ceil(n * spec.percent / 100), F.least(n, reach)
     large = named.where(high >= low).select("token", F.explode(F.sequence(size_class(low), size_class(high))).alias("c"), member.alias("y"))
-    return small.join(large, ["token", "c"]).where("x.n < y.n or x.n = y.n and x.key <> y.key")
+    return small.join(large, ["token", "c"]).where("(x.n < y.n or x.n = y.n and x.key <> y.key) and coalesce(x.before <> y.before, true)")
 
 
 def _sketched(pairs: DataFrame, sets: DataFrame, spec: NearSpec) -> DataFrame:
@@ -242,7 +243,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, rows: DataFrame, sets: DataFra
     pairs = stored(_sketched(pairs, sets, spec), "near-pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     source = rows.join(needed, "key", "left_semi").groupBy("key").agg(F.min(F.struct("doc_id", "row_key")).alias("row")).select(F.col("row.doc_id").alias("needed_id"), F.col("row.row_key").alias("needed_row"))
-    source = stored(source, "near-needed")
+    source = found = stored(source, "near-needed")
     if source.count() <= spec.broadcast_keys:
         source = F.broadcast(source)
     own = docs.select(docs["doc_id"], docs["text"], row_key(docs).alias("row_key"))
@@ -250,7 +251,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, rows: DataFrame, sets: DataFra
     whole_sets = stored(shingle_sets(whole, spec).groupBy("key").agg(F.first("shingles").alias("shingles")), "near-sets")
     both = pairs.join(whole_sets.select(F.col("key").alias("a"), F.col("shingles").alias("u")), "a").join(whole_sets.select(F.col("key").alias("b"), F.col("shingles").alias("v")), "b")
     shared = F.size(F.array_intersect("u", "v"))
-    return stored(both.where((100 + spec.percent) * shared >= spec.percent * (F.size("u") + F.size("v"))).select("a", "b"), "near-links")
+    links = stored(both.where((100 + spec.percent) * shared >= spec.percent * (F.size("u") + F.size("v"))).select("a", "b"), "near-links")
+    dropped(pairs, found, whole_sets)
+    return links
 
 
 def _simhash_pairs(sets: DataFrame, spec: NearSpec) -> DataFrame:
@@ -273,7 +276,7 @@ def near_links(docs: DataFrame, rows: DataFrame, spec: NearSpec = NearSpec()) ->
         if k:
             roots = components(links)
         # Every member with its group; buckets of one group are done.
-        named = buckets.join(roots.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "at", *SKETCH, F.coalesce("root", "key").alias("root"))
+        named = buckets.join(roots.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "at", "before", *SKETCH, F.coalesce("root", "key").alias("root"))
         own = named.groupBy("token", "root").agg(F.count("*").cast("double").alias("c"))
         open_buckets = own.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("s")).where("c * c > s")
         named = stored(named.join(open_buckets, "token"), "near-members")
@@ -290,6 +293,7 @@ def near_links(docs: DataFrame, rows: DataFrame, spec: NearSpec = NearSpec()) ->
             member = F.struct("key", "n", "at", *SKETCH, "root")
             pairs = _pairs(named.select(member.alias("x"), F.lag(member).over(order).alias("y")), spec)
         links = links.unionByName(_confirmed(pairs, docs, rows, sets, spec))
+        dropped(named)
         if last:
             break
     return components(links)
