@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup
+from tidemark.llm import neardup, simhash
 
 
 def plain_groups(texts):
@@ -96,3 +97,36 @@ def test_a_pair_meets_once_for_each_run_of_shared_tokens(spark):
     pairs = lambda d: {(r.a, r.b) for r in neardup._pairs(d, spec).collect()}
     assert pairs(joined) == pairs(every) and len(pairs(joined)) == 66
     assert joined.count() * 3 < every.count()
+
+
+@pytest.mark.parametrize("broadcast_links", [0, 250_000])
+def test_components_take_few_tasks_and_leave_only_their_result(spark, monkeypatch, broadcast_links):
+    r = random.Random(5)
+    links = [(i, i + 1) for i in range(40)] + [(50, 90), (50, 90), (60, 90), (60, 95), (7, 7)] + [tuple(sorted(r.sample(range(100, 160), 2))) for _ in range(45)]
+    root = {n: n for link in links for n in link}
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    names, partitions = [], 20
+    keep = simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, name: names.append(out := keep(df, name)) or out)
+    frame = spark.createDataFrame(links, "a long, b long").repartition(1)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup(f"components-{broadcast_links}", "")
+    try:
+        roots = simhash.components(frame, broadcast_links=broadcast_links)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((x.node, x.root) for x in roots.collect()) == sorted((n, m) for n, m in root.items() if n != 7 or m != 7)
+    there = [df for df in names if all(Path(f.removeprefix("file://")).exists() for f in df.inputFiles())]
+    assert len(names) > 3 and len(there) == 1
+    if broadcast_links:
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup(f"components-{broadcast_links}") for s in tracker.getJobInfo(j).stageIds}
+        tasks = sum(x.numCompletedTasks for s in stages if (x := tracker.getStageInfo(s)))
+        rounds = len(names) // 2
+        assert tasks <= 5 * partitions * rounds

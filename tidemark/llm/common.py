@@ -63,11 +63,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def dropped(*frames: DataFrame) -> None:
-    """Deletes tables that ``stored`` gave, of which nothing lazy is read any more."""
+    """Deletes tables that ``stored`` gave, of which nothing lazy is read any more, and shuffle files of queries that ended.
+
+    Spark deletes the latter once the driver has collected what stands for them, which a large heap seldom does by itself.
+    """
     for df in frames:
         for file in df.inputFiles()[:1]:
             folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
             folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+    if frames:
+        frames[0].sparkSession._jvm.System.gc()
 
 
 #: Rows and bytes of a batch of texts on its way to Python; both sides hold a few batches for each task.

@@ -44,10 +44,11 @@ class NearSpec:
     #: Texts and shingles that the order of shingles is taken from; results don't depend on them.
     order_texts: int = 5_000
     order_shingles: int = 200_000
-    #: Rounds over neighbours in buckets, while there are more than so many pairs left for each member of a bucket,
-    #: and the most members of a bucket that are put in one order.
+    #: Rounds over neighbours in buckets, while there are more than so many pairs left for each member of a bucket and
+    #: no more than this share of those before the last round, and the most members of a bucket that are put in one order.
     rounds: int = 3
     pairs_per_member: int = 32
+    worthwhile: float = 0.8
     part: int = 10_000
     #: Keys of sets to compare (24 bytes each) that are sent to every executor rather than joined by a shuffle.
     broadcast_keys: int = 1_000_000
@@ -271,10 +272,11 @@ def near_links(docs: DataFrame, rows: DataFrame, spec: NearSpec = NearSpec()) ->
     links = _confirmed(_simhash_pairs(sets, spec), docs, rows, sets, spec)
     # Enough to begin with: sets with one least neighbour are in one group.
     roots = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
-    buckets = _buckets(rows, sets)
+    buckets, before = _buckets(rows, sets), None
     for k in range(spec.rounds + 1):
         if k:
             roots = components(links)
+            links = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
         # Every member with its group; buckets of one group are done.
         named = buckets.join(roots.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "at", "before", *SKETCH, F.coalesce("root", "key").alias("root"))
         own = named.groupBy("token", "root").agg(F.count("*").cast("double").alias("c"))
@@ -283,7 +285,9 @@ def near_links(docs: DataFrame, rows: DataFrame, spec: NearSpec = NearSpec()) ->
         left = named.agg(F.count("*").alias("members"), F.sum((F.col("c") - F.col("s") / F.col("c")) / 2).alias("pairs")).first()
         if not left["members"]:
             break
-        last = k == spec.rounds or left["pairs"] <= spec.pairs_per_member * left["members"]
+        # A round that left most of the pairs is not worth another.
+        last = k == spec.rounds or left["pairs"] <= spec.pairs_per_member * left["members"] or before is not None and left["pairs"] > spec.worthwhile * before
+        before = left["pairs"]
         if last:
             pairs = _pairs(_all_pairs(named, spec), spec)
         else:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import free_name, labelled, row_key, shipped, slices, stored, text_bytes, trimmed
+from .common import dropped, free_name, labelled, row_key, shipped, slices, stored, text_bytes, trimmed
 
 
 @dataclass(frozen=True)
@@ -169,26 +169,36 @@ def links_within(fps: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame
     return stored(found.distinct(), "simhash-links")
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """node, root (the least node of its component) for every node of the links a < b."""
-    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct()
-    before = None
+def components(links: DataFrame, max_rounds: int = 60, broadcast_links: int = 250_000) -> DataFrame:
+    """node, root (the least node of its component) for every node of the links a < b.
+
+    Least neighbours of up to ``broadcast_links`` links are sent to every executor: a round then has three shuffles.
+    """
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
+    n_edges, own = edges.count(), []
     for _ in range(max_rounds):
+        few = n_edges <= broadcast_links
+        sent = F.broadcast if few else lambda df: df
         # Large star: every larger neighbour of a node is linked to the node's least neighbour.
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("m").alias("u"), "v").distinct()
+        if not n_edges:
+            return least.select(F.col("u").alias("node"), F.col("m").alias("root"))
+        # Settled: links are of a least node and one that has no other.
+        moved, met = Observation(), both.join(sent(least), "u")
+        large = met.observe(moved, F.count_if(F.col("m") != F.least("u", "v")).alias("n")).where("v > u").select(F.col("m").alias("u"), "v")
+        large = stored(large if few else large.distinct(), "components-large")
+        if not moved.get["n"]:
+            roots = stored(least.select(F.col("u").alias("node"), F.col("m").alias("root")), "components-roots")
+            dropped(large, *own)
+            return roots
         # Small star: a node's smaller neighbours and the node itself are linked to the least of them.
-        down = large.select(F.col("v").alias("u"), F.col("u").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        joined = down.join(least, "u")
-        following = joined.select("m", "v").unionByName(joined.select("m", F.col("u").alias("v"))).where("m <> v").select(F.col("m").alias("u"), "v").distinct()
+        least = large.groupBy("v").agg(F.min("u").alias("m"))
+        joined = large.join(sent(least), "v").select(F.explode(F.array(F.struct("m", F.col("u").alias("v")), F.struct("m", "v"))).alias("e"))
         seen = Observation()
-        edges = stored(following.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hashes")), "components")
-        now = seen.get
-        if now == before:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
-        before = now
+        edges = stored(joined.select(F.col("e.m").alias("u"), "e.v").where("u <> v").distinct().observe(seen, F.count("*").alias("n")), "components")
+        dropped(large, *own)
+        n_edges, own = seen.get["n"], [edges]
     raise RuntimeError(f"components not settled after {max_rounds} rounds")
 
 
