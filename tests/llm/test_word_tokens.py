@@ -40,3 +40,15 @@ def test_random_texts():
     r = random.Random(3)
     pool = [*"aZ9 .,\n\t\"'()!?-", "İ", "क़", "́", "é", "漢", "б", "\U0001f600", "<|", "|>", "  ", ". ", ", ", "<|endoftext|>", "don't", "　", " ", " "]
     same_ids(["".join(r.choices(pool, k=r.randrange(40))) for _ in range(20_000)])
+
+
+def test_rare_words_of_a_large_vocabulary_are_encoded_once(monkeypatch):
+    r, own, stored = random.Random(4), WordTokens(PATH, 1), []
+    keep = own._store
+    monkeypatch.setattr(own, "_store", lambda words: stored.append(len(words)) or keep(words))
+    words = ["".join(r.choices("abcdefghijkl", k=7)) for _ in range(240_000)]
+    texts = [" ".join(words[a : a + 100]).encode() for a in range(0, len(words), 100)]
+    once = [own.encode(texts[a : a + 400])[0] for a in range(0, len(texts), 400)]
+    again = [own.encode(texts[a : a + 400])[0] for a in range(0, len(texts), 400)]
+    assert sum(stored) <= len(set(words)) and all((x == y).all() for x, y in zip(once, again, strict=True))
+    same_ids([t.decode() for t in texts[:50]])

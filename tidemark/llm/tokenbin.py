@@ -35,10 +35,14 @@ from .wordtokens import word_tokens
 COUNTS = np.array([0, 1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([60, 4, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 LOW60 = np.uint64((1 << 60) - 1)
+#: Bit lengths of ids below 65,536.
+SHORT = np.array([n.bit_length() for n in range(1 << 16)], np.uint8)
 
 
 def _bits(ids: np.ndarray) -> np.ndarray:
     """Bit length of each id."""
+    if len(ids) and ids.max() < len(SHORT):
+        return SHORT[ids]
     out, rest = np.zeros(len(ids), np.uint8), ids.copy()
     for step in (32, 16, 8, 4, 2, 1):
         big = rest >= np.uint64(1 << step)
@@ -141,7 +145,7 @@ def write_token_files(docs: DataFrame, path: str, spec: TokenFileSpec) -> None:
 
         for batch in batches:
             doc_ids, texts = batch.column("doc_id").to_pylist(), text_bytes(batch)
-            for a, b in slices([len(t) for t in texts], spec.text_bytes // 8):
+            for a, b in slices([len(t) for t in texts], spec.text_bytes // 4):
                 ids, lengths, _ = tokens.encode(texts[a:b])
                 held.append((doc_ids[a:b], ids, lengths))
                 if sum(len(x[1]) for x in held) >= spec.chunk_ids:

@@ -52,7 +52,7 @@ class WordTokens:
     anew. The ids do not depend on it: they are those of the library for the whole text.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 200_000) -> None:
+    def __init__(self, path: str, end_id: int, limit: int = 500_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -60,6 +60,12 @@ class WordTokens:
         #: For words that the normalizer leaves alone and the pre-tokenizer leaves whole.
         self.plain = Tokenizer(self.tokenizer.model)  # the same vocabulary, held once
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        #: Ids that only a word's last token has.
+        suffix, vocabulary = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        del vocabulary
         released()  # what reading the file took
         self.end_id, self.limit = end_id, limit
         self._clear()
@@ -87,6 +93,15 @@ class WordTokens:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _plain_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words in a row, and their number for each word."""
+        ids = np.array(self.plain.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        counts = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+        if len(counts) == len(words) and counts.sum() == len(ids):
+            return ids, counts
+        e = self.plain.encode(words, is_pretokenized=True, add_special_tokens=False)  # which says to what word a token belongs
+        return np.array(e.ids, np.uint32), np.bincount(np.array(e.word_ids, np.int64), minlength=len(words))
+
     def _put(self, numbers: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
         """Ids of the words with these numbers, in a row."""
         self.pool = _grown(self.pool, self.used + len(ids))
@@ -112,8 +127,7 @@ class WordTokens:
                 self.closes[first + i] = w.rstrip(b"\"')]").endswith((b".", b"!", b"?", b"\xe3\x80\x82"))
                 self.rough[first + i] = not self._ends_plain(t)
         if easy:
-            e = self.plain.encode([texts[i] for i in easy], is_pretokenized=True, add_special_tokens=False)
-            self._put(first + np.array(easy), np.array(e.ids, np.uint32), np.bincount(np.array(e.word_ids, np.int64), minlength=len(easy)))
+            self._put(first + np.array(easy), *self._plain_ids([texts[i] for i in easy]))
         if hard:
             many = [e.ids for e in self.tokenizer.encode_batch_fast([texts[i] for i in hard], add_special_tokens=False)]
             self._put(first + np.array(hard), np.array([x for ids in many for x in ids], np.uint32), np.array([len(ids) for ids in many], np.int64))
