@@ -9,7 +9,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, simhash
+from tidemark.llm import common, neardup, simhash
 
 
 def plain_groups(texts):
@@ -130,3 +130,57 @@ def test_components_take_few_tasks_and_leave_only_their_result(spark, monkeypatc
         tasks = sum(x.numCompletedTasks for s in stages if (x := tracker.getStageInfo(s)))
         rounds = len(names) // 2
         assert tasks <= 5 * partitions * rounds
+
+
+def loose_group(n):
+    """Texts of which each is like about a sixth of the others: five edits among the first 150 of 400 words."""
+    r = random.Random(3)
+    texts = []
+    for i in range(n):
+        words = [f"w{k}" for k in range(400)]
+        for k in r.sample(range(150), 5):
+            words[k] = f"own{i}x{k}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_work_on_a_large_group_grows_with_its_members(spark, monkeypatch):
+    """Four times the members take about four times the pairs to compare and the links, not sixteen times, and lose none."""
+    taken = {}
+    keep = neardup.components
+    for n in (150, 600):
+        counts = {"pairs": 0, "links": 0}
+
+        def counted(links, *more, counts=counts):
+            counts["links"] += links.count()
+            return keep(links, *more)
+
+        def stored(df, name, counts=counts):
+            out = common.stored(df, name)
+            counts["pairs"] += out.count() if name == "near-pairs" else 0
+            return out
+
+        for module in (neardup, simhash):
+            monkeypatch.setattr(module, "components", counted)
+        monkeypatch.setattr(neardup, "stored", stored)
+        texts = loose_group(n)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        assert sorted(r.doc_id for r in neardup.without_near_copies(docs).collect()) == sorted(set(plain_groups(texts)))
+        taken[n] = counts
+    assert taken[600]["pairs"] < 8 * taken[150]["pairs"] and taken[600]["links"] < 8 * taken[150]["links"], taken
+
+
+def test_links_are_added_between_groups(spark):
+    """Links among nodes of known groups count once for each two groups; the result is that of all links together."""
+    r = random.Random(8)
+    links = [tuple(sorted(r.sample(range(120), 2))) for _ in range(50)]
+    more = [tuple(sorted(r.sample(range(160), 2))) for _ in range(60)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    known = simhash.components(frame(links))
+    every = sorted(map(tuple, simhash.components(frame(links + more)).collect()))
+    for bound in (0, 250_000):
+        assert sorted(map(tuple, simhash.regrouped(known, frame(more), bound).collect())) == every
+    assert sorted(map(tuple, simhash.regrouped(known, frame(links)).collect())) == sorted(map(tuple, known.collect()))
+    nothing = spark.createDataFrame([], "node long, root long")
+    assert sorted(map(tuple, simhash.regrouped(nothing, frame(links + more)).collect())) == every
+    assert simhash.regrouped(nothing, frame([])).count() == 0

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import labelled, row_key, shipped, stored, text_bytes, trimmed
 from .neardup import NearSpec, shingle_set, shingle_sets
-from .simhash import components
+from .simhash import regrouped
 
 
 @dataclass(frozen=True)
@@ -230,7 +230,7 @@ def near_components(docs: DataFrame, rows: DataFrame, spec: MinHashSpec = MinHas
     sets = stored(rows.where("regs is not null").groupBy("key").agg(*(F.min(c).alias(c) for c in ("n", "row_key", *BITS)), *(F.first(c).alias(c) for c in ("regs", "odd"))), "minhash-distinct")
     buckets = _buckets(rows)
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
-    tried = links = None
+    tried = None
     for k in range(spec.rounds + 1):
         named = buckets.join(roots.withColumnRenamed("node", "key"), "key", "left").select("bucket", F.struct("key", "n").alias("x"), F.coalesce("root", "key").alias("root"))
         groups = named.groupBy("bucket", "root").agg(F.count("*").alias("c"), F.min_by("x", F.xxhash64("x.key", F.lit(k))).alias("x"))
@@ -253,9 +253,7 @@ def near_components(docs: DataFrame, rows: DataFrame, spec: MinHashSpec = MinHas
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         likely = stored(_likely(pairs, sets, spec), "minhash-pairs")
         tried = likely if tried is None else tried.unionByName(likely)
-        found = confirmed(likely, docs, sets, spec)
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
+        roots = regrouped(roots, confirmed(likely, docs, sets, spec))
     return roots
 
 

@@ -12,9 +12,10 @@ so that one of the first ``n - ceil(n * percent / 100) + 1`` is shared and is am
 such pair meets in a bucket, with no false negatives. Any order gives the same groups. Shingles that are frequent in a
 sample of texts come last, so that buckets stay small; only the effort depends on the sample.
 
-Within buckets neighbours are compared first, a few times in different orders and in salted parts of bounded size, as
-long as members of different groups make many pairs; in the end all remaining pairs of a bucket are compared that sizes
-and places in both prefixes allow, each set meeting only those of size classes within its reach. Nothing is capped.
+In buckets whose members of different groups make many pairs each, neighbours are compared first, and then all that fall
+into one small salted part, so that the members of a large group find each other by a bounded number of pairs each; in the
+end all remaining pairs of a bucket are compared that sizes and places in both prefixes allow, each set meeting only those
+of size classes within its reach. Nothing is capped. Links count between groups, each once.
 Texts themselves are never shuffled but for those whose sets are compared.
 
 Nulls: a null text has no words, hence an empty set, and empty sets are equal. Equal rows, repeated and null ids are
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import dropped, row_key, shipped, stored, text_bytes, trimmed
-from .simhash import SimHashSpec, components, links_within, one_of_each
+from .simhash import SimHashSpec, components, links_within, one_of_each, regrouped
 
 
 @dataclass(frozen=True)
@@ -44,12 +45,14 @@ class NearSpec:
     #: Texts and shingles that the order of shingles is taken from; results don't depend on them.
     order_texts: int = 5_000
     order_shingles: int = 200_000
-    #: Rounds over neighbours in buckets, while there are more than so many pairs left for each member of a bucket and
-    #: no more than this share of those before the last round, and the most members of a bucket that are put in one order.
+    #: Rounds before all remaining pairs are compared: in buckets with more than so many pairs left for each member, and,
+    #: after the first two, while no more than this share of the pairs is left that the round before found; the most
+    #: members of a bucket that are put in one order, and about how many meet in a salted part.
     rounds: int = 3
     pairs_per_member: int = 32
     worthwhile: float = 0.8
     part: int = 10_000
+    meeting: int = 64
     #: Keys of sets to compare (24 bytes each) that are sent to every executor rather than joined by a shuffle.
     broadcast_keys: int = 1_000_000
     simhash: SimHashSpec = SimHashSpec(shingle=5)
@@ -227,6 +230,14 @@ def _all_pairs(named: DataFrame, spec: NearSpec) -> DataFrame:
     return small.join(large, ["token", "c"]).where("(x.n < y.n or x.n = y.n and x.key <> y.key) and coalesce(x.before <> y.before, true)")
 
 
+def _part_pairs(named: DataFrame, salt: int, spec: NearSpec) -> DataFrame:
+    """Members x, y that fall into one of a bucket's parts of about ``meeting`` members; parts go by a hash of the key."""
+    part = F.pmod(F.xxhash64("key", F.lit(salt)), F.ceil(F.col("c") / spec.meeting))
+    member = F.struct("key", "n", "at", *SKETCH, "root")
+    dealt = named.select("token", part.alias("part"), member.alias("x"))
+    return dealt.join(dealt.withColumnRenamed("x", "y"), ["token", "part"]).where("x.key < y.key")
+
+
 def _sketched(pairs: DataFrame, sets: DataFrame, spec: NearSpec) -> DataFrame:
     """The pairs (a, b) whose long sketches differ in no more bits than sets that are alike can."""
     named = lambda key, k: sets.select(F.col("key").alias(key), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}"))
@@ -266,41 +277,55 @@ def _simhash_pairs(sets: DataFrame, spec: NearSpec) -> DataFrame:
     return across.select("u", "v").unionByName(same).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
 
 
+def _grouped(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of buckets with their groups; a set that ``roots`` lacks is its own."""
+    return members.join(roots.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "at", "before", *SKETCH, F.coalesce("root", "key").alias("root"))
+
+
+def _open(named: DataFrame) -> DataFrame:
+    """token, c (its members), each (pairs of different groups for each member) of buckets with more than one group."""
+    own = named.groupBy("token", "root").agg(F.count("*").cast("double").alias("m"))
+    sizes = own.groupBy("token").agg(F.sum("m").alias("c"), F.sum(F.col("m") * F.col("m")).alias("s")).where("c * c > s")
+    return sizes.select("token", "c", ((F.col("c") - F.col("s") / F.col("c")) / 2).alias("each"))
+
+
 def near_links(docs: DataFrame, rows: DataFrame, spec: NearSpec = NearSpec()) -> DataFrame:
     """node, root for every set (by its key) that is in a group with others; rows as ``near_rows`` gives them."""
     sets = _sets(rows)
     links = _confirmed(_simhash_pairs(sets, spec), docs, rows, sets, spec)
     # Enough to begin with: sets with one least neighbour are in one group.
-    roots = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
-    buckets, before = _buckets(rows, sets), None
-    for k in range(spec.rounds + 1):
-        if k:
-            roots = components(links)
-            links = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-        # Every member with its group; buckets of one group are done.
-        named = buckets.join(roots.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "at", "before", *SKETCH, F.coalesce("root", "key").alias("root"))
-        own = named.groupBy("token", "root").agg(F.count("*").cast("double").alias("c"))
-        open_buckets = own.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("s")).where("c * c > s")
-        named = stored(named.join(open_buckets, "token"), "near-members")
-        left = named.agg(F.count("*").alias("members"), F.sum((F.col("c") - F.col("s") / F.col("c")) / 2).alias("pairs")).first()
-        if not left["members"]:
+    first = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
+    buckets = _buckets(rows, sets)
+    # Crowded buckets alone; groups only grow, so that none is crowded later that wasn't before.
+    roots, members, before = None, buckets, 0.0
+    for k in range(spec.rounds):
+        named = _grouped(members, first if roots is None else roots)
+        crowded = stored(_open(named).where(F.col("each") > spec.pairs_per_member), "near-crowded")
+        left = crowded.agg(F.count("*").alias("tokens"), F.sum(F.col("c") * F.col("each")).alias("pairs")).first()
+        # A later round that left most of the pairs is not worth another.
+        if not left["tokens"] or k > 1 and left["pairs"] > spec.worthwhile * before:
             break
-        # A round that left most of the pairs is not worth another.
-        last = k == spec.rounds or left["pairs"] <= spec.pairs_per_member * left["members"] or before is not None and left["pairs"] > spec.worthwhile * before
         before = left["pairs"]
-        if last:
-            pairs = _pairs(_all_pairs(named, spec), spec)
+        held = stored(named.join(F.broadcast(crowded) if left["tokens"] <= spec.broadcast_keys else crowded, "token"), "near-crowd")
+        if k:
+            pairs = _part_pairs(held, k, spec)
+            dropped(members)
         else:
-            # Neighbours in parts of a bucket: by size first, then in other orders.
-            part = F.pmod(F.xxhash64("key", F.lit(-k - 1)), F.ceil(F.col("c") / spec.part))
-            order = Window.partitionBy("token", part).orderBy(*(["n", "key"] if k == 0 else [F.xxhash64("key", F.lit(k)), "key"]))
+            # Neighbours by size, in parts of a bucket.
+            part = F.pmod(F.xxhash64("key", F.lit(-1)), F.ceil(F.col("c") / spec.part))
+            order = Window.partitionBy("token", part).orderBy("n", "key")
             member = F.struct("key", "n", "at", *SKETCH, "root")
-            pairs = _pairs(named.select(member.alias("x"), F.lag(member).over(order).alias("y")), spec)
-        links = links.unionByName(_confirmed(pairs, docs, rows, sets, spec))
-        dropped(named)
-        if last:
-            break
-    return components(links)
+            pairs = held.select(member.alias("x"), F.lag(member).over(order).alias("y"))
+        found = _confirmed(_pairs(pairs, spec), docs, rows, sets, spec)
+        roots = components(links.unionByName(found)) if roots is None else regrouped(roots, found)
+        members = held.drop("root", "c", "each")
+    # All that is left: every member of buckets of more than one group.
+    named = _grouped(buckets, first if roots is None else roots)
+    held = stored(named.join(_open(named).select("token"), "token"), "near-members")
+    found = _confirmed(_pairs(_all_pairs(held, spec), spec), docs, rows, sets, spec)
+    out = components(links.unionByName(found)) if roots is None else regrouped(roots, found)
+    dropped(held, *([members] if roots is not None else []))
+    return out
 
 
 def without_near_copies(docs: DataFrame, spec: NearSpec = NearSpec()) -> DataFrame:

@@ -202,6 +202,23 @@ def components(links: DataFrame, max_rounds: int = 60, broadcast_links: int = 25
     raise RuntimeError(f"components not settled after {max_rounds} rounds")
 
 
+def regrouped(roots: DataFrame, links: DataFrame, broadcast_nodes: int = 250_000) -> DataFrame:
+    """node, root as ``components`` gives them, after links (a, b) are added to what it gave before.
+
+    Only groups are linked, two of them once, however many of their nodes are.
+    """
+    sent = F.broadcast if roots.count() <= broadcast_nodes else lambda df: df
+    known = lambda key, group: sent(roots.select(F.col("node").alias(key), F.col("root").alias(group)))
+    named = links.join(known("a", "u"), "a", "left").join(known("b", "v"), "b", "left").select(F.coalesce("u", "a").alias("u"), F.coalesce("v", "b").alias("v"))
+    between = stored(named.where("u <> v").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "components-links")
+    moved = components(between)
+    # A root that moved and a node that had no group are both nodes of the links; roots have rows of their own among nodes.
+    old = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    out = stored(old.unionByName(moved.join(roots.select("node"), "node", "left_anti")), "components-regrouped")
+    dropped(between, moved)
+    return out
+
+
 def near_duplicate_classes(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataFrame:
     """doc_id, row_key, fp, component_id (smallest doc_id reachable) for every row."""
     rows = stored(fingerprints(docs, spec), "simhash-rows")
